@@ -1 +1,211 @@
-"""Placeholder."""
+"""Split, preprocessing, training and scoring on the wide table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.features import wide_sql, wide_table
+from checks.ingest import SPLIT_SQL
+from checks.registry import check, cohort_df, cohort_sql
+from checks.views import view, with_views
+from tidemark import rules
+from tidemark.operators import prep as pp, train as tr
+from tidemark.operators.metrics import SUFFIX
+from tidemark.session import stage
+
+TARGET = rules.TARGET
+NUMBERS = ["age_at_icu_admission", "hr_mean", "sodium_mean", "weight_kg", "ventilation_duration_hours", "hr_measurement_count"]
+CATEGORIES = {"gender": "FM", "insurance": ["Private", "Public"], "marital_status": ["MARRIED", "SINGLE"]}
+
+FOREST = {"trees": 20, "depth": 8}
+BOOSTING = {"rounds": 10}
+
+
+def split_wide(spark, sf):
+    columns = ["stay_id", TARGET, *NUMBERS, *CATEGORIES]
+    wide = stage(wide_table(spark, sf).select(*columns), "wide")
+    return pp.stratified_split(wide, TARGET, "stay_id")
+
+
+def train_rows(spark, sf):
+    return split_wide(spark, sf).filter("split = 'train'")
+
+
+def fitted(spark, sf):
+    """Staged rows with their split, and the preprocessor of the training rows."""
+    rows = stage(split_wide(spark, sf), "split")
+    train = rows.filter("split = 'train'")
+    return rows, pp.Preprocessor.fit(train, NUMBERS, list(CATEGORIES))
+
+
+def vectors(spark, sf):
+    """(stay_id, y, split, features), staged: the iterative fits read it often."""
+    rows, model = fitted(spark, sf)
+    labelled = rows.withColumn("y", F.col(TARGET).cast("int"))
+    return stage(model.transform_vector(labelled, ["stay_id", "y", "split"]), "vectors")
+
+
+def feature_names(spark, sf):
+    return fitted(spark, sf)[1].feature_names
+
+
+SPLIT_CTES = {
+    "placed": f"SELECT *, row_number() OVER (PARTITION BY {TARGET} ORDER BY md5('42:' || CAST(stay_id AS VARCHAR)), stay_id) AS r, "
+    f"count(*) OVER (PARTITION BY {TARGET}) AS n FROM final",
+    "split_rows": "SELECT * EXCLUDE (r, n), CASE WHEN r <= round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM placed",
+    "train": "SELECT * FROM split_rows WHERE split = 'train'",
+    "long": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM train" for c in NUMBERS),
+    "medians": 'SELECT "column", median(value) AS median FROM long GROUP BY 1',
+    "scales": 'SELECT "column" AS feature, avg(v) AS mean, stddev_pop(v) AS scale FROM '
+    '(SELECT "column", coalesce(value, median) AS v FROM long JOIN medians USING ("column")) GROUP BY 1 UNION ALL '
+    "SELECT 'missingindicator_' || \"column\", avg(m), stddev_pop(m) FROM "
+    '(SELECT "column", CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END AS m FROM long) GROUP BY 1 HAVING max(m) > 0',
+    "texts": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM train" for c in CATEGORIES),
+    "modes": 'SELECT "column", value AS mode FROM (SELECT "column", value, count(*) AS n FROM texts WHERE value IS NOT NULL GROUP BY 1, 2) '
+    'QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) = 1',
+}
+
+
+def model_sql(query, **ctes):
+    return wide_sql(query, **SPLIT_CTES, **ctes)
+
+
+check("J01_J09_stratified_split", SPLIT_SQL)(
+    lambda spark, sf: pp.split_table(pp.stratified_split(cohort_df(spark, sf), TARGET, "stay_id"), "stay_id")
+)
+
+
+@check(
+    "J01_split_of_events",
+    with_views(
+        "predictions",
+        "SELECT entity_id, CASE WHEN r <= round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM (SELECT entity_id, "
+        "row_number() OVER (PARTITION BY y_true ORDER BY md5('7:' || CAST(entity_id AS VARCHAR)), entity_id) AS r, "
+        "count(*) OVER (PARTITION BY y_true) AS n FROM predictions)",
+    ),
+)
+def _(spark, sf):
+    return pp.split_table(pp.stratified_split(view(spark, sf, "predictions"), "y_true", "entity_id", seed=7), "entity_id")
+
+
+@check("C13_drop_excluded", cohort_sql("SELECT gender, race, mortality_after_24h FROM cohort"))
+def _(spark, sf):
+    chosen = cohort_df(spark, sf).select("subject_id", "stay_id", "intime", "gender", "race", TARGET)
+    return pp.drop_excluded(chosen)
+
+
+@check("J02_median_imputation", model_sql("SELECT * FROM medians"), "median")
+def _(spark, sf):
+    return pp.fit_impute(stage(train_rows(spark, sf), "train"), NUMBERS)
+
+
+@check(
+    "J03_missing_indicators",
+    model_sql('SELECT "column", count(*) FILTER (value IS NULL) AS missing_n FROM long GROUP BY 1 HAVING count(*) > count(value)'),
+)
+def _(spark, sf):
+    return pp.fit_indicators(train_rows(spark, sf), NUMBERS)
+
+
+@check("J04_standardise", model_sql("SELECT feature, mean, CASE WHEN scale = 0 THEN 1 ELSE scale END AS scale FROM scales"), "mean scale")
+def _(spark, sf):
+    return pp.fit_scale(stage(train_rows(spark, sf), "train"), NUMBERS)
+
+
+@check("J05_most_frequent", model_sql("SELECT * FROM modes"))
+def _(spark, sf):
+    return pp.fit_mode(train_rows(spark, sf), list(CATEGORIES))
+
+
+ONE_HOT = ", ".join(
+    f"CASE WHEN coalesce({c}, (SELECT mode FROM modes WHERE \"column\" = '{c}')) = '{v}' THEN CAST(1 AS DOUBLE) ELSE 0 END AS \"{c}_{v}\""
+    for c, values in CATEGORIES.items()
+    for v in values
+)
+
+
+@check("J06_one_hot", model_sql(f"SELECT stay_id, split, {ONE_HOT} FROM split_rows"))
+def _(spark, sf):
+    rows = stage(split_wide(spark, sf), "split")
+    model = pp.Preprocessor(numeric=(), categorical=pp._fit_texts(rows.filter("split = 'train'"), list(CATEGORIES)))
+    return model.transform(rows, ["stay_id", "split"])
+
+
+SCALED = ", ".join(
+    f"(coalesce({c}, (SELECT median FROM medians WHERE \"column\" = '{c}')) - (SELECT mean FROM scales WHERE feature = '{c}')) "
+    f"/ (SELECT scale FROM scales WHERE feature = '{c}') AS {c}"
+    for c in NUMBERS
+)
+INDICATED = ["hr_mean", "sodium_mean", "weight_kg", "hr_measurement_count"]
+INDICATORS = ", ".join(
+    f"(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END - (SELECT mean FROM scales WHERE feature = 'missingindicator_{c}')) "
+    f"/ (SELECT scale FROM scales WHERE feature = 'missingindicator_{c}') AS missingindicator_{c}"
+    for c in INDICATED
+)
+
+
+@check(
+    "J07_J08_fit_and_transform",
+    model_sql(f"SELECT stay_id, split, {SCALED}, {INDICATORS}, {ONE_HOT} FROM split_rows"),
+    " ".join(NUMBERS + [f"missingindicator_{c}" for c in INDICATED]),
+)
+def _(spark, sf):
+    rows, model = fitted(spark, sf)
+    return model.transform(rows, ["stay_id", "split"])
+
+
+@check(
+    "J10_class_weights",
+    with_views("predictions", "SELECT y_true, (SELECT count(*) FROM predictions) / (2 * CAST(count(*) AS DOUBLE)) AS weight FROM predictions GROUP BY y_true"),
+    "weight",
+)
+def _(spark, sf):
+    return pp.class_weights(view(spark, sf, "predictions"), "y_true")
+
+
+@check("I15_preprocessing_summary")
+def _(spark, sf):
+    rows, model = fitted(spark, sf)
+    return pp.prep_summary(rows, TARGET, model)
+
+
+def _train_test(spark, sf):
+    frame = vectors(spark, sf)
+    return frame.filter("split = 'train'"), frame.filter("split = 'test'")
+
+
+@check("J11_logistic_regression")
+def _(spark, sf):
+    train, test = _train_test(spark, sf)
+    return tr.score({"logistic_regression": tr.train_logistic(train, "y")}, test, ["stay_id", "y"])
+
+
+@check("J12_random_forest")
+def _(spark, sf):
+    train, test = _train_test(spark, sf)
+    return tr.score({"random_forest": tr.train_forest(train, "y", **FOREST)}, test, ["stay_id", "y"])
+
+
+@check("J13_gradient_boosting")
+def _(spark, sf):
+    train, test = _train_test(spark, sf)
+    return tr.score({"gradient_boosting": tr.train_boosting(train, "y", **BOOSTING)}, test, ["stay_id", "y"])
+
+
+def predictions(spark, sf):
+    train, test = _train_test(spark, sf)
+    models = tr.train_all(train, "y", random_forest=FOREST, gradient_boosting=BOOSTING)
+    return models, stage(tr.score(models, test, ["stay_id", "y"]), "predictions")
+
+
+@check("J14_J15_predictions_of_all_models")
+def _(spark, sf):
+    return predictions(spark, sf)[1]
+
+
+@check("J15_model_summary")
+def _(spark, sf):
+    return tr.model_summary(predictions(spark, sf)[1], "y")
+
+
+assert SUFFIX == "_probability"
