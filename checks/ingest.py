@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from checks.features import wide_sql
 from checks.registry import check, cohort_df, cohort_sql, scratch
 from checks.views import RULES, VIEWS, values_sql, view, view_sql, with_views
 from tidemark.operators.events import tag_items
@@ -131,11 +132,14 @@ def _(spark, sf):
     return read_split(spark, path, split.schema)
 
 
-@check("A14_model_round_trip")
+@check("A14_model_round_trip", wide_sql("SELECT count(*) AS n, CAST(0 AS DOUBLE) AS largest_change FROM final"))
 def _(spark, sf):
     from checks.modelling import vectors
 
     path = scratch(spark, "model")
-    frame = vectors(spark, sf)
-    save_model(train_logistic(frame, "y"), path)
-    return score({"logistic_regression": load_model("logistic_regression", path)}, frame, ["stay_id", "y"])
+    frame, _ = vectors(spark, sf)
+    fitted = train_logistic(frame, "y")
+    save_model(fitted, path)
+    both = score({"before": fitted, "after": load_model("logistic_regression", path)}, frame, ["stay_id"])
+    change = F.max(F.abs(F.col("before_probability") - F.col("after_probability")))
+    return both.agg(F.count("*").alias("n"), change.alias("largest_change"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from checks.features import wide_sql, wide_table
@@ -10,7 +11,7 @@ from checks.registry import check, cohort_df, cohort_sql
 from checks.views import view, with_views
 from tidemark import rules
 from tidemark.operators import prep as pp, train as tr
-from tidemark.operators.metrics import SUFFIX
+from tidemark.operators.explain import NEGATIVE, POSITIVE, coef_table
 from tidemark.session import stage
 
 TARGET = rules.TARGET
@@ -39,14 +40,11 @@ def fitted(spark, sf):
 
 
 def vectors(spark, sf):
-    """(stay_id, y, split, features), staged: the iterative fits read it often."""
+    """(stay_id, y, split, features), staged: the iterative fits read it often;
+    and the feature names."""
     rows, model = fitted(spark, sf)
     labelled = rows.withColumn("y", F.col(TARGET).cast("int"))
-    return stage(model.transform_vector(labelled, ["stay_id", "y", "split"]), "vectors")
-
-
-def feature_names(spark, sf):
-    return fitted(spark, sf)[1].feature_names
+    return stage(model.transform_vector(labelled, ["stay_id", "y", "split"]), "vectors"), model.feature_names
 
 
 SPLIT_CTES = {
@@ -163,37 +161,46 @@ def _(spark, sf):
     return pp.class_weights(view(spark, sf, "predictions"), "y_true")
 
 
-@check("I15_preprocessing_summary")
+@check(
+    "I15_preprocessing_summary",
+    model_sql(
+        f"SELECT count(*) AS original_rows, 9 AS original_features, 6 AS numeric_features, 3 AS categorical_features, "
+        "16 AS processed_features, count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows, "
+        f"avg({TARGET}) FILTER (split = 'train') AS train_event_rate, avg({TARGET}) FILTER (split = 'test') AS test_event_rate, "
+        "42 AS random_state, CAST(0.2 AS DOUBLE) AS test_size FROM split_rows"
+    ),
+    "train_event_rate test_event_rate",
+)
 def _(spark, sf):
     rows, model = fitted(spark, sf)
     return pp.prep_summary(rows, TARGET, model)
 
 
-def _train_test(spark, sf):
-    frame = vectors(spark, sf)
-    return frame.filter("split = 'train'"), frame.filter("split = 'test'")
+def train_test(spark, sf):
+    frame, names = vectors(spark, sf)
+    return frame.filter("split = 'train'"), frame.filter("split = 'test'"), names
 
 
 @check("J11_logistic_regression")
 def _(spark, sf):
-    train, test = _train_test(spark, sf)
+    train, test, _ = train_test(spark, sf)
     return tr.score({"logistic_regression": tr.train_logistic(train, "y")}, test, ["stay_id", "y"])
 
 
 @check("J12_random_forest")
 def _(spark, sf):
-    train, test = _train_test(spark, sf)
+    train, test, _ = train_test(spark, sf)
     return tr.score({"random_forest": tr.train_forest(train, "y", **FOREST)}, test, ["stay_id", "y"])
 
 
 @check("J13_gradient_boosting")
 def _(spark, sf):
-    train, test = _train_test(spark, sf)
+    train, test, _ = train_test(spark, sf)
     return tr.score({"gradient_boosting": tr.train_boosting(train, "y", **BOOSTING)}, test, ["stay_id", "y"])
 
 
 def predictions(spark, sf):
-    train, test = _train_test(spark, sf)
+    train, test, _ = train_test(spark, sf)
     models = tr.train_all(train, "y", random_forest=FOREST, gradient_boosting=BOOSTING)
     return models, stage(tr.score(models, test, ["stay_id", "y"]), "predictions")
 
@@ -208,4 +215,84 @@ def _(spark, sf):
     return tr.model_summary(predictions(spark, sf)[1], "y")
 
 
-assert SUFFIX == "_probability"
+@check(
+    "J14_scores_of_test_rows",
+    model_sql(f"SELECT stay_id, {TARGET} AS y, TRUE AS is_probability FROM split_rows WHERE split = 'test'"),
+)
+def _(spark, sf):
+    train, test, _ = train_test(spark, sf)
+    scored = tr.score({"m": tr.train_logistic(train, "y")}, test, ["stay_id", "y"])
+    return scored.select("stay_id", "y", F.col("m_probability").between(0, 1).alias("is_probability"))
+
+
+# -- fits with a closed form: one 0/1 feature ----------------------------------
+
+FLAGGED = (
+    "SELECT entity_id, y_true AS y, CASE WHEN model_a_probability < 0.05 THEN 1 ELSE 0 END AS flag FROM predictions"
+)
+# Class-weighted event rate per flag value.
+WEIGHTED = (
+    "SELECT flag, sum(y * w) / sum(w) AS rate FROM (SELECT flag, y, "
+    "(SELECT count(*) FROM flagged) / (2.0 * count(*) OVER (PARTITION BY y)) AS w FROM flagged) GROUP BY flag"
+)
+
+
+def flagged(spark, sf):
+    rows = view(spark, sf, "predictions").select(
+        "entity_id", F.col("y_true").alias("y"), (F.col("model_a_probability") < 0.05).cast("int").alias("flag")
+    )
+    vector = array_to_vector(F.array(F.col("flag").cast("double")))
+    return stage(rows.withColumn("features", vector), "flagged")
+
+
+def rate_per_flag(spark, sf, train):
+    rows = flagged(spark, sf)
+    scored = tr.score({"m": train(rows)}, rows, ["flag"])
+    return scored.groupBy("flag").agg(F.round(F.avg("m_probability"), 4).alias("rate"))
+
+
+RATE = with_views("predictions", "SELECT flag, round(rate, 4) AS rate FROM weighted", flagged=FLAGGED, weighted=WEIGHTED)
+
+
+@check("J11_logistic_on_a_flag", RATE)
+def _(spark, sf):
+    return rate_per_flag(spark, sf, lambda rows: tr.train_logistic(rows, "y", c=1e9))
+
+
+@check("J12_one_tree_on_a_flag", RATE)
+def _(spark, sf):
+    return rate_per_flag(spark, sf, lambda rows: tr.train_forest(rows, "y", trees=1, depth=1, bootstrap=False))
+
+
+@check(
+    "J13_one_round_on_a_flag",
+    with_views(
+        "predictions",
+        "SELECT flag, round(1 / (1 + exp(-2 * avg(2 * y - 1))), 4) AS rate FROM flagged GROUP BY flag",
+        flagged=FLAGGED,
+    ),
+)
+def _(spark, sf):
+    return rate_per_flag(spark, sf, lambda rows: tr.train_boosting(rows, "y", rounds=1, depth=1))
+
+
+@check(
+    "L01_coefficient_of_a_flag",
+    with_views(
+        "predictions",
+        "SELECT 'flag' AS feature, round(c, 3) AS coefficient, round(abs(c), 3) AS absolute_coefficient, "
+        f"CASE WHEN c >= 0 THEN '{POSITIVE}' ELSE '{NEGATIVE}' END AS direction FROM (SELECT "
+        "max(CASE WHEN flag = 1 THEN ln(rate / (1 - rate)) END) - max(CASE WHEN flag = 0 THEN ln(rate / (1 - rate)) END) AS c "
+        "FROM weighted)",
+        flagged=FLAGGED,
+        weighted=WEIGHTED,
+    ),
+)
+def _(spark, sf):
+    table = coef_table(spark, tr.train_logistic(flagged(spark, sf), "y", c=1e9), ["flag"])
+    return table.select(
+        "feature",
+        F.round("coefficient", 3).alias("coefficient"),
+        F.round("absolute_coefficient", 3).alias("absolute_coefficient"),
+        "direction",
+    )

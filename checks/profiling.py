@@ -196,12 +196,32 @@ def _(spark, sf):
     return pr.suspicious(events)
 
 
-@check("I08_column_types")
+# Type and kind of the cohort columns; times are neither numeric nor categorical.
+KINDS = {
+    "numeric": {"bigint": ["subject_id", "hadm_id", "stay_id"], "double": ["icu_los_days"],
+                "int": ["age_at_icu_admission", "anchor_age", "hospital_expire_flag", TARGET]},
+    "categorical": {"string": TEXTS},
+    "": {"timestamp_ntz": ["intime", "prediction_time", "deathtime"]},
+}
+
+
+@check(
+    "I08_column_types",
+    cohort_sql(
+        union(
+            f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, nullif('{kind}', '') AS kind FROM cohort"
+            for kind, types in KINDS.items()
+            for t, columns in types.items()
+            for c in columns
+        )
+    ),
+)
 def _(spark, sf):
-    numeric, categorical = pr.split_types(wide_table(spark, sf))
+    chosen = cohort_df(spark, sf).select(*[c for types in KINDS.values() for columns in types.values() for c in columns])
+    numeric, categorical = pr.split_types(chosen)
     kinds = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
     names = F.create_map(*[F.lit(x) for pair in kinds for x in pair])
-    report = pr.structure(wide_table(spark, sf))
+    report = pr.structure(chosen)
     return report.select("column", "type", "non_null", F.try_element_at(names, F.col("column")).alias("kind"))
 
 

@@ -155,6 +155,25 @@ def _(spark, sf):
     return me.calibration_slope(long(spark, sf), ["model_a", "model_b"])
 
 
+# Scores with two values make the logistic fit pass through both event rates.
+TWO_VALUED = "CASE WHEN p < 0.25 THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.6 AS DOUBLE) END"
+
+
+@check(
+    "K12_calibration_slope_of_two_scores",
+    scored(
+        "SELECT model, round(lo - (hi - lo) / (ln(0.6 / 0.4) - ln(0.2 / 0.8)) * ln(0.2 / 0.8), 3) AS calibration_intercept, "
+        "round((hi - lo) / (ln(0.6 / 0.4) - ln(0.2 / 0.8)), 3) AS calibration_slope FROM (SELECT model, "
+        "max(CASE WHEN p < 0.5 THEN ln(r / (1 - r)) END) AS lo, max(CASE WHEN p > 0.5 THEN ln(r / (1 - r)) END) AS hi "
+        f"FROM (SELECT model, {TWO_VALUED} AS p, avg(y) AS r FROM long GROUP BY ALL) GROUP BY model)"
+    ),
+)
+def _(spark, sf):
+    rows = long(spark, sf).selectExpr("model", "y", f"{TWO_VALUED} AS p")
+    fit = me.calibration_slope(rows, ["model_a", "model_b"])
+    return fit.selectExpr("model", *[f"round({c}, 3) AS {c}" for c in ("calibration_intercept", "calibration_slope")])
+
+
 @check(
     "K13_confusion_matrix",
     scored(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from math import gcd
+from random import Random
+from typing import NamedTuple
 
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.operators.metrics import ranking_metrics
 from tidemark.operators.ranking import hash_order, with_rank
 from tidemark.rules import SUBGROUPS
+from tidemark.session import stage
 
 # Wording of the coefficient report.
 POSITIVE = "positive association with predicted mortality"
@@ -47,26 +50,32 @@ def top_bottom(df: DataFrame, column: str, k: int = 15, tie: str = "feature") ->
 # -- permutation importance ----------------------------------------------------
 
 
-def _shuffles(names: Sequence[str], repeats: int, n: int, seed: int) -> list[tuple[int, int, int, int]]:
-    """(feature, repeat, a, b) per shuffle: row i receives the value of row
-    (a*i + b) mod n, where a has no common divisor with n.
+class Shuffle(NamedTuple):
+    """Row i receives the feature value of row (a*i + b) mod n, with a and n
+    coprime.
 
     Row numbers already follow a random order, so such a map pairs rows at
-    random; unlike a sort per shuffle it is computed from the row number alone.
+    random; unlike a sort per shuffle it needs nothing but the row number.
     """
-    rows, state = [], seed & 0x7FFFFFFF
-    for feature in range(len(names)):
-        for repeat in range(repeats):
-            state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-            a = max(1, (state >> 33) % n)
+
+    feature: int
+    a: int
+    b: int
+
+
+def _shuffles(features: Sequence[int], repeats: int, n: int, seed: int) -> list[Shuffle]:
+    draw = Random(seed)
+    plan = []
+    for feature in features:
+        for _ in range(repeats):
+            a = draw.randrange(1, n + 1)
             while gcd(a, n) != 1:
-                a = a % n + 1
-            state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-            rows.append((feature, repeat, a, (state >> 33) % n))
-    return rows
+                a = draw.randrange(1, n + 1)
+            plan.append(Shuffle(feature, a, draw.randrange(n)))
+    return plan
 
 
-def shuffled_values(numbered: DataFrame, shuffles: Sequence[tuple[int, int, int, int]], n: int) -> DataFrame:
+def shuffled_values(numbered: DataFrame, shuffles: Sequence[Shuffle], n: int) -> DataFrame:
     """(row, replaced): for each row number the array of values it receives.
 
     Each row sends its own value to the row that asks for it, so only numbers are
@@ -75,13 +84,13 @@ def shuffled_values(numbered: DataFrame, shuffles: Sequence[tuple[int, int, int,
     # a * row stays exact: 64 bits suffice below 2**31 rows.
     number = "long" if n < 1 << 31 else "decimal(38,0)"
     donations = []
-    for slot, (feature, _, a, b) in enumerate(shuffles):
-        inverse = pow(a, -1, n) if n > 1 else 0
-        steps = F.pmod(F.col("_row") - F.lit(b), F.lit(n)).cast(number)
+    for slot, shuffle in enumerate(shuffles):
+        inverse = pow(shuffle.a, -1, n) if n > 1 else 0
+        steps = F.pmod(F.col("_row") - F.lit(shuffle.b), F.lit(n)).cast(number)
         target = F.pmod(steps * F.lit(inverse).cast(number), F.lit(n).cast(number))
         donations.append(
             F.struct(
-                target.cast("long").alias("_row"), F.lit(slot).alias("slot"), F.col("_x")[feature].alias("value")
+                target.cast("long").alias("_row"), F.lit(slot).alias("slot"), F.col("_x")[shuffle.feature].alias("value")
             )
         )
     sent = numbered.select(F.inline(F.array(*donations)))
@@ -100,42 +109,35 @@ def permutation_importance(
     features: Sequence[str] | None = None,
 ) -> DataFrame:
     """(feature, importance_mean, importance_std): the drop in AUROC when one
-    feature is shuffled, over `n_repeats` shuffles (runs two small jobs).
+    feature is shuffled, over `n_repeats` shuffles (runs one job per chunk).
 
-    Work is features x repeats x rows by nature. It is planned `chunk` shuffles
-    at a time, so a row is widened by at most that many numbers, and scores are
-    counted map-side before they are ranked.
+    Work is features x repeats x rows by nature. It runs `chunk` shuffles at a
+    time: a row is widened by that many numbers, never copied with its vector
+    through a shuffle, and equal scores are counted map-side before they are
+    ranked. One number per shuffle reaches the driver.
     """
-    wanted = list(features or names)
+    spark = df.sparkSession
+    wanted = [names.index(f) for f in features or names]
     base = with_rank(df.select(key, label, "features"), [], hash_order(key, seed), key, "_row")
-    base = base.withColumn("_x", vector_to_array("features"))
-    n = df.count()
-    before = _auroc(model, df.withColumn("_slot", F.lit(0)), label).first().roc_auc
+    base = stage(base.withColumn("_x", vector_to_array("features")), "numbered")
+    n = base.count()
+    before = _auroc(model, base.withColumn("_slot", F.lit(0)), label).first().roc_auc
     plan = _shuffles(wanted, n_repeats, n, seed)
-    plan = [(names.index(wanted[f]), r, a, b) for f, r, a, b in plan]
-    parts = []
+    drops = []
     for start in range(0, len(plan), chunk):
         shuffles = plan[start : start + chunk]
         received = base.join(shuffled_values(base, shuffles, n), "_row")
+        slots = F.array(*[F.lit(s.feature) for s in shuffles])
         exploded = received.select(label, "_x", F.explode("replaced").alias("_new"))
-        slots = F.array(*[F.lit(f) for f, *_ in shuffles])
-        column = slots[F.col("_new.slot")]
-        changed = F.transform(
-            "_x", lambda x, i: F.when(i == F.col("_column"), F.col("_new.value")).otherwise(x)
-        )
-        frame = exploded.withColumn("_column", column).select(
-            label,
-            (F.lit(start) + F.col("_new.slot")).alias("_slot"),
-            array_to_vector(changed).alias("features"),
-        )
-        parts.append(_auroc(model, frame, label))
-    after = reduce(DataFrame.unionByName, parts)
-    feature_of = F.array(*[F.lit(names[f]) for f, *_ in plan])
-    drop = F.lit(before) - F.col("roc_auc")
+        exploded = exploded.withColumn("_column", slots[F.col("_new.slot")])
+        changed = F.transform("_x", lambda x, i: F.when(i == F.col("_column"), F.col("_new.value")).otherwise(x))
+        frame = exploded.select(label, F.col("_new.slot").alias("_slot"), array_to_vector(changed).alias("features"))
+        for row in _auroc(model, frame, label).collect():
+            drops.append((names[shuffles[row["_slot"]].feature], before - row.roc_auc))
     return (
-        after.select(feature_of[F.col("_slot")].alias("feature"), drop.alias("_drop"))
+        spark.createDataFrame(drops, "feature string, drop double")
         .groupBy("feature")
-        .agg(F.avg("_drop").alias("importance_mean"), F.stddev_pop("_drop").alias("importance_std"))
+        .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
         .orderBy(F.desc("importance_mean"), "feature")
     )
 

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.operators.cohort import ranked
 from tidemark.operators.profile import _text_counts, is_missing, long_numbers, split_types
-from tidemark.operators.ranking import exact_quantiles, hash_order, with_rank
+from tidemark.operators.ranking import exact_quantiles, hash_order
 from tidemark.rules import EXCLUDED_FEATURES
 
 # One-hot columns a fitted preprocessor may hold; more is an error, not a cut.
@@ -27,14 +28,32 @@ def stratified_split(
 ) -> DataFrame:
     """Add `split`: exactly round(fraction x class size) test rows per class.
 
-    Rows are ranked inside their class by a seeded hash of the key, so the split
-    is repeatable and does not depend on partitioning.
+    The test rows of a class come first in a seeded hash order of the (unique)
+    key, so the split is repeatable and does not depend on partitioning. Only the
+    key that ends the test part is looked for: cell counts name its cell, and
+    that cell alone is ordered. The table itself is never shuffled; one cut per
+    class is broadcast to it.
     """
-    ranked = with_rank(df, [y], hash_order(key, seed) if order is None else order, key, "_rank")
-    # One row per class.
-    sizes = F.broadcast(df.groupBy(y).agg(F.round(F.count("*") * F.lit(fraction)).alias("_test")))
-    split = F.when(F.col("_rank") < F.col("_test"), "test").otherwise("train")
-    return ranked.join(sizes, y).select(*df.columns, split.alias("split"))
+    order = hash_order(key, seed) if order is None else order
+    placed = df.select(y, F.col(key).alias("_key"), order.alias("_order"))
+    placed = placed.withColumn("_cell", F.substring("_order", 1, 4))
+    counts = placed.groupBy(y, "_cell").agg(F.count("*").alias("_n"))
+    per_class = Window.partitionBy(y)
+    upto = per_class.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    ends = counts.withColumns(
+        {
+            "_end": F.sum("_n").over(upto),
+            "_test": F.round(F.sum("_n").over(per_class) * F.lit(fraction)).cast("long"),
+        }
+    )
+    cut_cells = ends.filter((F.col("_test") > F.col("_end") - F.col("_n")) & (F.col("_test") <= F.col("_end")))
+    cut_cells = cut_cells.select(y, "_cell", (F.col("_test") - F.col("_end") + F.col("_n")).alias("_nth"))
+    inside = placed.join(F.broadcast(cut_cells), [y, "_cell"])
+    last = ranked(inside, [y], ["_order", "_key"], "_rank").filter(F.col("_rank") == F.col("_nth"))
+    cuts = last.select(y, F.struct("_order", "_key").alias("_cut"))
+    here = F.struct(order.alias("_order"), F.col(key).alias("_key"))
+    split = F.when(here <= F.col("_cut"), "test").otherwise("train")
+    return df.join(F.broadcast(cuts), y, "left").select(*df.columns, split.alias("split"))
 
 
 def split_table(df: DataFrame, key: str) -> DataFrame:

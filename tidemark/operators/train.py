@@ -15,10 +15,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.operators.metrics import SUFFIX, ranking_metrics, to_long
 from tidemark.operators.prep import with_class_weight
+from tidemark.session import use_checkpoints
 
 MODEL_CLASSES = {
     "logistic_regression": LogisticRegressionModel,
@@ -46,7 +47,13 @@ def train_logistic(train: DataFrame, label: str, c: float = 1.0, max_iter: int =
 
 
 def train_forest(
-    train: DataFrame, label: str, trees: int = 500, min_leaf: int = 5, depth: int = 30, seed: int = 42
+    train: DataFrame,
+    label: str,
+    trees: int = 500,
+    min_leaf: int = 5,
+    depth: int = 30,
+    seed: int = 42,
+    bootstrap: bool = True,
 ) -> RandomForestClassificationModel:
     """Balanced random forest; 30 is the deepest tree Spark grows.
 
@@ -61,6 +68,7 @@ def train_forest(
         featureSubsetStrategy="sqrt",
         maxDepth=depth,
         maxMemoryInMB=1024,
+        bootstrap=bootstrap,
         seed=seed,
     ).fit(with_class_weight(train, label))
 
@@ -68,7 +76,12 @@ def train_forest(
 def train_boosting(
     train: DataFrame, label: str, rounds: int = 300, rate: float = 0.05, depth: int = 5, bins: int = 255, seed: int = 42
 ) -> GBTClassificationModel:
-    """Gradient-boosted trees, unweighted; depth 5 allows 32 leaves."""
+    """Gradient-boosted trees, unweighted; depth 5 allows 32 leaves.
+
+    Every tenth round is checkpointed, so a lost executor costs ten rounds at
+    most.
+    """
+    use_checkpoints(train.sparkSession)
     return GBTClassifier(
         labelCol=label,
         maxIter=rounds,

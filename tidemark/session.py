@@ -45,6 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back (runs a job).
 
