@@ -452,8 +452,8 @@ IN_WINDOW = (
 SUMMARY = (
     "SELECT {by}, min(valuenum) AS value_min, max(valuenum) AS value_max, avg(valuenum) AS value_mean, "
     "list(valuenum ORDER BY charttime, valuenum)[1] AS value_first, "
-    "list(valuenum ORDER BY charttime DESC, valuenum DESC)[1] AS value_last, count(*) AS measurement_count "
-    "FROM {source} GROUP BY {by}"
+    "list(valuenum ORDER BY charttime DESC, valuenum DESC)[1] AS value_last, max(charttime) AS last_time, "
+    "count(*) AS measurement_count FROM {source} GROUP BY {by}"
 )
 
 

@@ -122,7 +122,7 @@ def summarise(
     value: str = "valuenum",
     time: str = "charttime",
 ) -> DataFrame:
-    """First, last, min, max, mean and count per group.
+    """First, last, min, max, mean, latest time and count per group.
 
     Ties in time: the first value is the smallest, the last the largest.
     """
@@ -133,6 +133,7 @@ def summarise(
         F.min(value).alias("value_min"),
         F.max(value).alias("value_max"),
         F.avg(value).alias("value_mean"),
+        F.max(time).alias("last_time"),
         F.count("*").alias("measurement_count"),
     )
 
@@ -154,27 +155,30 @@ def pivot_summary(
     prefixes: Mapping[str, str],
     keys: Sequence[str] = KEYS,
     counts: Sequence[str] = (),
+    times: Sequence[str] = (),
 ) -> DataFrame:
     """One row per entity with `<prefix>_<stat>` columns.
 
     The variable list is given, so no job looks for it. The narrow summary is
     partitioned by entity first; pivoting then happens in place, and no mostly
-    empty wide rows are shuffled. `counts` names the variables whose measurement
-    count is wanted too.
+    empty wide rows are shuffled. `counts` and `times` name the variables whose
+    measurement count or latest time is wanted too.
     """
-    stats = SUMMARY + (["count"] if counts else [])
-    source = {s: f"value_{s}" for s in SUMMARY} | {"count": "measurement_count"}
+    source = {s: f"value_{s}" for s in SUMMARY}
+    if counts:
+        source["measurement_count"] = "measurement_count"
+    if times:
+        source["last_time"] = "last_time"
     wide = (
         summary.repartition(*keys)
         .groupBy(*keys)
         .pivot("variable", list(prefixes))
-        .agg(*[F.max(source[s]).alias(s) for s in stats])
+        .agg(*[F.max(c).alias(stat) for stat, c in source.items()])
     )
     columns = []
     for variable, prefix in prefixes.items():
-        columns += [F.col(f"{variable}_{s}").alias(f"{prefix}_{s}") for s in SUMMARY]
-        if variable in counts:
-            columns.append(F.col(f"{variable}_count").alias(f"{prefix}_measurement_count"))
+        extra = ["measurement_count"] * (variable in counts) + ["last_time"] * (variable in times)
+        columns += [F.col(f"{variable}_{s}").alias(f"{prefix}_{s}") for s in SUMMARY + extra]
     return wide.select(*keys, *columns)
 
 

@@ -9,9 +9,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark import rules
 from tidemark.functions.scalar import fill_zero, rate_per_kg_h
+from tidemark.functions.timeline import in_window, up_to
 from tidemark.operators.asof import as_of_last
 from tidemark.operators.assemble import assemble, flag_missing, left_features, matched_flag
-from tidemark.operators.events import SLICES, events_in_window, point_features, summarise_sum, tag_items
+from tidemark.operators.events import (
+    SLICES,
+    events_in_window,
+    join_cohort,
+    pivot_summary,
+    plausible,
+    point_features,
+    summarise,
+    summarise_sum,
+    tag_items,
+)
 from tidemark.operators.intervals import interval_exposure
 from tidemark.rules import KEYS, Item, Range
 
@@ -105,6 +116,33 @@ def weight(chartevents: DataFrame, cohort: DataFrame, r: FeatureRules = CLINICAL
     return as_of_last(valid, cohort, value_name="weight_kg", time_name="weight_time", slices=slices)
 
 
+def chart_features(
+    chartevents: DataFrame, cohort: DataFrame, r: FeatureRules = CLINICAL, slices: int = SLICES
+) -> DataFrame:
+    """Vitals and weight from one scan and one join of the largest table.
+
+    Weight is a variable like the others, except that anything up to and
+    including the landmark counts.
+    """
+    known = r.weight_range.variable
+    tagged = tag_items(chartevents.filter(F.col("valuenum").isNotNull()), [*r.vital_items, *r.weight_items])
+    kept = plausible(tagged, [*r.vital_ranges, r.weight_range])
+    kept = kept.select(*KEYS, "charttime", "variable", "valuenum")
+    inside = F.when(F.col("variable") == known, up_to("charttime", "prediction_time")).otherwise(
+        in_window("charttime", "intime", "prediction_time")
+    )
+    summary = summarise(join_cohort(kept, cohort, slices=slices).filter(inside))
+    prefixes = {**r.vital_prefixes, known: known}
+    wide = pivot_summary(summary, prefixes, counts=["heart_rate"], times=[known])
+    vital_columns = [c for c in wide.columns if c not in KEYS and not c.startswith(f"{known}_")]
+    return wide.select(
+        *KEYS,
+        *vital_columns,
+        F.col(f"{known}_last").alias("weight_kg"),
+        F.col(f"{known}_last_time").alias("weight_time"),
+    )
+
+
 def with_urine_rate(df: DataFrame) -> DataFrame:
     """mL per kg and hour from the zero-filled total and the weight, if known."""
     filled = fill_zero(df, URINE_ZERO)
@@ -124,23 +162,23 @@ def landmark_table(
 ) -> DataFrame:
     """The wide table.
 
-    `cohort` feeds seven joins: pass a staged one (`session.stage`), so that it
+    `cohort` feeds six joins: pass a staged one (`session.stage`), so that it
     is computed once. The sparse feature tables are joined directly; completing
     each of them first would join the cohort twice per table.
     """
     identity = [c for c in rules.WIDE_COHORT_COLUMNS if c in cohort.columns]
+    chart = chart_features(sources["chartevents"], cohort, r, slices)
     blocks = [
-        vitals(sources["chartevents"], cohort, r, slices),
+        chart,
         labs(sources["labevents"], cohort, r, slices),
         ventilation(sources["ventilation"], cohort, slices),
         pressors(sources["inputevents"], cohort, r, slices),
         urine(sources["outputevents"], cohort, r, slices),
-        weight(sources["chartevents"], cohort, r, slices),
     ]
     wide = assemble(cohort.select(*identity), blocks)
     wide = fill_zero(wide, VENTILATION_ZERO + pressor_zero(r))
     wide = flag_missing(with_urine_rate(wide), {"urine_output_missing": F.col("urine_output_ml_24h")})
-    features = [c for block in blocks[:4] for c in block.columns if c not in KEYS]
+    features = [c for b in blocks[:4] for c in b.columns if c not in (*KEYS, "weight_kg", "weight_time")]
     tail = [
         "urine_output_ml_24h", "urine_output_ml_kg_h_24h", "urine_measurement_count",
         "first_urine_time", "last_urine_time", "weight_kg", "weight_time", "urine_output_missing",

@@ -30,19 +30,22 @@ def session(master: str | None = None, app: str = "tidemark", **extra: str) -> S
     return builder.getOrCreate()
 
 
+_scratch: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that outlives an executor: `spark.checkpoint.dir`.
 
     Only a local master may go without it; there a scratch folder stands in.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    scratch = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    if not _scratch:
+        _scratch.append(tempfile.mkdtemp(prefix="run-"))
+    return _scratch[0]
 
 
 def use_checkpoints(spark: SparkSession) -> None:
