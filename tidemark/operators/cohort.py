@@ -68,13 +68,21 @@ def first_adult_stay(
 ) -> DataFrame:
     """First adult stay per patient, with patient and admission attributes.
 
-    Age depends on the stay only through its calendar year, so the first stay of
-    each patient and year is enough. Reducing to it before the patient join keeps
-    a patient with very many stays from landing in one join task.
+    The index stay is chosen on identifiers alone; attributes are joined to the
+    chosen stays only. Age depends on a stay through its calendar year, so the
+    first stay per patient and year is all the patient join needs: a patient with
+    very many stays arrives there with one row per year, not in one hot task.
     """
-    stays = admitted_stays(icustays, admissions).withColumn("_year", F.year("intime"))
-    candidates = first_per_key(stays, ["subject_id", "_year"], ["intime", "stay_id"]).drop("_year")
-    return first_per_key(adult_stays(candidates, patients, min_age), ["subject_id"], ["intime", "stay_id"])
+    admitted = icustays.select("subject_id", "hadm_id", "stay_id", "intime").join(
+        admissions.select("hadm_id", "subject_id"), ["hadm_id", "subject_id"], "left_semi"
+    )
+    earliest = F.min(F.struct("intime", "stay_id", "hadm_id")).alias("_first")
+    yearly = admitted.groupBy("subject_id", F.year("intime").alias("_year")).agg(earliest)
+    candidates = yearly.select("subject_id", "_first.*")
+    adults = adult_stays(candidates, patients, min_age)
+    index = ranked(adults, ["subject_id"], ["intime", "stay_id"], "_rank").filter(F.col("_rank") == 1)
+    rest = admitted_stays(icustays, admissions).drop("intime")
+    return index.drop("_rank").join(rest, ["subject_id", "hadm_id", "stay_id"])
 
 
 def with_landmark(stays: DataFrame, hours: int = 24) -> DataFrame:

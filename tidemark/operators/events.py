@@ -15,6 +15,10 @@ RULE_ROWS = 10_000
 # Slices per entity in a join of events with the cohort.
 SLICES = 8
 
+# A cohort counted up to this many rows may be broadcast: five 8-byte columns
+# make some 50 MB of it.
+BROADCAST_ROWS = 500_000
+
 SUMMARY = ["first", "last", "min", "max", "mean"]
 
 
@@ -60,6 +64,14 @@ def plausible(events: DataFrame, ranges: Sequence[Range], value: str = "valuenum
     return joined.drop("low", "high")
 
 
+def slices_for(cohort: DataFrame) -> int:
+    """0 (broadcast) for a cohort that was counted and is small, else SLICES.
+
+    Runs a count, which a staged cohort answers from its file footers.
+    """
+    return 0 if cohort.count() <= BROADCAST_ROWS else SLICES
+
+
 def join_cohort(
     facts: DataFrame,
     cohort: DataFrame,
@@ -73,13 +85,12 @@ def join_cohort(
     their content and the narrow cohort row is repeated once per slice: a hot
     entity spreads over several tasks, and because an aggregate by entity must
     shuffle its partial results afterwards, adaptive execution stays free to
-    split a slice that is still too large. Nothing is forced to broadcast; Spark
-    does so when the measured cohort is small. `slices=1` suits tables bucketed
-    by entity.
+    split a slice that is still too large. `slices=1` suits tables bucketed by
+    entity, `slices=0` a cohort whose size was checked: see `slices_for`.
     """
     bounds = cohort.select(*dict.fromkeys([*keys, *carry]))
     if slices <= 1:
-        return facts.join(bounds, list(keys))
+        return facts.join(bounds if slices else F.broadcast(bounds), list(keys))
     content = [c for c in facts.columns if c not in keys]
     facts = facts.withColumn("_slice", F.pmod(F.xxhash64(*content), F.lit(slices)).cast("int"))
     numbers = F.array(*[F.lit(i) for i in range(slices)])

@@ -19,6 +19,7 @@ from tidemark.operators.events import (
     pivot_summary,
     plausible,
     point_features,
+    slices_for,
     summarise,
     summarise_sum,
     tag_items,
@@ -158,15 +159,16 @@ def urine_table(
 
 
 def landmark_table(
-    cohort: DataFrame, sources: Mapping[str, DataFrame], r: FeatureRules = CLINICAL, slices: int = SLICES
+    cohort: DataFrame, sources: Mapping[str, DataFrame], r: FeatureRules = CLINICAL, slices: int | None = None
 ) -> DataFrame:
-    """The wide table.
+    """The wide table. Without `slices` the cohort is counted to choose them.
 
     `cohort` feeds six joins: pass a staged one (`session.stage`), so that it
     is computed once. The sparse feature tables are joined directly; completing
     each of them first would join the cohort twice per table.
     """
     identity = [c for c in rules.WIDE_COHORT_COLUMNS if c in cohort.columns]
+    slices = slices_for(cohort) if slices is None else slices
     chart = chart_features(sources["chartevents"], cohort, r, slices)
     blocks = [
         chart,
