@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.scalar import quoted
 from tidemark.functions.timeline import in_window
 from tidemark.rules import KEYS, Item, Range
 
@@ -189,8 +190,8 @@ def pivot_summary(
     columns = []
     for variable, prefix in prefixes.items():
         extra = ["measurement_count"] * (variable in counts) + ["last_time"] * (variable in times)
-        columns += [F.col(f"{variable}_{s}").alias(f"{prefix}_{s}") for s in SUMMARY + extra]
-    return wide.select(*keys, *columns)
+        columns += [f"{quoted(f'{variable}_{s}')} AS {quoted(f'{prefix}_{s}')}" for s in SUMMARY + extra]
+    return wide.selectExpr(*map(quoted, keys), *columns)
 
 
 def point_features(

@@ -9,8 +9,9 @@ from dataclasses import dataclass
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.functions.scalar import quoted
 from tidemark.operators.cohort import ranked
-from tidemark.operators.profile import _text_counts, is_missing, long_numbers, split_types
+from tidemark.operators.profile import _text_counts, long_numbers, missing_flags, split_types
 from tidemark.operators.ranking import exact_quantiles, hash_order
 from tidemark.rules import EXCLUDED_FEATURES
 
@@ -84,7 +85,8 @@ def fit_impute(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fit_indicators(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, missing_n) for columns with missing values in train."""
-    row = train.agg(*[F.count_if(is_missing(train, c)).alias(c) for c in columns])
+    flags = missing_flags(train, columns)
+    row = train.agg(*[F.expr(f"count_if({flag}) AS {quoted(c)}") for c, flag in flags.items()])
     return row.unpivot([], list(columns), "column", "missing_n").filter(F.col("missing_n") > 0)
 
 
@@ -188,22 +190,27 @@ class Preprocessor:
     def feature_names(self) -> list[str]:
         return [name for name, _ in self.features()]
 
-    def features(self) -> list[tuple[str, Column]]:
+    def features(self) -> list[tuple[str, str]]:
+        """Feature name and the SQL expression that computes it."""
         values = [
-            (f.column, (F.coalesce(_number(f.column), F.lit(f.median)) - f.mean) / f.scale)
+            (f.column, f"(coalesce({_number(f.column)}, {_double(f.median)}) - {_double(f.mean)}) / {_double(f.scale)}")
             for f in self.numeric
             if f.median is not None
         ]
         indicators = [
             (
                 f"missingindicator_{f.column}",
-                (_number(f.column).isNull().cast("double") - f.indicator_mean) / f.indicator_scale,
+                f"(CAST({_number(f.column)} IS NULL AS DOUBLE) - {_double(f.indicator_mean)}) "
+                f"/ {_double(f.indicator_scale)}",
             )
             for f in self.numeric
             if f.indicator_mean is not None
         ]
         flags = [
-            (f"{f.column}_{v}", (F.coalesce(F.col(f.column).cast("string"), F.lit(f.mode)) == v).cast("double"))
+            (
+                f"{f.column}_{v}",
+                f"CAST(coalesce(CAST({quoted(f.column)} AS STRING), {_text(f.mode)}) = {_text(v)} AS DOUBLE)",
+            )
             for f in self.categorical
             for v in f.values
         ]
@@ -211,11 +218,11 @@ class Preprocessor:
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """One named column per feature."""
-        return df.select(*keep, *[expr.alias(name) for name, expr in self.features()])
+        return df.selectExpr(*map(quoted, keep), *[f"{sql} AS {quoted(name)}" for name, sql in self.features()])
 
     def transform_vector(self, df: DataFrame, keep: Sequence[str] = (), output: str = "features") -> DataFrame:
         """All features in one vector column, for training and scoring."""
-        vector = array_to_vector(F.array(*[expr for _, expr in self.features()]))
+        vector = array_to_vector(F.expr(f"array({', '.join(sql for _, sql in self.features())})"))
         return df.select(*keep, vector.alias(output))
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -248,8 +255,16 @@ _STATE = (
 )
 
 
-def _number(column: str) -> Column:
-    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+def _number(column: str) -> str:
+    return f"nanvl(CAST({quoted(column)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def _double(value: float) -> str:
+    return f"({value!r}D)"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _fit_numbers(train: DataFrame, columns: list[str]) -> tuple[NumericFit, ...]:

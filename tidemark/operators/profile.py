@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.scalar import quoted
 from tidemark.functions.timeline import hours_between
 from tidemark.operators.cohort import ranked
 from tidemark.operators.ranking import exact_quantiles
@@ -26,22 +27,27 @@ def split_types(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str],
     return numeric, categorical
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
-    """Null, or NaN in a floating column."""
-    null = F.col(column).isNull()
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return null | F.isnan(column)
-    return null
+def missing_flags(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """Per column a SQL predicate: null, or NaN in a floating column."""
+    kinds = dict(df.dtypes)
+
+    def flag(c: str) -> str:
+        null = f"{quoted(c)} IS NULL"
+        return f"({null} OR isnan({quoted(c)}))" if kinds[c] in ("double", "float") else null
+
+    return {c: flag(c) for c in columns}
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep, column, value): numbers as double, NaN as null."""
-    doubles = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
-    return df.select(*keep, *doubles).unpivot(list(keep), list(columns), "column", "value")
+    names = [quoted(c) for c in columns]
+    doubles = [f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {c}" for c in names]
+    return df.selectExpr(*map(quoted, keep), *doubles).unpivot(list(keep), list(columns), "column", "value")
 
 
 def long_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+    names = [quoted(c) for c in columns]
+    return df.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in names]).unpivot(
         [], list(columns), "column", "value"
     )
 
@@ -52,7 +58,7 @@ def _long_row(row: DataFrame, columns: Sequence[str], name: str, value: str) ->
 
 def structure(df: DataFrame) -> DataFrame:
     """Column, type and non-null count, in schema order."""
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    counts = df.agg(*[F.expr(f"count({quoted(c)}) AS {quoted(c)}") for c in df.columns])
     types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
     order = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns) for x in (c, i)])
     return _long_row(counts, df.columns, "column", "non_null").select(
@@ -120,7 +126,8 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def missingness(df: DataFrame) -> DataFrame:
     """Missing count and percent per column, most missing first; one scan."""
     row = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(is_missing(df, c)).alias(c) for c in df.columns]
+        F.count("*").alias("_rows"),
+        *[F.expr(f"count_if({flag}) AS {quoted(c)}") for c, flag in missing_flags(df, df.columns).items()],
     )
     long = row.unpivot(["_rows"], df.columns, "column", "missing_n")
     percent = F.try_divide(F.col("missing_n"), F.col("_rows")) * 100
@@ -284,16 +291,15 @@ def window_check(
 
 
 def clean_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Total null and infinite entries over `columns`."""
-    # One small sum per column, then one over the columns; no row blow-up.
-    null = [F.count_if(is_missing(df, c)) for c in columns]
-    infinite = [F.count_if(F.col(c).cast("double").isin(float("inf"), float("-inf"))) for c in columns]
-    row = df.agg(F.array(*null).alias("_null"), F.array(*infinite).alias("_infinite"))
+    """Total null and infinite entries over `columns`, counted row by row."""
+    numeric = split_types(df.select(*columns))[0]
+    infinite = [f"CAST({quoted(c)} AS DOUBLE) IN (DOUBLE('Infinity'), DOUBLE('-Infinity'))" for c in numeric]
 
-    def total(c: str) -> Column:
-        return F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b)
+    def total(flags: Sequence[str]) -> Column:
+        return F.expr(f"coalesce(sum(size(filter(array({', '.join(flags) or 'false'}), hit -> hit))), 0)")
 
-    return row.select(total("_null").alias("null_n"), total("_infinite").alias("infinite_n"))
+    missing = list(missing_flags(df, columns).values())
+    return df.agg(total(missing).alias("null_n"), total(infinite).alias("infinite_n"))
 
 
 def assert_clean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
