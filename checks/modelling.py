@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from checks.features import wide_sql, wide_table
 from checks.ingest import SPLIT_SQL
 from checks.registry import check, cohort_df, cohort_sql
+from checks.scoring import AUROC, points_sql
 from checks.views import view, with_views
 from tidemark import rules
 from tidemark.operators import prep as pp, train as tr
-from tidemark.operators.explain import NEGATIVE, POSITIVE, coef_table
+from tidemark.operators.explain import NEGATIVE, POSITIVE, PRIME, coef_table, permutation_importance
 from tidemark.session import stage
 
 TARGET = rules.TARGET
@@ -296,3 +297,29 @@ def _(spark, sf):
         F.round("absolute_coefficient", 3).alias("absolute_coefficient"),
         "direction",
     )
+
+
+# The shuffles follow from the row number alone, so SQL can repeat them.
+@check(
+    "L02_importance_of_a_flag",
+    with_views(
+        "predictions",
+        "SELECT 'flag' AS feature, avg(drop) AS importance_mean, stddev_pop(drop) AS importance_std FROM "
+        f"(SELECT r, (SELECT {AUROC} FROM points_before) - {AUROC} AS drop FROM points_after GROUP BY r)",
+        flagged=FLAGGED,
+        weighted=WEIGHTED,
+        numbered="SELECT y, rate AS p, row_number() OVER (ORDER BY md5('42:' || CAST(entity_id AS VARCHAR)), entity_id) - 1 AS i, "
+        "count(*) OVER () AS n FROM flagged JOIN weighted USING (flag)",
+        before="SELECT 0 AS r, y, p FROM numbered",
+        shifts="SELECT r, CAST('0x' || substr(md5('42:0:' || r), 1, 15) AS BIGINT) AS b FROM (VALUES (0), (1), (2)) AS t(r)",
+        received=f"SELECT r, t.y, d.p FROM (SELECT *, ({PRIME} % n * i + b % n) % n AS donor FROM numbered, shifts) t "
+        "JOIN numbered d ON d.i = t.donor",
+        points_before=points_sql("r", "before"),
+        points_after=points_sql("r", "received"),
+    ),
+    "importance_mean importance_std",
+)
+def _(spark, sf):
+    rows = flagged(spark, sf)
+    model = tr.train_logistic(rows, "y", c=1e9)
+    return permutation_importance(model, rows, "y", "entity_id", ["flag"], n_repeats=3)

@@ -167,7 +167,7 @@ def test_shuffles_are_permutations(spark):
     for slot, s in enumerate(plan):
         got = {r["_row"]: r.replaced[slot].value for r in rows}
         assert sorted(got.values()) == list(range(n))
-        assert all(v == (s.a * i + s.b) % n for i, v in got.items())
+        assert all(v == (ex.PRIME * i + s.shift) % n for i, v in got.items())
 
 
 def test_permutation_importance(vectors, models, fitted):

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from math import gcd
-from random import Random
+from hashlib import md5
 from typing import NamedTuple
 
 from pyspark.ml import Model
@@ -50,29 +49,27 @@ def top_bottom(df: DataFrame, column: str, k: int = 15, tie: str = "feature") ->
 # -- permutation importance ----------------------------------------------------
 
 
+# A prime above any row count, so that its remainder has no divisor in common
+# with the count.
+PRIME = (1 << 61) - 1
+
+
 class Shuffle(NamedTuple):
-    """Row i receives the feature value of row (a*i + b) mod n, with a and n
-    coprime.
+    """Row i receives the feature value of row (PRIME * i + shift) mod n.
 
     Row numbers already follow a random order, so such a map pairs rows at
     random; unlike a sort per shuffle it needs nothing but the row number.
     """
 
     feature: int
-    a: int
-    b: int
+    shift: int
 
 
 def _shuffles(features: Sequence[int], repeats: int, n: int, seed: int) -> list[Shuffle]:
-    draw = Random(seed)
-    plan = []
-    for feature in features:
-        for _ in range(repeats):
-            a = draw.randrange(1, n + 1)
-            while gcd(a, n) != 1:
-                a = draw.randrange(1, n + 1)
-            plan.append(Shuffle(feature, a, draw.randrange(n)))
-    return plan
+    def shift(feature: int, repeat: int) -> int:
+        return int(md5(f"{seed}:{feature}:{repeat}".encode()).hexdigest()[:15], 16) % n
+
+    return [Shuffle(f, shift(f, r)) for f in features for r in range(repeats)]
 
 
 def shuffled_values(numbered: DataFrame, shuffles: Sequence[Shuffle], n: int) -> DataFrame:
@@ -81,13 +78,13 @@ def shuffled_values(numbered: DataFrame, shuffles: Sequence[Shuffle], n: int) ->
     Each row sends its own value to the row that asks for it, so only numbers are
     shuffled, never whole vectors. An array holds one entry per shuffle.
     """
-    # a * row stays exact: 64 bits suffice below 2**31 rows.
+    # The product stays exact: 64 bits suffice below 2**31 rows.
     number = "long" if n < 1 << 31 else "decimal(38,0)"
     donations = []
+    inverse = F.lit(pow(PRIME, -1, n)).cast(number)
     for slot, shuffle in enumerate(shuffles):
-        inverse = pow(shuffle.a, -1, n) if n > 1 else 0
-        steps = F.pmod(F.col("_row") - F.lit(shuffle.b), F.lit(n)).cast(number)
-        target = F.pmod(steps * F.lit(inverse).cast(number), F.lit(n).cast(number))
+        steps = F.pmod(F.col("_row") - F.lit(shuffle.shift), F.lit(n)).cast(number)
+        target = F.pmod(steps * inverse, F.lit(n).cast(number))
         donations.append(
             F.struct(
                 target.cast("long").alias("_row"), F.lit(slot).alias("slot"), F.col("_x")[shuffle.feature].alias("value")
