@@ -22,11 +22,13 @@ def select_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
+def stay_attributes(icustays: DataFrame) -> DataFrame:
+    return select_present(icustays, STAY_COLUMNS + ["los"]).withColumnRenamed("los", "icu_los_days")
+
+
 def admitted_stays(icustays: DataFrame, admissions: DataFrame) -> DataFrame:
     """Stays with the attributes of their admission."""
-    stays = select_present(icustays, STAY_COLUMNS + ["los"])
-    if "los" in stays.columns:
-        stays = stays.withColumnRenamed("los", "icu_los_days")
+    stays = stay_attributes(icustays)
     return stays.join(select_present(admissions, ADMISSION_COLUMNS), ["hadm_id", "subject_id"])
 
 
@@ -81,8 +83,8 @@ def first_adult_stay(
     candidates = yearly.select("subject_id", "_first.*")
     adults = adult_stays(candidates, patients, min_age)
     index = ranked(adults, ["subject_id"], ["intime", "stay_id"], "_rank").filter(F.col("_rank") == 1)
-    rest = admitted_stays(icustays, admissions).drop("intime")
-    return index.drop("_rank").join(rest, ["subject_id", "hadm_id", "stay_id"])
+    chosen = index.drop("_rank", "intime").join(stay_attributes(icustays), ["subject_id", "hadm_id", "stay_id"])
+    return chosen.join(select_present(admissions, ADMISSION_COLUMNS), ["hadm_id", "subject_id"])
 
 
 def with_landmark(stays: DataFrame, hours: int = 24) -> DataFrame:

@@ -29,6 +29,14 @@ def null_violations(df: DataFrame, name: str | None = None, required: Sequence[s
     return counts.unpivot([], required, "column", "violations")
 
 
+def require_not_null(df: DataFrame, name: str | None = None, required: Sequence[str] = ()) -> DataFrame:
+    """Raise when a NOT NULL column holds a null (runs a job)."""
+    broken = [r.column for r in null_violations(df, name, required).collect() if r.violations]
+    if broken:
+        raise ValueError(f"null in {', '.join(broken)}")
+    return df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
