@@ -183,5 +183,10 @@ def test_labs_without_a_stay_follow_the_window(spark, one):
     assert not [c for c in r.asDict() if c.startswith("hematocrit")]
 
 
-def test_rules_are_data():
-    assert FeatureRules(weight_items=[Item(1, "weight")]).vital_items is not None
+def test_rules_are_data(spark, one):
+    events = chart(spark, [(T0 + H, 7, 55.0), (T0 + H, 8, 66.0), (T0 + H, 9, 1.0)])
+    row = plan.weight(events, one, FeatureRules(weight_items=[Item(7, "weight"), Item(8, "weight")])).first()
+    assert row.weight_kg == 66.0
+    items = spark.createDataFrame([(7, "a"), (8, "a"), (9, "b")], "itemid int, variable string")
+    ranges = spark.createDataFrame([("a", 55.0, 66.0)], "variable string, low double, high double")
+    assert ev.plausible(ev.tag_items(events, items), ranges).count() == 2

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tidemark.operators import explain as ex, metrics as me
+from tidemark.operators import explain as ex, metrics as me, ranking
 from tidemark.operators.ranking import exact_quantiles, hash_order, running_totals, with_rank
 from pyspark.sql import functions as F
 
@@ -97,8 +97,10 @@ def test_calibration_slope_recovers_a_known_line(spark):
     assert r.calibration_slope == pytest.approx(0.7, abs=0.06)
 
 
-@pytest.mark.parametrize("rounds", [1, 2])
-def test_exact_quantiles(spark, rounds):
+@pytest.mark.parametrize("short", [0, 100, 1_000_000])
+def test_exact_quantiles(spark, short, monkeypatch):
+    monkeypatch.setattr(ranking, "SHORT_RANGE", short)
+    monkeypatch.setattr(ranking, "VALUE_CELLS", 16)
     rng = np.random.default_rng(1)
     groups = {
         "wide": np.concatenate([rng.lognormal(0, 4, 3000), [1e12, -1e9]]),
@@ -114,7 +116,7 @@ def test_exact_quantiles(spark, rounds):
     df = spark.createDataFrame(pdf).unionByName(
         spark.createDataFrame([("few", None), ("empty", None)], "g string, v double")
     )
-    got = {(r.g, r.fraction): r["quantile"] for r in exact_quantiles(df, ["g"], "v", fractions, rounds).collect()}
+    got = {(r.g, r.fraction): r["quantile"] for r in exact_quantiles(df, ["g"], "v", fractions).collect()}
     assert len(got) == len(groups) * len(fractions)
     for g, v in groups.items():
         for f in fractions:

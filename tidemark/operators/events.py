@@ -47,20 +47,23 @@ def range_table(spark: SparkSession, rows: Sequence[Range]) -> DataFrame:
     return _rule_table(spark, rows, "variable, low, high")
 
 
-def tag_items(events: DataFrame, items: Sequence[Item]) -> DataFrame:
+def tag_items(events: DataFrame, items: Sequence[Item] | DataFrame) -> DataFrame:
     """Keep mapped items and name their variable.
 
-    The id list is also a plain filter, which reaches the parquet scan.
+    The ids of a map given as rows are also a plain filter, which reaches the
+    parquet scan. A map given as a table is joined as Spark sees fit.
     """
+    if isinstance(items, DataFrame):
+        return events.join(items, "itemid")
     wanted = sorted({item.itemid for item in items})
     kept = events.filter(F.col("itemid").isin(wanted))
     return kept.join(item_map(events.sparkSession, items), "itemid")
 
 
-def plausible(events: DataFrame, ranges: Sequence[Range], value: str = "valuenum") -> DataFrame:
+def plausible(events: DataFrame, ranges: Sequence[Range] | DataFrame, value: str = "valuenum") -> DataFrame:
     """Keep values inside the inclusive range of their variable; a variable
     without a range is dropped."""
-    table = range_table(events.sparkSession, ranges)
+    table = ranges if isinstance(ranges, DataFrame) else range_table(events.sparkSession, ranges)
     joined = events.join(table, "variable").filter(F.col(value).between(F.col("low"), F.col("high")))
     return joined.drop("low", "high")
 

@@ -217,7 +217,7 @@ def calibration_curve(
     long: DataFrame, bins: int = 10, by: Sequence[str] = ("model",), y: str = "y", p: str = "p"
 ) -> DataFrame:
     """Mean score and event share per quantile bin; a bin is the number of inner
-    edges below the score, and empty bins are absent."""
+    edges below the score, and empty bins are absent (runs jobs for the edges)."""
     inner = [i / bins for i in range(1, bins)]
     edges = exact_quantiles(long, by, p, inner).groupBy(*by).agg(F.collect_list("quantile").alias("_edges"))
     # One row of `bins - 1` numbers per group.

@@ -33,7 +33,7 @@ def stratified_split(
     key, so the split is repeatable and does not depend on partitioning. Only the
     key that ends the test part is looked for: cell counts name its cell, and
     that cell alone is ordered. The table itself is never shuffled; one cut per
-    class is broadcast to it.
+    class of the 0/1 target is broadcast to it.
     """
     order = hash_order(key, seed) if order is None else order
     placed = df.select(y, F.col(key).alias("_key"), order.alias("_order"))
@@ -78,7 +78,8 @@ def with_class_weight(df: DataFrame, y: str) -> DataFrame:
 
 
 def fit_impute(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, median) of the non-missing values; an all-missing column has none."""
+    """(column, median) of the non-missing values; an all-missing column has none
+    (runs jobs)."""
     medians = exact_quantiles(long_numbers(train, columns), ["column"], "value", [0.5])
     return medians.select("column", F.col("quantile").alias("median"))
 

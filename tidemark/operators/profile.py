@@ -146,7 +146,8 @@ def missing_only(report: DataFrame) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample deviation, extremes, quartiles and missing share."""
+    """count, mean, sample deviation, extremes, quartiles and missing share
+    (runs jobs for the quartiles)."""
     columns = list(columns or split_types(df)[0])
     long = long_numbers(df, columns)
     moments = long.groupBy("column").agg(
@@ -238,7 +239,8 @@ def histogram_by(df: DataFrame, columns: Sequence[str], target: str, bins: int =
 
 
 def compare_by(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """count, mean, median, deviation and extremes per column and outcome."""
+    """count, mean, median, deviation and extremes per column and outcome (runs
+    jobs for the medians)."""
     long = long_numbers(df, columns, [target])
     moments = long.groupBy("column", target).agg(
         F.count("value").alias("count"),
@@ -270,7 +272,8 @@ def crosstab_pct(df: DataFrame, rows: str, columns: Sequence[str]) -> DataFrame:
 def window_check(
     df: DataFrame, low: str = "intime", high: str = "prediction_time", hours: float = 24.0
 ) -> DataFrame:
-    """Describe window lengths and count those that are not `hours` long.
+    """Describe window lengths and count those that are not `hours` long (runs
+    jobs for the quartiles).
 
     The tolerance is 0.01 h plus 1e-5 of the length; an unknown length counts.
     """

@@ -8,15 +8,20 @@ the same answer.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Score cells of a running total; a window over cells sees at most this many rows.
 SCORE_CELLS = 1 << 20
 
-# Histogram cells per group and round of an exact quantile.
+# Exact quantiles: histogram cells per range and pass, the number of values that
+# are counted one by one, and the passes after which they are in any case.
 VALUE_CELLS = 4096
+SHORT_RANGE = 1_000_000
+MAX_PASSES = 8
 
 
 def _cell(share: Column, parts: int) -> Column:
@@ -75,77 +80,99 @@ def with_rank(
     return ranked.select(*df.columns, name)
 
 
-def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, fractions: Sequence[float], rounds: int = 2
-) -> DataFrame:
-    """(`by`, fraction, quantile): exact quantiles with linear interpolation.
-
-    Each wanted rank is narrowed by counting: a histogram over a group's range
-    shows which cell holds the rank, the next round counts inside that cell only,
-    and just the values left at the end are ordered. Histograms merge map-side,
-    so no task holds a group, however large. `by` must name few groups (columns,
-    models, classes): the ranges looked for, a handful per group, are broadcast.
-    Null and NaN are left out; a group without values has no rows.
-    """
-    number = F.col(value).cast("double")
-    data = df.select(*by, number.alias("_v")).filter(number.isNotNull() & ~F.isnan(number))
-    ranges = (
-        data.groupBy(*by)
-        .agg(F.count("*").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .withColumn("_ranks", _wanted_ranks(fractions))
-        .withColumn("_skip", F.lit(0).cast("long"))
-    )
-    for _ in range(rounds):
-        ranges = _narrow(data, by, ranges, _cell(_share(), VALUE_CELLS))
-    found = _narrow(data, by, ranges, F.col("_v"))
-    found = found.select(*by, "_total", F.explode("_ranks").alias("_rank"), F.col("_lo").alias("_v"))
-    values = found.groupBy(*by, "_total").agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at")
-    )
-    each = values.withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
-    position = (F.col("_total") - 1) * F.col("fraction")
-    low, high = F.col("_at")[F.floor(position)], F.col("_at")[F.ceil(position)]
-    between = low + (high - low) * (position - F.floor(position))
-    quantile = F.when(low == high, low).otherwise(between)
-    return each.select(*by, "fraction", quantile.alias("quantile"))
-
+class _Range(NamedTuple):
+    """Part of a group's values that holds wanted ranks: `n` values from `low`
+    to `high`, with `skip` values of the group below."""
 
-def _wanted_ranks(fractions: Sequence[float]) -> Column:
-    positions = [(F.col("_total") - 1) * F.lit(float(f)) for f in fractions]
-    return F.array_distinct(F.array(*[r for p in positions for r in (F.floor(p), F.ceil(p))]))
+    group: tuple
+    low: float
+    high: float
+    skip: int
+    n: int
+    ranks: tuple[int, ...]
 
 
-def _share() -> Column:
-    """Where `_v` lies between `_lo` and `_hi`, on a scale that compresses long
-    tails; monotone, which is all that exactness needs."""
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:
+    """(`by`, fraction, quantile): exact quantiles with linear interpolation
+    (runs jobs).
 
-    def squash(c: str) -> Column:
-        return F.signum(c) * F.log1p(F.abs(F.col(c)))
+    Wanted ranks are narrowed by counting. A histogram over a group's range shows
+    which cells hold them; the next pass counts inside those cells only, until a
+    million values or fewer are left, which are counted one by one. Histograms
+    merge map-side, so no task holds a group, however large or crowded.
 
-    width = squash("_hi") - squash("_lo")
-    return F.when(width > 0, (squash("_v") - squash("_lo")) / width).otherwise(0.0)
-
-
-def _narrow(data: DataFrame, by: Sequence[str], ranges: DataFrame, cell: Column) -> DataFrame:
-    """Replace each range by those of its cells that hold a wanted rank."""
-    joined = data.join(F.broadcast(ranges), list(by)).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    group = [*by, "_lo", "_hi", "_total", "_ranks", "_skip"]
-    cells = joined.groupBy(*group, cell.alias("_cell")).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
+    `by` must name few groups (columns, models, classes): a handful of ranges per
+    group goes to the driver and back as a broadcast. Null and NaN are left out;
+    a group without values has no rows.
+    """
+    number = F.col(value).cast("double")
+    data = df.select(*by, number.alias("_v")).filter(number.isNotNull() & ~F.isnan(number))
+    extent = data.groupBy(*by).agg(F.min("_v").alias("low"), F.max("_v").alias("high"), F.count("*").alias("n"))
+    totals, found, open_ranges = {}, {}, []
+    for row in extent.collect():
+        group = tuple(row[b] for b in by)
+        totals[group] = row.n
+        ranks = {r for f in fractions for r in _neighbours(row.n, f)}
+        open_ranges.append(_Range(group, row.low, row.high, 0, row.n, tuple(sorted(ranks))))
+    for attempt in range(MAX_PASSES):
+        for r in open_ranges:
+            if r.low == r.high:
+                found.update({(r.group, rank): r.low for rank in r.ranks})
+        open_ranges = [r for r in open_ranges if r.low != r.high]
+        if not open_ranges:
+            break
+        open_ranges = _narrow(data, by, open_ranges, value_by_value=attempt >= MAX_PASSES - 2)
+
+    def quantile(group: tuple, fraction: float) -> float:
+        below, above = _neighbours(totals[group], fraction)
+        low, high = found[group, below], found[group, above]
+        return low if low == high else low + (high - low) * ((totals[group] - 1) * fraction - below)
+
+    rows = [(*group, float(f), quantile(group, f)) for group in totals for f in fractions]
+    names = [T.StructField("fraction", T.DoubleType()), T.StructField("quantile", T.DoubleType())]
+    schema = T.StructType([*[data.schema[b] for b in by], *names])
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def _neighbours(n: int, fraction: float) -> tuple[int, int]:
+    position = (n - 1) * float(fraction)
+    return math.floor(position), math.ceil(position)
+
+
+def _squash(value: Column) -> Column:
+    """A monotone scale that compresses long tails and bounds infinities."""
+    return F.signum(value) * F.least(F.log1p(F.abs(value)), F.lit(1000.0))
+
+
+def _narrow(data: DataFrame, by: Sequence[str], ranges: list[_Range], value_by_value: bool) -> list[_Range]:
+    """The cells of the ranges that hold a wanted rank, as new ranges.
+
+    Short ranges have a cell per value; the others are cut into VALUE_CELLS.
+    """
+    spark = data.sparkSession
+    rows = [(*r.group, i, r.low, r.high, r.skip, value_by_value or r.n <= SHORT_RANGE, list(r.ranks)) for i, r in enumerate(ranges)]
+    fields = "_id int, _low double, _high double, _skip long, _short boolean, _ranks array<long>"
+    schema = T.StructType([*[data.schema[b] for b in by], *T.StructType.fromDDL(fields).fields])
+    table = spark.createDataFrame(rows, schema)
+    low, v = F.col("_low"), F.col("_v")
+    scaled = table.drop("_ranks", "_skip").withColumn("_width", _squash(F.col("_high")) - _squash(low))
+    inside = data.join(F.broadcast(scaled), list(by)).filter(v.between(low, F.col("_high")))
+    share = F.when(F.col("_width") > 0, (_squash(v) - _squash(low)) / F.col("_width")).otherwise(0.0)
+    cell = F.when(F.col("_short"), v).otherwise(_cell(share, VALUE_CELLS))
+    cells = inside.groupBy("_id", cell.alias("_cell")).agg(
+        F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
     )
-    earlier = Window.partitionBy(*by, "_lo").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_skip") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    held = F.filter("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_n")))
-    return (
-        cells.withColumn("_start", start)
-        .withColumn("_held", held)
-        .filter(F.size("_held") > 0)
-        .select(
-            *by,
-            F.col("_min").alias("_lo"),
-            F.col("_max").alias("_hi"),
-            "_total",
-            F.col("_held").alias("_ranks"),
-            F.col("_start").alias("_skip"),
-        )
+    earlier = Window.partitionBy("_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    counted = cells.withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    start = F.col("_skip") + F.col("_before")
+    held = F.filter("_ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
+    hits = (
+        counted.join(F.broadcast(table.select("_id", "_skip", "_ranks")), "_id")
+        .withColumn("start", start)
+        .withColumn("held", held)
+        .filter(F.size("held") > 0)
     )
+    return [
+        _Range(ranges[r["_id"]].group, r.low, r.high, r.start, r.n, tuple(r.held))
+        for r in hits.select("_id", "low", "high", "start", "n", "held").collect()
+    ]
