@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import types as T
 
 from tidemark.operators import cohort as co, events as ev, intervals as iv
 from tidemark.plans import landmark_table as plan
@@ -17,9 +18,7 @@ END = T0 + 24 * H
 
 def table(spark, name, rows):
     """Rows as dicts; absent columns are null."""
-    schema = TABLES[name]
-    for field in schema.fields:
-        field.nullable = True
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in TABLES[name].fields])
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
 
 
