@@ -99,7 +99,7 @@ SWEEP = rates_sql(
 )
 
 
-@check("K06_threshold_sweep", scored(SWEEP.replace("count(*) FILTER", "count(*) FILTER")), f"threshold {RATE_NAMES}")
+@check("K06_threshold_sweep", scored(SWEEP), f"threshold {RATE_NAMES}")
 def _(spark, sf):
     return me.threshold_sweep(long(spark, sf)).selectExpr(
         "model", "threshold", "tn", "fp", "fn", "tp", *RATE_NAMES.split()

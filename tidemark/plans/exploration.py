@@ -10,7 +10,7 @@ from tidemark import rules
 from tidemark.operators import profile as pr
 from tidemark.sources.io import write_csv
 
-# Reports small enough for one file; the others may keep one file per task.
+# Columns in the short missingness report.
 TOP_MISSING = 40
 
 
