@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +28,11 @@ def session(master: str | None = None, app: str = "tidemark", **extra: str) -> S
     return builder.getOrCreate()
 
 
-_scratch: list[str] = []
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that outlives an executor: `spark.checkpoint.dir`.
-
-    Only a local master may go without it; there a scratch folder stands in.
-    """
+    """The folder that outlives an executor: `spark.checkpoint.dir`, or, where it
+    is unset, a folder of the warehouse, which the cluster shares as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if not _scratch:
-        _scratch.append(tempfile.mkdtemp(prefix="run-"))
-    return _scratch[0]
+    return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -61,6 +48,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     executor does not recompute it, and later joins know its true size.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
