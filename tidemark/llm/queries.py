@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.byte_bpe import token_digests
 from tidemark.llm.exact_dedup import duplicate_groups
 
 
@@ -15,8 +17,13 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf, "documents"), keep="largest")
 
 
+def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return token_digests(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
 }
 
 ORACLE_SQL = {
