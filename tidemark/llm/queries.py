@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.byte_bpe import token_digests
 from tidemark.llm.exact_dedup import duplicate_groups
+from tidemark.llm.langid import fit_profiles, held_out, identified
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,9 +22,16 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").withColumn("held_out", held_out())
+    profiles = fit_profiles(docs.where("NOT held_out"))
+    return identified(docs, profiles, carry=["doc_id", "held_out"])
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL = {
