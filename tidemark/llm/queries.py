@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.byte_bpe import token_digests
 from tidemark.llm.exact_dedup import duplicate_groups
 from tidemark.llm.langid import fit_profiles, held_out, identified
+from tidemark.llm.pii import BASE, personal_spans
+from tidemark.llm.secrets import secret_spans
+from tidemark.llm.spans import count_of, written
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +25,29 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_spans(_table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        *(count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = personal_spans(_table(spark, sf, "documents"))
+    base = F.filter("spans", lambda x: x["rank"] < BASE)
+    scores = F.transform("spans", lambda x: x["score"].cast("string"))
+    return found.select(
+        "doc_id",
+        *(count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")),
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+        F.array_join(scores, ",").alias("scores"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").withColumn("held_out", held_out())
     profiles = fit_profiles(docs.where("NOT held_out"))
@@ -31,6 +57,8 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_secrets": op7_secrets,
+    "op8_pii": op8_pii,
     "op9_language_id": op9_language_id,
 }
 
