@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.byte_bpe import token_digests
 from tidemark.llm.exact_dedup import duplicate_groups
 from tidemark.llm.langid import fit_profiles, held_out, identified
+from tidemark.llm.mixing import mixture
 from tidemark.llm.pii import BASE, personal_spans
 from tidemark.llm.secrets import secret_spans
 from tidemark.llm.spans import count_of, written
@@ -17,6 +18,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixture(_table(spark, sf, "documents"), entropy=0.95, budget=1.0, carry=["doc_id"])
+    return mixed.select("doc.doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "epochs", "block", "copies")
+
+
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf, "documents"), keep="largest")
 
@@ -55,6 +61,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_secrets": op7_secrets,
@@ -63,6 +70,52 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_mixing": """
+        WITH RECURSIVE rows AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens,
+                   ('0x' || substr(md5('doc42:' || doc_id), 1, 15))::BIGINT AS key
+            FROM documents),
+        shares AS (
+            SELECT source, sum(n_tokens)::DOUBLE AS tokens, count(*) AS n_rows,
+                   sum(n_tokens)::DOUBLE / sum(sum(n_tokens)) OVER () AS share
+            FROM rows GROUP BY source),
+        listed AS (SELECT list(ln(share)) AS l, 0.95::DOUBLE * ln(count(*)) AS target FROM shares WHERE tokens > 0),
+        tries AS (
+            SELECT 0 AS k, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high, 1.0::DOUBLE AS a, l, target FROM listed
+            UNION ALL
+            SELECT k + 1, CASE WHEN good THEN a ELSE low END, CASE WHEN good THEN high ELSE a END,
+                   CASE WHEN good THEN a + high ELSE low + a END / 2, l, target
+            FROM (
+                SELECT *, ln(z) - m / z >= target AS good
+                FROM (
+                    SELECT *, list_sum(list_transform(l, lambda x: exp(a * x))) AS z,
+                           list_sum(list_transform(l, lambda x: exp(a * x) * a * x)) AS m
+                    FROM tries))
+            WHERE k < 26),
+        exponent AS (SELECT CASE WHEN max(low) FILTER (k = 1) = 1 THEN 1.0 ELSE max(low) FILTER (k = 26) END AS a FROM tries),
+        weighted AS (
+            SELECT *, round(weight / share, 9) AS epochs
+            FROM (
+                SELECT *, heated / sum(heated) OVER () AS weight
+                FROM (SELECT s.*, exp(e.a * ln(share)) AS heated FROM shares s, exponent e))),
+        bits AS (SELECT greatest(0, ceil(log2(max(n_rows) / 1024)))::INT AS bits FROM shares),
+        keyed AS (SELECT r.*, key >> (60 - bits) AS block FROM rows r, bits),
+        cells AS (
+            SELECT source, block, sum(n_tokens) AS cell,
+                   ('0x' || substr(md5('block42:' || source || ':' || block), 1, 15))::BIGINT AS ord
+            FROM keyed GROUP BY source, block),
+        placed AS (
+            SELECT c.source, c.block, cell, weight, epochs, floor(epochs) AS whole,
+                   (epochs - floor(epochs)) * tokens - coalesce(sum(cell) OVER (
+                       PARTITION BY c.source ORDER BY ord, c.block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+            FROM cells c JOIN weighted w USING (source))
+        SELECT doc_id, source, n_tokens, round(weight, 9) AS weight, epochs, block,
+               (whole + CASE WHEN room >= cell OR filled <= room THEN 1 ELSE 0 END)::BIGINT AS copies
+        FROM (
+            SELECT k.*, cell, weight, epochs, whole, room,
+                   sum(n_tokens) OVER (PARTITION BY source, block ORDER BY key) AS filled
+            FROM keyed k JOIN placed USING (source, block))
+    """,
     "op3_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (
