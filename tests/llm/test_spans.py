@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import pii, queries, secrets
+from tidemark.llm import pii, queries, secret_scan as secrets
 from tidemark.llm.spans import located
 
 

@@ -9,8 +9,9 @@ from tidemark.llm.byte_bpe import token_digests
 from tidemark.llm.exact_dedup import duplicate_groups
 from tidemark.llm.langid import fit_profiles, held_out, identified
 from tidemark.llm.mixing import mixture
+from tidemark.llm.near_dedup import near_groups
 from tidemark.llm.pii import BASE, personal_spans
-from tidemark.llm.secrets import secret_spans
+from tidemark.llm.secret_scan import secret_spans
 from tidemark.llm.spans import count_of, written
 
 
@@ -27,6 +28,11 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf, "documents"), keep="largest")
 
 
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    groups = near_groups(_table(spark, sf, "documents"), k=2, percent=80, carry=["doc_id", "text"])
+    return groups.select("doc.doc_id", "n_shingles", "component_id", (F.col("doc.doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -63,6 +69,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_secrets": op7_secrets,
     "op8_pii": op8_pii,
