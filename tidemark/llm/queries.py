@@ -13,6 +13,7 @@ from tidemark.llm.near_dedup import near_groups
 from tidemark.llm.pii import BASE, personal_spans
 from tidemark.llm.secret_scan import secret_spans
 from tidemark.llm.spans import count_of, written
+from tidemark.llm.warc import derivatives, responses
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -37,6 +38,11 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op6_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    made = derivatives(responses(_table(spark, sf, "pages")))
+    return made.withColumns({kind: F.col(kind).cast("string") for kind in ("metadata", "conversion")})
+
+
 def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     found = secret_spans(_table(spark, sf, "documents"))
     return found.select(
@@ -71,6 +77,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_secrets": op7_secrets,
     "op8_pii": op8_pii,
     "op9_language_id": op9_language_id,
