@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,13 +15,21 @@ from tidemark.llm.near_dedup import near_groups
 from tidemark.llm.pii import BASE, personal_spans
 from tidemark.llm.secret_scan import secret_spans
 from tidemark.llm.spans import count_of, written
+from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.warc import derivatives, responses
+from tidemark.session import shared_dir
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    files = write_token_files(_table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(files)
+
+
 def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixture(_table(spark, sf, "documents"), entropy=0.95, budget=1.0, carry=["doc_id"])
     return mixed.select("doc.doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "epochs", "block", "copies")
@@ -73,6 +83,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
