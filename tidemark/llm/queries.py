@@ -12,6 +12,7 @@ from tidemark.llm.exact_dedup import duplicate_groups
 from tidemark.llm.langid import fit_profiles, held_out, identified
 from tidemark.llm.mixing import mixture
 from tidemark.llm.near_dedup import near_groups
+from tidemark.llm.neighbours import nearest
 from tidemark.llm.pii import BASE, personal_spans
 from tidemark.llm.secret_scan import secret_spans
 from tidemark.llm.spans import count_of, written
@@ -82,6 +83,10 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identified(docs, profiles, carry=["doc_id", "held_out"])
 
 
+def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
@@ -92,6 +97,7 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_pii": op8_pii,
     "op9_language_id": op9_language_id,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLE_SQL = {
