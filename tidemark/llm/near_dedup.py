@@ -2,12 +2,12 @@
 
 1. Every text becomes its set of word shingles, a MinHash signature and a
    fingerprint of the set. Texts of one set are one node.
-2. Bands of the signature name buckets. Within a bucket a few pivots are compared
-   with the members of other components; they leave the bucket, components grow,
-   and the next round takes more pivots, until no bucket holds a pair that is
-   neither compared nor in one component already. So a bucket of n near copies
-   costs about n comparisons, not n squared, and no pair that could join two
-   components is left out.
+2. Bands of the signature name buckets. Within a bucket a few pivots, first those
+   of its largest component, are compared with the members of other components;
+   they leave the bucket, components grow, and the next round takes more pivots,
+   until no bucket holds a pair that is neither compared nor in one component
+   already. So a bucket of n near copies costs a small multiple of n comparisons,
+   not n squared, and no pair that could join two components is left out.
 3. A pair's signatures are compared a batch at a time. After each batch the pair
    is dropped if the posterior probability that its similarity reaches the
    threshold is below `miss`. Survivors are decided on their full sets.
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import dropped, in_arrow, staged
 from tidemark.llm.components import components
@@ -169,12 +169,17 @@ def _verifier(k: int, percent: int):
     return run
 
 
+def _on(table: DataFrame, side: DataFrame, test: Column, how: str = "inner") -> DataFrame:
+    """A join whose sides both grow with the table: shuffled at every size."""
+    return table.join(side.hint("merge"), test, how)
+
+
 def _linked(pairs: DataFrame, nodes: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
     """The pairs (a, b) with `linked`; pairs the posterior rules out are not in it."""
 
     def with_column(table: DataFrame, end: str, column: str) -> DataFrame:
         side = nodes.select(F.col("node").alias(f"at_{end}"), F.col(column).alias(f"{column}_{end}"))
-        return table.join(side, F.col(end) == F.col(f"at_{end}")).drop(f"at_{end}")
+        return _on(table, side, F.col(end) == F.col(f"at_{end}")).drop(f"at_{end}")
 
     signed = with_column(with_column(pairs, "a", "sig"), "b", "sig").select("a", "b", "sig_a", "sig_b")
     left = staged(in_arrow(signed, _survivors(percent, miss), "a long, b long"), "near-survivors")
@@ -193,56 +198,77 @@ def _grown(labels: DataFrame, links: DataFrame) -> DataFrame:
     return staged(grown, "near-labels")
 
 
-def _components_of(nodes: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
-    """(node, comp) for the nodes (node, sig, text) that share a bucket with others."""
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, comp) of the buckets that hold several components."""
+    own = labels.select(F.col("node").alias("of"), "comp")
+    labelled = _on(members, own, F.col("node") == F.col("of")).select("key", "node", "comp")
+    several = (
+        labelled.groupBy(F.col("key").alias("in_key")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    )
+    return staged(_on(labelled, several, F.col("key") == F.col("in_key")).select("key", "node", "comp"), "near-open")
+
+
+def _pivots(left: DataFrame, n: int) -> DataFrame:
+    """(in_key, p, p_comp): the n members of each bucket that are compared next.
+
+    Those of its largest component come first: what is new to it most likely joins
+    it, and its members need no comparison with each other. Then one order of all
+    nodes, so that the buckets of one group choose the same pivots."""
+    sizes = left.groupBy(F.col("key").alias("in_key"), F.col("comp").alias("in_comp")).agg(F.count(F.lit(1)).alias("size"))
+    sized = _on(left, sizes, (F.col("key") == F.col("in_key")) & (F.col("comp") == F.col("in_comp")))
+    place = Window.partitionBy("key").orderBy(F.desc("size"), "comp", F.xxhash64(F.lit(SEED), "node"), "node")
+    first = sized.withColumn("place", F.row_number().over(place)).where(F.col("place") <= n)
+    return staged(first.select(F.col("key").alias("in_key"), F.col("node").alias("p"), F.col("comp").alias("p_comp")), "near-pivots")
+
+
+def _pairs(left: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Distinct (a, b): members and pivots of their buckets in other components. A
+    node gathers its buckets' pivots before pairs are made, as a pair of near
+    copies shares many buckets."""
+    lists = pivots.groupBy("in_key").agg(F.collect_list(F.struct("p", "p_comp")).alias("list"))
+    met = _on(left, lists, F.col("key") == F.col("in_key")).groupBy("node", "comp").agg(F.collect_set("list").alias("lists"))
+    others = F.filter(F.array_distinct(F.flatten("lists")), lambda x: x["p_comp"] != F.col("comp"))
+    return met.select("node", F.explode(others).alias("x")).select(F.least("node", "x.p").alias("a"), F.greatest("node", "x.p").alias("b")).distinct()
+
+
+def _components_of(signed: DataFrame, heads: DataFrame, text: str, k: int, percent: int, miss: float) -> DataFrame:
+    """(node, comp) for the nodes that share a bucket with others."""
     width = 2 * ROWS
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * width + 1, F.lit(width)))
     )
-    named = nodes.select("node", F.explode(bands).alias("key"))
+    own = heads.select("node")
+    named = _on(signed.select("row", "sig"), own, F.col("row") == F.col("node"), "left_semi").select(
+        F.col("row").alias("node"), F.explode(bands).alias("key")
+    )
     shared = named.groupBy(F.col("key").alias("in_key")).agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = staged(named.join(shared, F.col("key") == F.col("in_key")).select("key", "node"), "near-members")
+    members = staged(_on(named, shared, F.col("key") == F.col("in_key")).select("key", "node"), "near-members")
     labels = staged(members.select("node").distinct().withColumn("comp", F.col("node")), "near-labels")
     found = labels.select(F.col("node").alias("of"))
-    candidates = staged(nodes.join(found, F.col("node") == F.col("of"), "left_semi"), "near-nodes")
+    nodes = signed.select(F.col("row").alias("node"), "sig", F.col("doc").getField(text).alias("text"))
+    nodes = staged(_on(nodes, found, F.col("node") == F.col("of"), "left_semi"), "near-nodes")
 
-    pivots, compared = FIRST_PIVOTS, None
+    wanted, compared = FIRST_PIVOTS, None
     while True:
-        labelled = members.join(labels.select(F.col("node").alias("of"), "comp"), F.col("node") == F.col("of")).select("key", "node", "comp")
-        open_keys = (
-            labelled.groupBy(F.col("key").alias("in_key")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        )
-        left = staged(labelled.join(open_keys, F.col("key") == F.col("in_key")).select("key", "node", "comp"), "near-open")
+        left = _open_buckets(members, labels)
         dropped(members)
         if left.isEmpty():
             return labels
-        # One order of all nodes, so that the buckets of one group choose the same pivots.
-        ranked = left.withColumn("rank", F.xxhash64(F.lit(SEED), "node"))
-        chosen = _first(ranked, pivots).select(F.col("key").alias("in_key"), "node", "comp")
-        chosen = staged(chosen.select("in_key", F.col("node").alias("p"), F.col("comp").alias("p_comp")), "near-pivots")
-        pairs = (
-            left.join(chosen, (F.col("key") == F.col("in_key")) & (F.col("comp") != F.col("p_comp")))
-            .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-            .distinct()
-        )
+        pivots = _pivots(left, wanted)
+        pairs = _pairs(left, pivots)
         if compared is not None:
             known = compared.select(F.col("a").alias("a2"), F.col("b").alias("b2"))
-            pairs = pairs.join(known, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2")), "left_anti")
+            pairs = _on(pairs, known, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2")), "left_anti")
         pairs = staged(pairs, "near-pairs")
-        verdicts = _linked(pairs, candidates, k, percent, miss)
+        verdicts = _linked(pairs, nodes, k, percent, miss)
         labels = _grown(labels, verdicts.where("linked"))
         compared = pairs if compared is None else staged(compared.unionByName(pairs), "near-compared")
+        # What was compared with the whole bucket leaves it.
         members = staged(
-            left.join(chosen, (F.col("key") == F.col("in_key")) & (F.col("node") == F.col("p")), "left_anti").select("key", "node"),
+            _on(left, pivots, (F.col("key") == F.col("in_key")) & (F.col("node") == F.col("p")), "left_anti").select("key", "node"),
             "near-members",
         )
-        pivots *= MORE_PIVOTS
-
-
-def _first(ranked: DataFrame, n: int) -> DataFrame:
-    """The n members of lowest rank in each bucket."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("rank", "node"))
-    return ranked.withColumn("place", place).where(F.col("place") <= n)
+        wanted *= MORE_PIVOTS
 
 
 def near_groups(
@@ -261,16 +287,13 @@ def near_groups(
     heads = staged(
         signed.where("fp IS NOT NULL").groupBy("fp").agg(F.min("row").alias("node"), F.min(best).alias("best")), "near-heads"
     )
-    nodes = signed.select(F.col("row"), "sig", F.col("doc").getField(text).alias("text")).join(
-        heads.select("node"), F.col("row") == F.col("node"), "left_semi"
-    )
-    labels = _components_of(nodes.withColumnRenamed("row", "node"), k, percent, miss)
+    labels = _components_of(signed, heads, text, k, percent, miss)
 
     own = labels.select(F.col("node").alias("of"), "comp")
     rooted = heads.join(own, F.col("node") == F.col("of"), "left").select("fp", "best", F.coalesce("comp", "node").alias("root"))
     top = rooted.groupBy(F.col("root").alias("at")).agg(F.min("best").alias("top"))
     verdict = rooted.join(top, F.col("root") == F.col("at")).select(F.col("fp").alias("of_fp"), "top")
-    return signed.join(verdict, F.col("fp") == F.col("of_fp"), "left").select(
+    return _on(signed, verdict, F.col("fp") == F.col("of_fp"), "left").select(
         "doc",
         F.col("n").alias("n_shingles"),
         F.when(F.col("of_fp").isNull(), F.col("id")).otherwise(F.col("top.id")).alias("component_id"),
