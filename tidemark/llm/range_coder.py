@@ -26,6 +26,7 @@ CONFIDENT = 3
 WEIGHTS = np.array([0, 1, 3, 8], np.float64)
 STEP, LIMIT = 24, 1600
 WORD, LOW, TOP = 2.0**16, 2.0**32, 2.0**48
+ROW = np.dtype(f"V{2 * DIGIT}")
 HEAD = 3  # 16-bit words that open a block's code
 
 
@@ -46,7 +47,7 @@ def _steps() -> np.ndarray:
 
 def _below() -> np.ndarray:
     """Columns of a row that a weight on a digit raises, likewise."""
-    return (_steps() > 0).astype(np.float32)
+    return (_steps() > 0).astype(np.uint16)
 
 
 class _Model:
@@ -102,7 +103,8 @@ class _Model:
             part[:, 0] = 0
             ends = np.cumsum((ends - part + 1) >> 1, axis=1)
             counts[full, 1:], counts[full, 0] = ends[:, :-1], ends[:, -1]
-        table[row] = counts
+        # Whole rows as single items: numpy copies those at once.
+        table.view(ROW).reshape(-1)[row] = counts.view(ROW).reshape(-1)
 
     def learn(self, ids: np.ndarray, active: int) -> None:
         ids = ids.astype(np.uint32)
@@ -197,11 +199,10 @@ def encode(ids: np.ndarray, block: int, symbols: int) -> list[bytes]:
 
 
 def _leading() -> np.ndarray:
-    """Number of leading ones of a packed row of sixteen truths."""
+    """Number of leading ones of a row of sixteen truths, packed into two bytes."""
     table = np.zeros(1 << 16, np.int64)
     for ones in range(DIGIT + 1):
-        packed = np.packbits(np.arange(DIGIT) < ones)
-        table[int(packed[0]) << 8 | int(packed[1])] = ones
+        table[int(np.packbits(np.arange(DIGIT) < ones).view("<u2")[0])] = ones
     return table
 
 
@@ -232,20 +233,18 @@ def decode(codes: list[bytes], n: int, block: int, symbols: int) -> np.ndarray:
         for level in range(model.levels):
             row = model.first_row[level][:active] + prefix
             counts = model.tables[level].take(row, axis=0, mode="clip")
-            mixed = counts.astype(np.float32)
-            plain = counts[:, 0].astype(np.float32)
+            # Totals of at most 17 times LIMIT and a step fit sixteen bits.
+            mixed, plain = counts.copy(), counts[:, 0].copy()
             for lanes, expected, weight in model.said:
                 if len(lanes):
                     own = (expected >> 4 * (model.levels - 1 - level)) & 15
-                    mixed[lanes] += raised.take(own, axis=0) * (weight * plain[lanes]).astype(np.float32)[:, None]
-            total = mixed[:, 0].astype(np.float64)
-            unit = np.floor(now_span / total)
-            aim = np.floor(now_code / unit)
+                    mixed[lanes] += raised.take(own, axis=0) * (weight * plain[lanes]).astype(np.uint16)[:, None]
+            unit = np.floor(now_span / mixed[:, 0])
+            aim = np.minimum(np.floor(now_code / unit), 65535).astype(np.uint16)
             # Column 0 is the total; the start of digit 0 is 0 and always reached.
-            reached = mixed <= aim[:, None].astype(np.float32)
+            reached = mixed <= aim[:, None]
             reached[:, 0] = True
-            packed = np.packbits(reached, axis=1).astype(np.int64)
-            digit = leading.take((packed[:, 0] << 8) | packed[:, 1]) - 1
+            digit = leading.take(np.packbits(reached.reshape(-1)).view("<u2")) - 1
             flat = mixed.reshape(-1)
             start = flat.take(base + digit).astype(np.float64)
             start[digit == 0] = 0

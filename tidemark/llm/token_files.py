@@ -22,6 +22,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -37,12 +38,24 @@ HEADER = struct.Struct("<5sIQIII")  # magic, documents, ids, block length, ids i
 SEGMENT_TOKENS = 1 << 22
 LONGEST_BLOCK, SHORTEST_BLOCK, LANES = 2048, 128, 1024
 CHARS_AT_ONCE = 1 << 21
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
 
 FILE_ROW = "shard int, part int, n_docs long, n_tokens long, segment binary"
 DOC_ROW = "doc_id long, shard int, part int, offset long, n_tokens long, ids_crc32 long"
 
 
+class _Words(dict):
+    """Word -> place; words met for the first time wait in `new`."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class _Encoder:
     """Ids of texts by way of their words."""
 
@@ -55,44 +68,44 @@ class _Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.at: dict[str, int] = {"": 0}
+        self.words = _Words()
         self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.int32), 0
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.at) + len(words) > CACHED_WORDS:
-            self._empty()
-        need = len(self.at) + len(words)
-        if need > len(self.first):
-            self.first, self.length = (np.concatenate([x, np.zeros(max(need, len(x)), np.int64)]) for x in (self.first, self.length))
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        ids = np.array([i for f in found for i in f], np.int32)
+    def _learn(self) -> None:
+        """Ids of the words that wait; their places are the last ones."""
+        new, self.words.new = self.words.new, []
+        if len(self.words) > len(self.first):
+            more = np.zeros(len(self.words), np.int64)
+            self.first, self.length = np.concatenate([self.first, more]), np.concatenate([self.length, more])
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(ids), len(self.flat)), np.int32)])
         self.flat[self.used : self.used + len(ids)] = ids
-        for word, f in zip(words, found):
-            place = self.at[word] = len(self.at)
-            self.first[place], self.length[place] = self.used, len(f)
-            self.used += len(f)
+        places = slice(len(self.words) - len(new), len(self.words))
+        self.first[places], self.length[places] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        unknown = set().union(*split)
-        unknown.difference_update(self.at)
-        if len(self.at) + len(unknown) > CACHED_WORDS:
+        if len(self.words) > CACHED_WORDS:
             self._empty()
-            unknown = set().union(*split) - self.at.keys()
-        if unknown:
-            self._learn(sorted(unknown))
-        find = self.at.__getitem__
-        places = np.fromiter((find(w) for words in split for w in words), np.int64)
-        first, length = self.first[places], self.length[places]
+        find = self.words.__getitem__
+        counts, parts = [], []
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            counts.append(len(words))
+            parts.append(np.fromiter(map(find, words), np.int32, len(words)))
+        if self.words.new:
+            self._learn()
+        places = np.concatenate(parts)
+        length = self.length.take(places)
         ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(first - (ends - length), length) + np.arange(total)]
-        bounds = np.cumsum([len(words) for words in split])
-        cut = np.concatenate([[0], ends])[bounds]
+        shift = np.repeat(self.first.take(places) - (ends - length), length)
+        ids = self.flat.take(shift + np.arange(len(shift)))
+        cut = np.concatenate([[0], ends])[np.cumsum(counts)]
         return ids, np.diff(cut, prepend=0)
 
 
