@@ -39,13 +39,17 @@ def _numbered(reference: Column) -> Column:
 
 
 def _with_numbers(text: Column) -> Column:
-    def joined(found: Column) -> Column:
-        gaps = F.split(text, NUMBERED, -1)
-        return F.when(F.size(found) == 0, text).otherwise(
-            F.array_join(F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.coalesce(_numbered(x), F.lit("")))), "")
-        )
+    def resolved(whole: Column) -> Column:
+        def joined(found: Column) -> Column:
+            gaps = F.split(whole, NUMBERED, -1)
+            return F.when(F.size(found) == 0, whole).otherwise(
+                F.array_join(F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.coalesce(_numbered(x), F.lit("")))), "")
+            )
 
-    return let(F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(0)), joined)
+        return let(F.regexp_extract_all(whole, F.lit(NUMBERED), F.lit(0)), joined)
+
+    # Bound once: inside a lambda an expression would be worked out at each use.
+    return let(text, resolved)
 
 
 def plain_text(html: Column) -> Column:
