@@ -33,6 +33,18 @@ def _common(a: bytes, b: bytes, at: int) -> int:
     return low
 
 
+def _unspilled(node: _Node) -> Iterator[tuple[bytes, Any]]:
+    """What a subtree has on disk; the file goes."""
+    file, node.spill = node.spill, None
+    with file:
+        file.seek(0)
+        while True:
+            try:
+                yield pickle.load(file)
+            except EOFError:
+                return
+
+
 class Patricia:
     """Maps byte strings to payloads; `merge` joins the payloads of equal strings.
 
@@ -87,18 +99,9 @@ class Patricia:
                 yield from self._reread(node)
 
     def _reread(self, node: _Node) -> Iterator[Any]:
-        file, node.spill = node.spill, None
-        try:
-            sub = Patricia(self.merge, self.budget)
-            file.seek(0)
-            while True:
-                try:
-                    key, payload = pickle.load(file)
-                except EOFError:
-                    break
-                sub.insert(key, payload)
-        finally:
-            file.close()
+        sub = Patricia(self.merge, self.budget)
+        for key, payload in _unspilled(node):
+            sub.insert(key, payload)
         yield from sub.items()
 
     def _spill(self) -> None:
@@ -114,10 +117,10 @@ class Patricia:
                 self.budget = max(self.budget, 2 * self.held)
                 return
             freed, child = max(sized, key=lambda x: x[0])
-            child.spill = tempfile.TemporaryFile(dir=os.environ.get("TMPDIR"))
+            file = tempfile.TemporaryFile(dir=os.environ.get("TMPDIR"))
             for entry in self._entries(child):
-                pickle.dump(entry, child.spill)
-            child.children, child.payload = {}, None
+                pickle.dump(entry, file)
+            child.children, child.payload, child.spill = {}, None, file
             self.held -= freed
 
     def _entries(self, top: _Node, measure: bool = False) -> Any:
@@ -125,8 +128,11 @@ class Patricia:
         found, size, stack = [], 0, [(top, b"")]
         while stack:
             node, prefix = stack.pop()
-            if node.payload is not None and not measure:
-                found.append((prefix, node.payload))
+            if not measure:
+                if node.payload is not None:
+                    found.append((prefix, node.payload))
+                if node.spill:
+                    found.extend((prefix + key, payload) for key, payload in _unspilled(node))
             for child in node.children.values():
                 size += len(child.label) + 200
                 stack.append((child, b"" if measure else prefix + child.label))
