@@ -2,12 +2,13 @@
 
 1. Every text becomes its set of word shingles, a MinHash signature and a
    fingerprint of the set. Texts of one set are one node.
-2. Bands of the signature name buckets. Within a bucket a few pivots, first those
-   of its largest component, are compared with the members of other components;
-   they leave the bucket, components grow, and the next round takes more pivots,
-   until no bucket holds a pair that is neither compared nor in one component
-   already. So a bucket of n near copies costs a small multiple of n comparisons,
-   not n squared, and no pair that could join two components is left out.
+2. Bands of the signature name buckets. Every member of a bucket is compared with
+   a few pivots, which joins most near copies into components. What then still
+   shares a bucket with another component visits packs: bounded blocks of the
+   bucket's members, against all of which it is compared in one step. So a bucket
+   of n near copies costs a small multiple of n comparisons plus, for those that
+   are linked with nothing, one visit a pack; no pair that could join two
+   components is left out, and no pairs of a group are made.
 3. A pair's signatures are compared a batch at a time. After each batch the pair
    is dropped if the posterior probability that its similarity reaches the
    threshold is below `miss`. Survivors are decided on their full sets.
@@ -33,7 +34,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import dropped, in_arrow, staged
+from tidemark.llm.common import in_arrow, staged
 from tidemark.llm.components import components
 
 ROWS, BANDS = 5, 40
@@ -41,7 +42,8 @@ HASHES = ROWS * BANDS
 BATCH = 20
 MISS = 1e-9
 SEED = 4
-FIRST_PIVOTS, MORE_PIVOTS = 1, 8
+PIVOTS = 4
+PACK = 64
 CACHED_WORDS = 200_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -199,36 +201,124 @@ def _grown(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, comp) of the buckets that hold several components."""
+    """(key, node, comp, most) of the buckets that hold several components; `most`
+    is the component with most members there."""
     own = labels.select(F.col("node").alias("of"), "comp")
     labelled = _on(members, own, F.col("node") == F.col("of")).select("key", "node", "comp")
-    several = (
-        labelled.groupBy(F.col("key").alias("in_key")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    sizes = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
+    several = sizes.groupBy(F.col("key").alias("in_key")).agg(
+        F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("most"), F.min("least").alias("least")
     )
-    return staged(_on(labelled, several, F.col("key") == F.col("in_key")).select("key", "node", "comp"), "near-open")
-
-
-def _pivots(left: DataFrame, n: int) -> DataFrame:
-    """(in_key, p, p_comp): the n members of each bucket that are compared next.
-
-    Those of its largest component come first: what is new to it most likely joins
-    it, and its members need no comparison with each other. Then one order of all
-    nodes, so that the buckets of one group choose the same pivots."""
-    sizes = left.groupBy(F.col("key").alias("in_key"), F.col("comp").alias("in_comp")).agg(F.count(F.lit(1)).alias("size"))
-    sized = _on(left, sizes, (F.col("key") == F.col("in_key")) & (F.col("comp") == F.col("in_comp")))
-    place = Window.partitionBy("key").orderBy(F.desc("size"), "comp", F.xxhash64(F.lit(SEED), "node"), "node")
-    first = sized.withColumn("place", F.row_number().over(place)).where(F.col("place") <= n)
-    return staged(first.select(F.col("key").alias("in_key"), F.col("node").alias("p"), F.col("comp").alias("p_comp")), "near-pivots")
+    several = several.where("comps > 1")
+    return staged(_on(labelled, several, F.col("key") == F.col("in_key")).select("key", "node", "comp", "most", "least"), "near-open")
+
+
+def _pivot_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, b): members of a bucket and its PIVOTS first ones, in one order
+    of all nodes, so that the buckets of one group choose the same pivots. A node
+    gathers its buckets' pivots before pairs are made, as near copies share many."""
+    place = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(SEED), "node"), "node")
+    first = members.withColumn("place", F.row_number().over(place)).where(F.col("place") <= PIVOTS)
+    lists = first.groupBy(F.col("key").alias("in_key")).agg(F.collect_list("node").alias("list"))
+    met = _on(members, lists, F.col("key") == F.col("in_key")).groupBy("node").agg(F.collect_set("list").alias("lists"))
+    others = F.filter(F.array_distinct(F.flatten("lists")), lambda p: p != F.col("node"))
+    return met.select("node", F.explode(others).alias("p")).select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+
+
+def _visits(left: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(pack, part, visit, node, comp, sig, text): the members of each pack and the
+    nodes that must be compared with them.
+
+    Nodes with one smallest bucket mate form a pack group, cut by hash into parts
+    of about PACK members. A node outside the largest component of a bucket visits
+    the groups of all that bucket's members; of any two members in different
+    components one is outside."""
+    group = left.groupBy(F.col("node").alias("member")).agg(F.min("least").alias("pack"), F.first("comp").alias("own"))
+    sizes = group.groupBy(F.col("pack").alias("of_pack")).agg(F.ceil(F.count(F.lit(1)) / PACK).alias("parts"))
+    grouped = staged(
+        _on(group, sizes, F.col("pack") == F.col("of_pack")).select(
+            "member", "own", "pack", "parts", F.pmod(F.xxhash64(F.lit(SEED), "member"), "parts").alias("part")
+        ),
+        "near-packs",
+    )
+    met = _on(left.select("key", "node"), grouped.select("member", "pack"), F.col("node") == F.col("member"))
+    present = met.select(F.col("key").alias("in_key"), "pack").distinct()
+    outside = left.where("comp != most").select("key", "node", "comp")
+    visitors = _on(outside, present, F.col("key") == F.col("in_key")).select("node", "comp", "pack").distinct()
+    parts = grouped.select(F.col("pack").alias("of_pack"), "part").distinct()
+    visitors = _on(visitors, parts, F.col("pack") == F.col("of_pack")).select("pack", "part", F.lit(1).alias("visit"), "node", "comp")
+    members = grouped.select("pack", "part", F.lit(0).alias("visit"), F.col("member").alias("node"), F.col("own").alias("comp"))
+    bodies = nodes.select(F.col("node").alias("of"), "sig", "text")
+    rows = _on(members.unionByName(visitors), bodies, F.col("node") == F.col("of")).drop("of")
+    return rows.repartition("pack", "part").sortWithinPartitions("pack", "part", "visit", "node")
+
+
+class _Pack:
+    """The members of a pack, with an index from shingles to those that have them."""
+
+    def __init__(self, k: int, percent: int, least: tuple[int, ...]):
+        self.k, self.percent, self.least = k, percent, least
+        self.nodes: list[int] = []
+        self.comps: list[int] = []
+        self.signs: list[bytes] = []
+        self.sets: list[np.ndarray] = []
+        self.index = None
+
+    def add(self, node: int, comp: int, sig: bytes, text: str) -> None:
+        self.nodes.append(node)
+        self.comps.append(comp)
+        self.signs.append(sig)
+        self.sets.append(shingle_set(text, self.k))
+
+    def links(self, comp: int, sig: bytes, text: str) -> list[int]:
+        """Members of other components that the visitor is linked with."""
+        if self.index is None:
+            owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+            flat = np.concatenate(self.sets)
+            order = np.argsort(flat, kind="stable")
+            self.index = flat[order], owner[order]
+            self.matrix = np.frombuffer(b"".join(self.signs), np.uint16).reshape(-1, HASHES)
+            self.size, self.comp = np.array([len(s) for s in self.sets]), np.array(self.comps)
+        own = np.frombuffer(sig, np.uint16)
+        alive = np.flatnonzero(self.comp != comp)
+        matches = np.zeros(len(alive), np.int32)
+        for i, needed in enumerate(self.least):
+            part = slice(i * BATCH, (i + 1) * BATCH)
+            matches += (self.matrix[alive, part] == own[part]).sum(1, dtype=np.int32)
+            keep = matches >= needed
+            alive, matches = alive[keep], matches[keep]
+            if not len(alive):
+                return []
+        found = shingle_set(text, self.k)
+        keys, owner = self.index
+        low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        both = np.bincount(owner[at], minlength=len(self.size))
+        near = 100 * both >= self.percent * (len(found) + self.size - both)
+        return [self.nodes[i] for i in alive[near[alive]].tolist()]
+
+
+def _host(k: int, percent: int, miss: float):
+    """Links between the visitors of each pack and its members, as (u, v)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, here, pack = least_matches(percent, miss), None, None
+        for batch in batches:
+            u, v = [], []
+            columns = (batch.column(c).to_pylist() for c in ("pack", "part", "visit", "node", "comp", "sig", "text"))
+            for name, part, visit, node, comp, sig, text in zip(*columns):
+                if (name, part) != here:
+                    here, pack = (name, part), _Pack(k, percent, least)
+                if not visit:
+                    pack.add(node, comp, sig, text)
+                    continue
+                linked = pack.links(comp, sig, text)
+                u += [node] * len(linked)
+                v += linked
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
 
-def _pairs(left: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Distinct (a, b): members and pivots of their buckets in other components. A
-    node gathers its buckets' pivots before pairs are made, as a pair of near
-    copies shares many buckets."""
-    lists = pivots.groupBy("in_key").agg(F.collect_list(F.struct("p", "p_comp")).alias("list"))
-    met = _on(left, lists, F.col("key") == F.col("in_key")).groupBy("node", "comp").agg(F.collect_set("list").alias("lists"))
-    others = F.filter(F.array_distinct(F.flatten("lists")), lambda x: x["p_comp"] != F.col("comp"))
-    return met.select("node", F.explode(others).alias("x")).select(F.least("node", "x.p").alias("a"), F.greatest("node", "x.p").alias("b")).distinct()
+    return run
 
 
 def _components_of(signed: DataFrame, heads: DataFrame, text: str, k: int, percent: int, miss: float) -> DataFrame:
@@ -248,27 +338,11 @@ def _components_of(signed: DataFrame, heads: DataFrame, text: str, k: int, perce
     nodes = signed.select(F.col("row").alias("node"), "sig", F.col("doc").getField(text).alias("text"))
     nodes = staged(_on(nodes, found, F.col("node") == F.col("of"), "left_semi"), "near-nodes")
 
-    wanted, compared = FIRST_PIVOTS, None
-    while True:
-        left = _open_buckets(members, labels)
-        dropped(members)
-        if left.isEmpty():
-            return labels
-        pivots = _pivots(left, wanted)
-        pairs = _pairs(left, pivots)
-        if compared is not None:
-            known = compared.select(F.col("a").alias("a2"), F.col("b").alias("b2"))
-            pairs = _on(pairs, known, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2")), "left_anti")
-        pairs = staged(pairs, "near-pairs")
-        verdicts = _linked(pairs, nodes, k, percent, miss)
-        labels = _grown(labels, verdicts.where("linked"))
-        compared = pairs if compared is None else staged(compared.unionByName(pairs), "near-compared")
-        # What was compared with the whole bucket leaves it.
-        members = staged(
-            _on(left, pivots, (F.col("key") == F.col("in_key")) & (F.col("node") == F.col("p")), "left_anti").select("key", "node"),
-            "near-members",
-        )
-        wanted *= MORE_PIVOTS
+    pairs = staged(_pivot_pairs(members), "near-pairs")
+    labels = _grown(labels, _linked(pairs, nodes, k, percent, miss).where("linked"))
+    left = _open_buckets(members, labels)
+    links = staged(in_arrow(_visits(left, nodes), _host(k, percent, miss), "a long, b long").distinct(), "near-visits")
+    return _grown(labels, links)
 
 
 def near_groups(
