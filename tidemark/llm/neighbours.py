@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import dropped, in_arrow, ship, staged
+from tidemark.llm.spans import let
 
 NEIGHBOURS = 24
 INTRODUCED = 16  # of those that name a node as theirs
@@ -49,7 +50,8 @@ def usable(embedding: Column) -> Column:
 
 
 def _unpack(vectors: pa.Array, scales: pa.Array, size: int) -> np.ndarray:
-    raw = np.frombuffer(b"".join(vectors.to_pylist()), np.int8).reshape(-1, size)
+    # The values of a binary column lie in one buffer, here all of one length.
+    raw = np.frombuffer(vectors.buffers()[2] or b"", np.int8, len(vectors) * size, vectors.offset * size).reshape(-1, size)
     return raw.astype(np.float32) * scales.to_numpy(zero_copy_only=False).astype(np.float32)[:, None]
 
 
@@ -280,14 +282,14 @@ def _searcher(size: int):
             if not batch.num_rows:
                 continue
             query = _unpack(batch.column("q_bytes"), batch.column("q_scale"), size)
-            ids = batch.column("links")
-            lengths = np.diff(ids.offsets.to_numpy())
-            own = np.repeat(np.arange(batch.num_rows), lengths)
-            scales = batch.column("link_scales").flatten()
-            vectors = _unpack(batch.column("link_bytes").flatten(), scales, size)
-            far = np.square(vectors - query[own]).sum(1)
-            node = np.repeat(batch.column("q").to_numpy(), lengths)
-            yield from _list_rows(*_sorted(node, ids.flatten().to_numpy(), far))
+            ids, scales, packed = (batch.column(c) for c in ("links", "link_scales", "link_bytes"))
+            for i in range(0, batch.num_rows, 512):
+                part = ids.slice(i, 512)
+                lengths = np.diff(part.offsets.to_numpy())
+                vectors = _unpack(packed.slice(i, 512).flatten(), scales.slice(i, 512).flatten(), size)
+                far = np.square(vectors - np.repeat(query[i : i + 512], lengths, axis=0)).sum(1)
+                node = np.repeat(batch.column("q").slice(i, 512).to_numpy(), lengths)
+                yield from _list_rows(*_sorted(node, part.flatten().to_numpy(), far))
 
     return run
 
@@ -322,15 +324,15 @@ def search(graph: DataFrame, small: DataFrame, queries: DataFrame, size: int) ->
     )
     while True:
         # A beam is sorted, so its first unexpanded entries are the nearest.
-        wide = beam.withColumn("open", F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"]), 1, EXPANDED))
-        front = wide.select("node", F.explode("open.ids").alias("u")).join(asked.withColumnRenamed("node", "q"), F.col("node") == F.col("q"))
+        ahead = F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"]), 1, EXPANDED)["ids"]
+        front = beam.select("node", F.explode(ahead).alias("u")).join(asked.withColumnRenamed("node", "q"), F.col("node") == F.col("q"))
         met = front.select("q", "q_bytes", "q_scale", F.col("u").alias("v")).join(links, F.col("v") == F.col("u"))
         offers = in_arrow(met.select("q", "q_bytes", "q_scale", "links", "link_bytes", "link_scales"), _searcher(size), NEAREST_ROWS)
-        spent = wide.select(
+        spent = beam.select(
             "node",
             "ids",
             "far",
-            F.zip_with("ids", "fresh", lambda x, f: f & ~F.array_contains(F.col("open.ids"), x)).alias("fresh"),
+            let(ahead, lambda a: F.zip_with("ids", "fresh", lambda x, f: f & ~F.array_contains(a, x))).alias("fresh"),
         )
         after = staged(_merged_lists(spent.unionByName(offers), BEAM), "beam")
         dropped(beam)
