@@ -1,0 +1,52 @@
+"""The whole pipeline against a plain version of every stage."""
+
+import hashlib
+from collections import Counter
+
+from test_dedup import near_by_hand
+from test_mixing import by_hand as copies_by_hand
+
+import corpus_pipeline
+from tidemark.llm.byte_bpe import _vocabulary, encode_texts
+
+
+def test_stages_and_rows(spark, awkward, awkward_rows):
+    rows = [r for r in awkward_rows if r[1] and any(c.isalpha() for c in r[1])]
+    best = {}
+    for r in rows:
+        if r[1] not in best or (r[0] is not None and (best[r[1]][0] is None or r[0] > best[r[1]][0])):
+            best[r[1]] = r
+    rows = list(best.values())
+    component = {i: c for i, _, c in near_by_hand(rows, 5)}
+    rows = [r for r in rows if component[str(r[0])] == str(r[0])]
+    copies = copies_by_hand([(i, t, s) for i, t, _, s in rows], 2.0)
+    data = open(corpus_pipeline.RANKS, "rb").read()
+    expected = Counter()
+    for i, t, _, s in rows:
+        ids = next(encode_texts([t], data)).tolist()
+        expected[i, len(ids), hashlib.sha256(t.encode()).hexdigest()] += copies[i, s]
+
+    docs = spark.read.parquet(f"{awkward}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, awkward)
+        assert docs.columns == columns, name
+    got = corpus_pipeline.run(spark, awkward).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.decoded_sha256) for r in got) == expected
+    tokens = _vocabulary(data)[1]
+    assert all(hashlib.sha256(b"".join(tokens[i] for i in r.ids)).hexdigest() == r.decoded_sha256 for r in got)
+
+
+def test_clean_documents_of_the_tables_stay(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = corpus_pipeline.known_language(spark, docs, sf)
+    gone = docs.select("text").exceptAll(kept.select("text")).collect()
+    assert all(len(r.text.split()) < 3 for r in gone)
+
+
+def test_empty_table(spark, empty):
+    assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_stage_names_follow_the_order():
+    assert [n.split()[0] for n, _ in corpus_pipeline.STAGES] == ["language", "exact", "MinHash", "mixing", "byte-level"]

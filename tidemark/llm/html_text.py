@@ -43,7 +43,7 @@ def _with_numbers(text: Column) -> Column:
         def joined(found: Column) -> Column:
             gaps = F.split(whole, NUMBERED, -1)
             return F.when(F.size(found) == 0, whole).otherwise(
-                F.array_join(F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.coalesce(_numbered(x), F.lit("")))), "")
+                F.array_join(F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.when(x.isNull(), "").otherwise(_numbered(x)))), "")
             )
 
         return let(F.regexp_extract_all(whole, F.lit(NUMBERED), F.lit(0)), joined)
@@ -61,4 +61,4 @@ def plain_text(html: Column) -> Column:
     for name, char in NAMED.items():
         text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
     text = F.regexp_replace(text, r"[\x20\x09\x0B\x0C\x0D]++", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n{3,}+", "\n\n"))
+    return F.btrim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n{3,}+", "\n\n"), F.lit(" \n"))

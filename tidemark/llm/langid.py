@@ -115,8 +115,9 @@ def trigrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     small = index.astype(np.int64)
     codes = (small[:-2] * size + small[1:-1]) * size + small[2:] if len(small) > 2 else np.zeros(0, np.int64)
     for i in range(len(texts)):
-        # The text lies between the boundaries at starts[i] and starts[i + 1].
-        a, b = place[starts[i]], place[starts[i + 1]] + (1 if stays[starts[i + 1]] else 0)
+        # The text lies between the boundaries at starts[i] and starts[i + 1], or
+        # what is left of the runs they belong to.
+        a, b = place[starts[i]], place[starts[i + 1]] + 1
         own = codes[a : max(a, b - 2)]
         if not len(own):
             yield np.zeros(0, np.int64), np.zeros(0, np.int64)
