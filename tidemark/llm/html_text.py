@@ -18,8 +18,8 @@ BLOCKS = (
     r"|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b" + ATTRIBUTES + ">"
 )
 TAGS = r"<[/!?]?[A-Za-z]" + ATTRIBUTES + r">|<[/!?][^>]*+>"
-NUMBERED = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
-# Named references that are resolved, `amp` last.
+NUMBERED = r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6})$"
+# Named references that are resolved.
 NAMED = {
     "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®", "trade": "™", "middot": "·",
     "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•",
@@ -27,29 +27,32 @@ NAMED = {
 }
 
 
-def _numbered(reference: Column) -> Column:
-    """The character of one numeric reference; U+FFFD for what is none."""
-    inner = F.substr(reference, F.lit(3), F.length(reference) - 3)
-    number = F.when(
-        F.lower(F.substring(inner, 1, 1)) == "x", F.conv(F.substr(inner, F.lit(2)), 16, 10)
-    ).otherwise(inner).cast("long")
+def _numbered(name: Column) -> Column:
+    """The character of a numeric reference, given what lies between & and ;.
+    U+FFFD for a number that is no character."""
+    inner = F.substr(name, F.lit(2))
+    number = F.when(F.lower(F.substring(inner, 1, 1)) == "x", F.conv(F.substr(inner, F.lit(2)), 16, 10)).otherwise(inner).cast("long")
     known = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     wide = F.unhex(F.lpad(F.hex(F.when(known, number).otherwise(F.lit(0xFFFD).cast("long"))), 8, "0"))
     return F.decode(wide, "UTF-32")
 
 
-def _with_numbers(text: Column) -> Column:
-    def resolved(whole: Column) -> Column:
-        def joined(found: Column) -> Column:
-            gaps = F.split(whole, NUMBERED, -1)
-            return F.when(F.size(found) == 0, whole).otherwise(
-                F.array_join(F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.when(x.isNull(), "").otherwise(_numbered(x)))), "")
-            )
+def _references(text: Column) -> Column:
+    """Character references resolved in one pass; what is none stays as it is."""
+    named = F.create_map(*(F.lit(x) for pair in NAMED.items() for x in pair))
 
-        return let(F.regexp_extract_all(whole, F.lit(NUMBERED), F.lit(0)), joined)
+    def resolved(part: Column) -> Column:
+        def known(name: Column) -> Column:
+            char = F.when(name.rlike(NUMBERED), _numbered(name)).otherwise(F.try_element_at(named, name))
+            after = F.substr(part, F.length(name) + 2)
+            return F.when(F.length(name) < F.length(part), F.concat(char, after))
 
-    # Bound once: inside a lambda an expression would be worked out at each use.
-    return let(text, resolved)
+        return F.coalesce(let(F.substring_index(part, ";", 1), known), F.concat(F.lit("&"), part))
+
+    def joined(parts: Column) -> Column:
+        return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), resolved), ""))
+
+    return let(F.split(text, "&", -1), joined)
 
 
 def plain_text(html: Column) -> Column:
@@ -57,8 +60,6 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(text, BLOCKS, "\n")
     text = F.regexp_replace(text, TAGS, "")
-    text = _with_numbers(text)
-    for name, char in NAMED.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    text = _references(text)
     text = F.regexp_replace(text, r"[\x20\x09\x0B\x0C\x0D]++", " ")
     return F.btrim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n{3,}+", "\n\n"), F.lit(" \n"))

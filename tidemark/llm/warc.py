@@ -41,28 +41,33 @@ def _lines(*fields: tuple[str, Column]) -> Column:
     return F.concat_ws(END, F.lit(VERSION), *(F.concat(F.lit(f"{name}: "), value) for name, value in fields))
 
 
-def record(block: Column, *fields: tuple[str, Column]) -> Column:
+def record(block: Column, block_digest: Column, *fields: tuple[str, Column]) -> Column:
     """Bytes of one record."""
     length = F.octet_length(block).cast("string")
-    head = _lines(*fields, ("WARC-Block-Digest", digest(block)), ("Content-Length", length))
+    head = _lines(*fields, ("WARC-Block-Digest", block_digest), ("Content-Length", length))
     return F.concat(head, F.lit(END + END), block, F.lit(END + END)).cast("binary")
 
 
 def responses(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", date: str = DATE) -> DataFrame:
     """`id` and record: a response record for each page."""
     body = F.coalesce(F.col(html), F.lit(""))
-    http = F.concat(F.lit(END.join(HTTP) + END), F.lit("Content-Length: "), F.octet_length(body).cast("string"))
-    block = F.concat(http, F.lit(END + END), body)
-    return pages.select(
-        F.col(id),
+    given = pages.select(F.col(id).alias("_id"), F.col(url).alias("_url"), body.alias("_body"))
+    http = F.concat(F.lit(END.join(HTTP) + END), F.lit("Content-Length: "), F.octet_length("_body").cast("string"))
+    # Digests are columns of their own, so that each is worked out once.
+    blocks = given.withColumns({"_payload": digest(F.col("_body")), "_block": F.concat(http, F.lit(END + END), "_body")})
+    blocks = blocks.withColumn("_digest", digest(F.col("_block")))
+    own = record_id(F.lit("response"), F.coalesce("_url", F.lit("")), F.coalesce(F.col("_id").cast("string"), F.lit("")), F.col("_payload"))
+    return blocks.select(
+        F.col("_id").alias(id),
         record(
-            block,
+            F.col("_block"),
+            F.col("_digest"),
             ("WARC-Type", F.lit("response")),
-            ("WARC-Record-ID", record_id(F.lit("response"), F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(id).cast("string"), F.lit("")), digest(body))),
+            ("WARC-Record-ID", own),
             ("WARC-Date", F.lit(date)),
-            ("WARC-Target-URI", F.col(url)),
+            ("WARC-Target-URI", F.col("_url")),
             ("Content-Type", F.lit("application/http;msgtype=response")),
-            ("WARC-Payload-Digest", digest(body)),
+            ("WARC-Payload-Digest", F.col("_payload")),
         ).alias("record"),
     )
 
@@ -108,24 +113,27 @@ def derivatives(records: DataFrame, id: str = "page_id", column: str = "record")
         F.concat(F.lit("links: "), F.col("_links").cast("string")),
         F.concat(F.lit("text-length: "), F.length("text").cast("string")),
     )
-    return read.withColumn("_fields", F.concat(fields, F.lit(END))).select(
+    made = read.withColumn("_fields", F.concat(fields, F.lit(END)))
+    made = made.withColumns({"_metadata_digest": digest(F.col("_fields")), "_conversion_digest": digest(F.col("text"))})
+    for kind in ("metadata", "conversion"):
+        made = made.withColumn(f"{kind}_id", record_id(F.lit(kind), F.col("response_id"), F.col(f"_{kind}_digest")))
+    return made.select(
         id, "response_id", "target_uri", "payload_digest",
-        *_derived("metadata", F.col("_fields"), "application/warc-fields"),
-        *_derived("conversion", F.col("text"), "text/plain;charset=utf-8"),
+        "metadata_id", _derived("metadata", F.col("_fields"), "application/warc-fields"),
+        "conversion_id", _derived("conversion", F.col("text"), "text/plain;charset=utf-8"),
         "text",
     )
 
 
-def _derived(kind: str, block: Column, content_type: str) -> list[Column]:
-    own = record_id(F.lit(kind), "response_id", digest(block))
-    made = record(
+def _derived(kind: str, block: Column, content_type: str) -> Column:
+    return record(
         block,
+        F.col(f"_{kind}_digest"),
         ("WARC-Type", F.lit(kind)),
-        ("WARC-Record-ID", own),
+        ("WARC-Record-ID", F.col(f"{kind}_id")),
         ("WARC-Date", F.col("date")),
         ("WARC-Target-URI", F.col("target_uri")),
         ("WARC-Refers-To", F.col("response_id")),
         ("WARC-Refers-To-Payload-Digest", F.col("payload_digest")),
         ("Content-Type", F.lit(content_type)),
-    )
-    return [own.alias(f"{kind}_id"), made.alias(kind)]
+    ).alias(kind)
