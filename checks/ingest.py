@@ -20,6 +20,7 @@ from tidemark.sources.io import (
     write_json,
     write_table,
 )
+from tidemark.sources.schemas import TABLES
 
 ORDERS = T.StructType(
     [
@@ -66,7 +67,36 @@ for _name, _view in [
     ("A06_d_items", "d_items"),
     ("A06_d_labitems", "d_labitems"),
 ]:
-    check(f"{_name}_scan", view_sql(_view))(lambda spark, sf, v=_view: view(spark, sf, v))
+
+
+    def _scan(spark, sf, name=_view):
+        """The table as a warehouse file of declared types, read back with its schema."""
+        path, given = scratch(spark, name), view(spark, sf, name)
+        declared = [f for f in TABLES[name].fields if f.name in given.columns]
+        write_table(given.select(*[F.col(f.name).cast(f.dataType) for f in declared]), path)
+        kinds = dict(given.dtypes)
+        return read_table(spark, name, path).select(*[F.col(f.name).cast(kinds[f.name]) for f in declared])
+
+    # The view of patients also carries race and insurance, which belong to admissions.
+    _twin = f"SELECT * EXCLUDE (race, insurance) FROM ({view_sql(_view)})" if _view == "patients" else view_sql(_view)
+    check(f"{_name}_scan", _twin)(_scan)
+
+
+AWKWARD = (
+    "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' "
+    "ELSE concat(substr(text, 1, 200), ' \"q\", ', chr(10), lang) END AS body, lang FROM documents"
+)
+
+
+@check("A10_A11_csv_of_texts", AWKWARD)
+def _(spark, sf):
+    """Commas, doubled quotes, line breaks, nulls and empty texts, read by name."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    body = F.concat(F.substring("text", 1, 200), F.lit(' "q", \n'), "lang")
+    body = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 7 == 0, "").otherwise(body)
+    path = scratch(spark, "texts")
+    write_csv(documents.select("source", "lang", "doc_id", body.alias("body")), path)
+    return read_csv(spark, path, "doc_id BIGINT, body STRING, lang STRING")
 
 
 @check(

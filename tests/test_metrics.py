@@ -76,8 +76,12 @@ def test_sweep_equals_single_thresholds(long):
 
 
 def test_calibration_curve(long):
-    got = me.calibration_curve(long).collect()
+    with pytest.raises(Exception, match="no probability"):
+        me.calibration_curve(long).collect()
+    got = me.calibration_curve(long.filter("model <> 'outside'")).collect()
     for m, (y, p) in frames().items():
+        if m == "outside":
+            continue
         edges = np.percentile(p, np.linspace(0, 100, 11))[1:-1]
         bins = np.searchsorted(edges, p)
         want = {b: (p[bins == b].mean(), y[bins == b].mean()) for b in np.unique(bins)}
@@ -147,3 +151,41 @@ def test_subgroups_need_size_and_both_classes(spark):
     rules = {k: v for k, v in ex.SUBGROUPS.items() if k.startswith(("age", "gender"))}
     got = {r.subgroup: (r.n, r.events, r.roc_auc) for r in ex.subgroup_performance(df, rules).collect()}
     assert got == {"age_80+": (50, 25, 0.5)}
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_missing_scores_raise(spark, bad):
+    df = spark.createDataFrame([("m", 1, 0.5), ("m", 0, bad)], "model string, y int, p double")
+    for metric in (me.ranking_metrics, me.brier, me.confusion, me.threshold_sweep, me.calibration_curve, me.roc_curve):
+        with pytest.raises(Exception, match="score is null"):
+            metric(df).collect()
+
+
+def test_probabilities_are_asked_for_where_needed(spark):
+    df = spark.createDataFrame([("m", 1, 1.5), ("m", 0, -0.5)], "model string, y int, p double")
+    assert me.auroc(df).first().roc_auc == 1.0
+    for metric in (me.brier, me.calibration_curve):
+        with pytest.raises(Exception, match="no probability"):
+            metric(df).collect()
+
+
+@pytest.mark.parametrize("near", ["zero", "one", "outside"])
+def test_crowded_scores_spread_over_cells_and_rank_right(spark, near):
+    rng = np.random.default_rng(3)
+    p = {"zero": rng.random(20_000) * 4e-8, "one": 1 - rng.random(20_000) * 4e-8, "outside": rng.normal(0, 50, 20_000)}[near]
+    y = (rng.random(20_000) < 0.3).astype(int)
+    df = spark.createDataFrame([("m", int(a), float(b)) for a, b in zip(y, p)], "model string, y int, p double")
+    cells = df.groupBy(ranking._score_cell(F.col("p")).alias("c")).count()
+    assert cells.agg(F.max("count")).first()[0] < 100
+    order = np.argsort(p, kind="stable")
+    _, inverse, counts = np.unique(p, return_inverse=True, return_counts=True)
+    ranks = (np.cumsum(counts) - (counts - 1) / 2)[inverse]
+    auc = (ranks[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+    assert abs(me.auroc(df).first().roc_auc - auc) < 1e-9 and len(order) == len(p)
+
+
+def test_score_cells_never_fall(spark):
+    edges = [-1e300, -2.0, -1e-300, -0.0, 0.0, 5e-324, 1e-9, 0.49999999999999994, 0.5, 0.75, 1 - 2**-53, 1.0, 1 + 2**-52, 2.0, 1e300]
+    df = spark.createDataFrame([(float(x),) for x in edges], "p double")
+    cells = [r.c for r in df.select(ranking._score_cell(F.col("p")).alias("c")).collect()]
+    assert cells == sorted(cells)

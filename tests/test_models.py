@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import explain as ex, metrics as me, prep as pp, train as tr
 from tidemark.operators.profile import assert_clean, require_valid_target
+from tidemark.plans import modelling
 
 
 @pytest.fixture(scope="module")
@@ -104,11 +105,59 @@ def test_save_and_load(spark, fitted, split, tmp_path):
     assert_clean(fitted.transform(split), fitted.feature_names)
 
 
-def test_too_many_categories_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(pp, "MAX_CATEGORIES", 2)
-    df = spark.createDataFrame([("a",), ("b",), ("c",)], "c string")
-    with pytest.raises(ValueError):
-        pp.Preprocessor.fit(df, [], ["c"])
+def test_many_categories_are_one_entry_a_row(spark):
+    df = spark.range(12_000).select(F.concat(F.lit("v"), "id").alias("c"), F.col("id").alias("_text0"))
+    model = pp.Preprocessor.fit(df, [], ["c"])
+    assert len(model.feature_names) == 12_000
+    rows = model.transform_vector(df.limit(50), ["_text0"]).collect()
+    assert all(r.features.numNonzeros() == 1 for r in rows)
+    for r in rows:
+        assert model.feature_names[int(r.features.indices[0])] == f"c_v{r['_text0']}"
+    unseen = spark.createDataFrame([("new", 1)], "c string, _text0 int")
+    assert model.transform_vector(unseen, ["_text0"]).first().features.numNonzeros() == 0
+
+
+def test_vectors_equal_the_named_columns(spark, fitted, split):
+    named = fitted.transform(split, ["id"]).collect()
+    vectors = {r.id: r.features.toArray() for r in fitted.transform_vector(split, ["id"]).collect()}
+    for r in named:
+        np.testing.assert_allclose(vectors[r.id], [r[n] for n in fitted.feature_names])
+
+
+def test_empty_lists_mean_no_column(spark):
+    df = spark.createDataFrame([(1, 0, "a", 2.0), (2, 1, "b", 3.0)], "stay_id long, y int, s string, x double")
+    assert pp.Preprocessor.fit(df, [], ["s"]).feature_names == ["s_a", "s_b"]
+    assert pp.Preprocessor.fit(df, ["x"], []).feature_names == ["x"]
+    assert pp.Preprocessor.fit(df, [], []).feature_names == []
+    assert set(pp.Preprocessor.fit(df, exclude=["stay_id", "y"]).feature_names) == {"x", "s_a", "s_b"}
+    with pytest.raises(ValueError, match="y"):
+        pp.Preprocessor.fit(df, ["x", "y"], [], exclude=["stay_id", "y"])
+
+
+@pytest.mark.parametrize("kept", ["s", "x"])
+def test_one_kind_of_column_leaks_nothing(spark, kept):
+    rows = [(i, i % 2, "ab"[i % 3 % 2], float(i % 5)) for i in range(60)]
+    wide = spark.createDataFrame(rows, "stay_id long, y int, s string, x double").select("stay_id", "y", kept)
+    names = modelling.prepare(wide, "stay_id", "y", exclude=[]).preprocessor.feature_names
+    assert names == (["s_a", "s_b"] if kept == "s" else ["x"])
+
+
+def test_subgroup_rules_of_any_form(spark):
+    rows = [(i, i % 2, float(i % 7), "MF"[i % 2], 20 + i % 60) for i in range(400)]
+    wide = spark.createDataFrame(rows, "stay_id long, y int, x double, gender string, age int")
+    prepared = modelling.prepare(wide, "stay_id", "y", exclude=[])
+    scores = prepared.test.select("stay_id", F.col("y").alias("y_true"), (F.col("stay_id") % 10 / 10).alias("a_probability"))
+    groups = {"not M": "NOT gender = 'M'", "young": "(age < 50)", "lower": "lower(gender) = 'm'", "both": "age >= 30 AND gender = 'F'"}
+
+    def table(rules):
+        return modelling.subgroups_of(prepared, scores, rules, min_n=0)
+
+    sizes = {r.subgroup: r.n for r in table({**groups, "all": "age > 0"}).collect()}
+    test = [wide_row for wide_row in wide.join(prepared.test.select("stay_id"), "stay_id").collect()]
+    assert sizes["young"] == sum(r.age < 50 for r in test) and sizes["all"] == len(test)
+    assert set(sizes) <= {*groups, "all"}
+    with pytest.raises(Exception, match="nothing_like_it"):
+        table({"x": "nothing_like_it = 1"}).collect()
 
 
 def test_invalid_target_is_refused(spark):

@@ -72,3 +72,21 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    folder = tmp_path / "named"
+    folder.mkdir()
+    (folder / "part.csv").write_text('b,a,extra\n"x ""q"", y",1,z\n"two\nlines",2,\n"",3,w\n,4,w\n')
+    rows = io.read_csv(spark, str(folder), "a INT, b STRING").collect()
+    assert [tuple(r) for r in rows] == [(1, 'x "q", y'), (2, "two\nlines"), (3, ""), (4, None)]
+    with pytest.raises(ValueError, match="lacks"):
+        io.read_csv(spark, str(folder), "a INT, missing STRING")
+
+
+def test_csv_with_a_bad_cell_fails(spark, tmp_path):
+    folder = tmp_path / "bad"
+    folder.mkdir()
+    (folder / "part.csv").write_text("a,b\n1,x\nnot a number,y\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        io.read_csv(spark, str(folder), "a INT, b STRING").collect()

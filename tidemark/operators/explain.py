@@ -114,7 +114,7 @@ def permutation_importance(
     ranked. One number per shuffle reaches the driver.
     """
     spark = df.sparkSession
-    wanted = [names.index(f) for f in features or names]
+    wanted = [names.index(f) for f in (names if features is None else features)]
     base = with_rank(df.select(key, label, "features"), [], hash_order(key, seed), key, "_row")
     base = stage(base.withColumn("_x", vector_to_array("features")), "numbered")
     n = base.count()

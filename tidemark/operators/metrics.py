@@ -8,7 +8,7 @@ from operator import add
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import clipped_logit
 from tidemark.operators.profile import require_columns
@@ -24,6 +24,16 @@ def sweep_thresholds() -> list[float]:
     return [SWEEP_START + i * SWEEP_STEP for i in range(SWEEP_SIZE)]
 
 
+def _score(p: str, probability: bool = False) -> Column:
+    """The score, where a null or NaN (or no probability) ends the job: a metric
+    over fewer rows than were given would be wrong without a sign."""
+    bad = F.col(p).isNull() | F.isnan(F.col(p).cast("double"))
+    if probability:
+        bad = bad | (F.col(p) < 0) | (F.col(p) > 1)
+    text = "a score is null, NaN or no probability" if probability else "a score is null or NaN"
+    return F.when(bad, F.raise_error(F.lit(text)).cast("double")).otherwise(F.col(p).cast("double"))
+
+
 def to_long(predictions: DataFrame, y: str = "y_true", keep: Sequence[str] = ()) -> DataFrame:
     """(keep, y, model, p): one row per entity and `<model>_probability` column."""
     require_columns(predictions, [y])
@@ -41,7 +51,7 @@ def score_points(long: DataFrame, by: Sequence[str] = ("model",), y: str = "y",
 
     Equal scores collapse before the shuffle, so a constant score is no hot spot.
     """
-    counts = long.groupBy(*by, F.col(p).alias("score")).agg(
+    counts = long.groupBy(*by, _score(p).alias("score")).agg(
         F.sum(F.col(y)).cast("long").alias("pos"), F.sum(1 - F.col(y)).cast("long").alias("neg")
     )
     return running_totals(counts, by, "score", ["pos", "neg"])
@@ -76,7 +86,7 @@ def average_precision(long: DataFrame, by: Sequence[str] = ("model",), y: str =
 
 
 def brier(long: DataFrame, by: Sequence[str] = ("model",), y: str = "y", p: str = "p") -> DataFrame:
-    return long.groupBy(*by).agg(F.avg((F.col(p) - F.col(y)) ** 2).alias("brier_score"))
+    return long.groupBy(*by).agg(F.avg((_score(p, probability=True) - F.col(y)) ** 2).alias("brier_score"))
 
 
 def event_rate(long: DataFrame, by: Sequence[str] = ("model",), y: str = "y") -> DataFrame:
@@ -87,7 +97,7 @@ def event_rate(long: DataFrame, by: Sequence[str] = ("model",), y: str = "y") ->
 def confusion(
     long: DataFrame, threshold: float = 0.5, by: Sequence[str] = ("model",), y: str = "y", p: str = "p"
 ) -> DataFrame:
-    positive, predicted = F.col(y) == 1, F.col(p) >= F.lit(float(threshold))
+    positive, predicted = F.col(y) == 1, _score(p) >= F.lit(float(threshold))
     return long.groupBy(*by).agg(
         F.count_if(~positive & ~predicted).alias("tn"),
         F.count_if(~positive & predicted).alias("fp"),
@@ -142,9 +152,9 @@ def threshold_sweep(
     A row is counted once, under the number of thresholds it reaches; the few
     counts per group are then summed from the top. No row meets a threshold grid.
     """
-    grid = sorted(float(t) for t in (thresholds or sweep_thresholds()))
-    reached = reduce(add, [(F.col(p) >= F.lit(t)).cast("int") for t in grid])
-    levels = long.groupBy(*by, reached.alias("_level")).agg(
+    grid = sorted(float(t) for t in (sweep_thresholds() if thresholds is None else thresholds))
+    reached = reduce(add, [(F.col("_p") >= F.lit(t)).cast("int") for t in grid]) if grid else F.lit(0)
+    levels = long.withColumn("_p", _score(p)).groupBy(*by, reached.alias("_level")).agg(
         F.count_if(F.col(y) == 1).alias("_pos"), F.count_if(F.col(y) == 0).alias("_neg")
     )
     # At most len(grid) + 1 rows per group from here on.
@@ -218,6 +228,7 @@ def calibration_curve(
 ) -> DataFrame:
     """Mean score and event share per quantile bin; a bin is the number of inner
     edges below the score, and empty bins are absent (runs jobs for the edges)."""
+    long = long.withColumn(p, _score(p, probability=True))
     inner = [i / bins for i in range(1, bins)]
     edges = exact_quantiles(long, by, p, inner).groupBy(*by).agg(F.collect_list("quantile").alias("_edges"))
     # One row of `bins - 1` numbers per group.
@@ -236,7 +247,7 @@ def calibration_slope(long: DataFrame, models: Sequence[str], y: str = "y", p: s
     An unpenalised logistic fit (runs jobs, one fit per model).
     """
     spark = long.sparkSession
-    frame = long.select("model", F.col(y).cast("double").alias("label"), clipped_logit(p).alias("_logit"))
+    frame = long.select("model", F.col(y).cast("double").alias("label"), _score(p, probability=True).alias(p)).withColumn("_logit", clipped_logit(p))
     frame = VectorAssembler(inputCols=["_logit"], outputCol="features").transform(frame)
     rows = []
     for model in models:

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -15,10 +16,6 @@ from tidemark.operators.profile import _text_counts, long_numbers, missing_flags
 from tidemark.operators.ranking import exact_quantiles, hash_order
 from tidemark.rules import EXCLUDED_FEATURES
 
-# One-hot columns a fitted preprocessor may hold; more is an error, not a cut.
-MAX_CATEGORIES = 10_000
-
-
 def drop_excluded(df: DataFrame, columns: Sequence[str] = EXCLUDED_FEATURES) -> DataFrame:
     """Drop columns that must not be features; absent ones are ignored."""
     return df.drop(*columns)
@@ -180,11 +177,15 @@ class Preprocessor:
     ) -> Preprocessor:
         """Learn from the training rows (runs jobs).
 
-        What reaches the driver is a few numbers per column and the category
-        names, whose number is checked.
+        None stands for every column of the kind, an empty list for no column. A
+        feature named in `exclude` is an error. What reaches the driver is a few
+        numbers per column and the category names: one string per feature.
         """
         numbers, texts = split_types(train, exclude)
-        numbers, texts = list(numeric or numbers), list(categorical or texts)
+        numbers = numbers if numeric is None else list(numeric)
+        texts = texts if categorical is None else list(categorical)
+        if banned := sorted({*numbers, *texts} & set(exclude)):
+            raise ValueError(f"excluded columns among the features: {', '.join(banned)}")
         return cls(_fit_numbers(train, numbers), _fit_texts(train, texts))
 
     @property
@@ -193,6 +194,18 @@ class Preprocessor:
 
     def features(self) -> list[tuple[str, str]]:
         """Feature name and the SQL expression that computes it."""
+        flags = [
+            (
+                f"{f.column}_{v}",
+                f"CAST(coalesce(CAST({quoted(f.column)} AS STRING), {_text(f.mode)}) = {_text(v)} AS DOUBLE)",
+            )
+            for f in self.categorical
+            for v in f.values
+        ]
+        return self._numbers() + flags
+
+    def _numbers(self) -> list[tuple[str, str]]:
+        """Values and missing indicators, likewise."""
         values = [
             (f.column, f"(coalesce({_number(f.column)}, {_double(f.median)}) - {_double(f.mean)}) / {_double(f.scale)}")
             for f in self.numeric
@@ -207,24 +220,39 @@ class Preprocessor:
             for f in self.numeric
             if f.indicator_mean is not None
         ]
-        flags = [
-            (
-                f"{f.column}_{v}",
-                f"CAST(coalesce(CAST({quoted(f.column)} AS STRING), {_text(f.mode)}) = {_text(v)} AS DOUBLE)",
-            )
-            for f in self.categorical
-            for v in f.values
-        ]
-        return values + indicators + flags
+        return values + indicators
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """One named column per feature."""
         return df.selectExpr(*map(quoted, keep), *[f"{sql} AS {quoted(name)}" for name, sql in self.features()])
 
     def transform_vector(self, df: DataFrame, keep: Sequence[str] = (), output: str = "features") -> DataFrame:
-        """All features in one vector column, for training and scoring."""
-        vector = array_to_vector(F.expr(f"array({', '.join(sql for _, sql in self.features())})"))
-        return df.select(*keep, vector.alias(output))
+        """All features in one vector column, for training and scoring.
+
+        Categories become sparse positions by lookup, so that a column with many
+        values costs a row one entry. Unseen values have none.
+        """
+        numbers = [sql for _, sql in self._numbers()]
+        parts = [array_to_vector(F.expr(f"array({', '.join(numbers)})")).alias("_numbers")] if numbers else []
+        texts = [
+            F.expr(f"coalesce(CAST({quoted(f.column)} AS STRING), {_text(f.mode)})").alias(f"_text{i}")
+            for i, f in enumerate(self.categorical)
+        ]
+        # Further columns of the table may carry the names used in between.
+        made = df.select(F.struct(*keep).alias("_kept"), *parts, *texts)
+        places = [f"_place{i}" for i in range(len(texts))]
+        flags = [f"_flags{i}" for i in range(len(texts))]
+        if texts:
+            labels = [list(f.values) for f in self.categorical]
+            index = StringIndexerModel.from_arrays_of_labels(
+                labels, [f"_text{i}" for i in range(len(texts))], places, handleInvalid="keep"
+            )
+            made = index.transform(made)
+            # The last place is that of unseen values; it is dropped.
+            made = OneHotEncoder(inputCols=places, outputCols=flags, dropLast=True).fit(made).transform(made)
+        columns = [*(["_numbers"] if numbers else []), *flags]
+        made = VectorAssembler(inputCols=columns, outputCol="_vector").transform(made)
+        return made.select("_kept.*", F.col("_vector").alias(output))
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Fitted state as JSON rows."""
@@ -296,13 +324,11 @@ def _fit_numbers(train: DataFrame, columns: list[str]) -> tuple[NumericFit, ...]
 def _fit_texts(train: DataFrame, columns: list[str]) -> tuple[CategoryFit, ...]:
     if not columns:
         return ()
-    counts = fit_categories(train, columns)
-    rows = counts.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories; exclude the identifier-like columns")
+    by_column: dict[str, dict[str, int]] = {column: {} for column in columns}
+    for r in fit_categories(train, columns).collect():
+        by_column[r.column][r.value] = r.n
     fits = []
-    for column in columns:
-        seen = {r.value: r.n for r in rows if r.column == column}
+    for column, seen in by_column.items():
         if seen:
             mode = min(seen, key=lambda v: (-seen[v], v))
             fits.append(CategoryFit(column, mode, tuple(sorted(seen))))

@@ -119,7 +119,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
     Grouping by the full row is exact, and copies collapse before the shuffle.
     """
-    counts = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
+    counts = df.groupBy(*(df.columns if columns is None else columns)).agg(F.count("*").alias("n"))
     return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
@@ -148,7 +148,7 @@ def missing_only(report: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample deviation, extremes, quartiles and missing share
     (runs jobs for the quartiles)."""
-    columns = list(columns or split_types(df)[0])
+    columns = split_types(df)[0] if columns is None else list(columns)
     long = long_numbers(df, columns)
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"),
@@ -174,7 +174,7 @@ def quartiles(long: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def suspicious(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns with infinite or negative values."""
-    columns = list(columns or split_types(df)[0])
+    columns = split_types(df)[0] if columns is None else list(columns)
     infinite = F.col("value").isin(float("inf"), float("-inf"))
     counts = long_numbers(df, columns).groupBy("column").agg(
         F.count_if(infinite).alias("infinite_n"), F.count_if(F.col("value") < 0).alias("negative_n")
@@ -188,7 +188,7 @@ def _text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values and missing share per column, most distinct first."""
-    counts = _text_counts(df, list(columns or split_types(df)[1]))
+    counts = _text_counts(df, split_types(df)[1] if columns is None else list(columns))
     missing = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
     return (
         counts.groupBy("column")
@@ -205,7 +205,7 @@ def category_counts(
     df: DataFrame, columns: Sequence[str] | None = None, max_card: int = 30, top: int = 30
 ) -> DataFrame:
     """Most frequent values of every column with few distinct values."""
-    counts = _text_counts(df, list(columns or split_types(df)[1]))
+    counts = _text_counts(df, split_types(df)[1] if columns is None else list(columns))
     small = counts.groupBy("column").agg(F.count("value").alias("_card")).filter(F.col("_card") <= max_card)
     kept = counts.join(F.broadcast(small.select("column")), "column")
     order = [F.desc("n"), F.asc_nulls_last("value")]

@@ -14,8 +14,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# Score cells of a running total; a window over cells sees at most this many rows.
-SCORE_CELLS = 1 << 20
+# Score cells of a running total, per halving of the distance to 0 or to 1.
+SCORE_CELLS = 1 << 14
 
 # Exact quantiles: histogram cells per range and pass, the number of values that
 # are counted one by one, and the passes after which they are in any case.
@@ -31,15 +31,32 @@ def _cell(share: Column, parts: int) -> Column:
     return F.least(index, F.lit(parts - 1))
 
 
+def _score_cell(score: Column) -> Column:
+    """A monotone cell of a score; scores outside [0, 1] go on beyond both ends."""
+
+    def octaves(x: Column) -> Column:
+        return F.log2(F.greatest(x, F.lit(5e-324)))
+
+    least, top = F.lit(-1075.0), F.lit(1026.0)
+    place = (
+        F.when(score < 0, least * 2 - octaves(-score) - top)
+        .when(score < 0.5, octaves(score))
+        .when(score <= 1, F.lit(-2.0) - octaves(1 - score))
+        .otherwise(octaves(score - 1) - least * 2)
+    )
+    return F.floor(F.when(score == 0, least - 1).when(score == 1, F.lit(60.0)).otherwise(place) * SCORE_CELLS).cast("long")
+
+
 def running_totals(
     df: DataFrame, by: Sequence[str], score: str, totals: Sequence[str], suffix: str = "_above"
 ) -> DataFrame:
     """Add `<total>_above`: the sum of `total` over strictly higher scores.
 
-    `df` holds one row per (`by`, score), scores mostly in [0, 1]. A cell spans
-    1e-6, so scores crowded into a narrow band still spread over many tasks.
+    `df` holds one row per (`by`, score). Cells grow with the distance to 0, or to
+    1 for the upper half, so scores crowded next to either end (rare events, sure
+    predictions) spread over as many tasks as scores in the middle.
     """
-    celled = df.withColumn("_cell", _cell(F.col(score), SCORE_CELLS))
+    celled = df.withColumn("_cell", _score_cell(F.col(score).cast("double")))
     sums = celled.groupBy(*by, "_cell").agg(*[F.sum(t).alias(t) for t in totals])
 
     def before(order: str, *keys: str) -> list[Column]:

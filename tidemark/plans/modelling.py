@@ -48,8 +48,9 @@ def prepare(
     """
     rows = stage(pp.stratified_split(require_valid_target(wide, target), target, key, fraction, seed), "split")
     train = rows.filter(F.col("split") == "train")
-    numeric, categorical = split_types(rows, [*exclude, key, target, "split"])
-    fitted = pp.Preprocessor.fit(train, numeric, categorical)
+    banned = [*exclude, key, target, "split"]
+    numeric, categorical = split_types(rows, banned)
+    fitted = pp.Preprocessor.fit(train, numeric, categorical, banned)
     labelled = rows.withColumn("y", F.col(target).cast("int"))
     vectors = stage(fitted.transform_vector(labelled, [key, "y", "split"]), "vectors")
     return Prepared(rows, fitted, vectors, key, target)
@@ -122,16 +123,23 @@ def interpret(
     names = prepared.preprocessor.feature_names
     coefficients = ex.coef_table(spark, models["logistic_regression"], names)
     importance = ex.importance_all(models, prepared.test, "y", prepared.key, names, n_repeats=n_repeats)
-    long = me.to_long(predictions, keep=[prepared.key])
-    attributes = prepared.rows.drop("split", prepared.target)
-    known = {g: rule for g, rule in subgroups.items() if rule.split()[0] in attributes.columns}
-    needed = dict.fromkeys([prepared.key, *(rule.split()[0] for rule in known.values())])
     return {
         "logistic_coefficients": coefficients,
         "logistic_top_features": ex.top_bottom(coefficients, "coefficient"),
         "permutation_importance": importance,
         "importance_comparison": ex.compare_importance(importance, list(models)),
-        "subgroup_performance": ex.subgroup_performance(
-            ex.attach(long, attributes.select(*needed), prepared.key), known
-        ),
+        "subgroup_performance": subgroups_of(prepared, predictions, subgroups),
     }
+
+
+def subgroups_of(prepared: Prepared, predictions: DataFrame, subgroups: Mapping[str, str], min_n: int = 50) -> DataFrame:
+    """Subgroup performance of scored test rows, by rules over the raw columns.
+
+    A rule is worked out where its columns are; one that names an unknown column
+    raises.
+    """
+    attributes = prepared.rows.drop("split", prepared.target)
+    members = {f"member_{i}": group for i, group in enumerate(subgroups)}
+    flags = attributes.select(prepared.key, *[F.expr(subgroups[g]).alias(flag) for flag, g in members.items()])
+    long = ex.attach(me.to_long(predictions, keep=[prepared.key]), flags, prepared.key)
+    return ex.subgroup_performance(long, {group: flag for flag, group in members.items()}, min_n=min_n)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.scalar import quoted
 from tidemark.sources.schemas import TABLES
 
 
@@ -13,10 +14,10 @@ def read_table(
     spark: SparkSession, name: str, path: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
     """Scan one warehouse table with its declared schema."""
-    reader = spark.read.schema(schema or TABLES[name])
+    declared = TABLES[name] if schema is None else schema
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+        return read_csv(spark, path, declared)
+    return spark.read.schema(declared).format(fmt).load(path)
 
 
 def null_violations(df: DataFrame, name: str | None = None, required: Sequence[str] = ()) -> DataFrame:
@@ -37,12 +38,32 @@ def require_not_null(df: DataFrame, name: str | None = None, required: Sequence[
     return df
 
 
+# Quotes inside quoted text are doubled, text may hold line breaks, an empty text
+# is told from a null by its quotes. Quoted line breaks make a file unsplittable.
+# A reader that took the empty text for its null value could not tell them apart.
+CSV = {"nullValue": "\0", "header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST", "enforceSchema": False}
+CSV_OUT = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": ""}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """The declared columns, found by the names in the header.
+
+    Other columns of the file are left out; a declared one that the file lacks,
+    and a cell that does not fit its type, are errors.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # Only the head of a file is read for its names.
+    present = spark.read.options(**CSV).option("inferSchema", False).csv(path).columns
+    if absent := [f.name for f in declared.fields if f.name not in present]:
+        raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
+    kinds = {f.name: f.dataType for f in declared.fields}
+    in_file = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in present])
+    read = spark.read.options(**CSV).schema(in_file).csv(path)
+    return read.select(*[F.col(quoted(f.name)) for f in declared.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OUT).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
