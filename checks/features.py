@@ -150,6 +150,48 @@ DICTIONARY = (
 )
 
 
+def rule_sql(rules):
+    """CASE over lower-cased labels, first matching rule wins."""
+
+    def test(rule):
+        hits = [f"lower(label) LIKE '{p}'" for p in rule.like] + [f"lower(label) = '{v}'" for v in rule.equal]
+        return " AND ".join([f"({' OR '.join(hits)})", *(f"lower(label) NOT LIKE '{p}'" for p in rule.unlike)])
+
+    return "CASE " + " ".join(f"WHEN {test(r)} THEN '{r.variable}'" for r in rules) + " END"
+
+
+def phrases(rules):
+    """Texts that reach every rule, and some that only look like it."""
+    own = [text.strip("%") for rule in rules for text in (*rule.like, *rule.equal, *rule.unlike)]
+    return own + ["norepinephrine bitartrate", "bilirubin, direct", "bilirubin, indirect", "direct bilirubin", "sodium chloride", "none"]
+
+
+def spelled(items, texts):
+    """Labels made of the table's own and a phrase, in several spellings."""
+    phrase = F.element_at(F.array(*map(F.lit, texts)), F.pmod("itemid", F.lit(len(texts))).cast("int") + 1)
+    kind = F.pmod(F.floor(F.col("itemid") / len(texts)), F.lit(3))
+    spelling = F.when(kind == 0, phrase).when(kind == 1, F.upper(phrase)).otherwise(F.concat_ws(" ", "label", phrase, F.lit("(x)")))
+    return items.select("itemid", spelling.alias("label"))
+
+
+def spelled_sql(view_name, texts):
+    listed = "[" + ", ".join(f"'{t}'" for t in texts) + "]"
+    return (
+        f"SELECT itemid, CASE (itemid // {len(texts)}) % 3 WHEN 0 THEN phrase WHEN 1 THEN upper(phrase) "
+        f"ELSE concat_ws(' ', label, phrase, '(x)') END AS label FROM "
+        f"(SELECT itemid, label, {listed}[CAST(itemid % {len(texts)} AS INT) + 1] AS phrase FROM {view_name})"
+    )
+
+
+for _name, _view, _rules in (("B12_all_icu_labels", "d_items", rules.ICU_LABELS), ("B13_all_lab_labels", "d_labitems", rules.LAB_LABELS)):
+
+    def _classified(spark, sf, view_name=_view, own=_rules):
+        items = spelled(view(spark, sf, view_name), phrases(own))
+        return items.withColumn("variable_name", scalar.classify("label", own))
+
+    check(_name, with_views(_view, f"SELECT *, {rule_sql(_rules)} AS variable_name FROM ({spelled_sql(_view, phrases(_rules))})"))(_classified)
+
+
 @check("B14_H01_G01_dictionary", with_views("d_items d_labitems", DICTIONARY), "lownormalvalue")
 def _(spark, sf):
     return di.dictionary(view(spark, sf, "d_items"), view(spark, sf, "d_labitems"), ICU_RULES, LAB_RULES)
