@@ -13,6 +13,7 @@ from checks.views import view, with_views
 from tidemark import rules
 from tidemark.operators import prep as pp, train as tr
 from tidemark.operators.explain import NEGATIVE, POSITIVE, PRIME, coef_table, permutation_importance
+from tidemark.operators.profile import split_types
 from tidemark.session import stage
 
 TARGET = rules.TARGET
@@ -29,8 +30,22 @@ def split_wide(spark, sf):
     return pp.stratified_split(wide, TARGET, "stay_id")
 
 
-def train_rows(spark, sf):
-    return split_wide(spark, sf).filter("split = 'train'")
+#: What is no feature of the whole wide table, and its text columns.
+BANNED = [*dict.fromkeys([*rules.EXCLUDED_FEATURES, "stay_id", TARGET, "split"])]
+ALL_TEXTS = ["gender", "first_careunit", "last_careunit", "admission_type", "admission_location", "insurance", "marital_status", "race"]
+
+
+def all_rows(spark, sf):
+    """Every column of the wide table, with its split."""
+    return pp.stratified_split(stage(wide_table(spark, sf), "wide"), TARGET, "stay_id")
+
+
+def all_train(spark, sf):
+    """Staged training rows of all features, and the numeric ones."""
+    train = stage(all_rows(spark, sf).filter("split = 'train'"), "train")
+    numbers, texts = split_types(train, BANNED)
+    assert sorted(texts) == sorted(ALL_TEXTS), texts
+    return train, numbers
 
 
 def fitted(spark, sf):
@@ -53,13 +68,17 @@ SPLIT_CTES = {
     f"count(*) OVER (PARTITION BY {TARGET}) AS n FROM final",
     "split_rows": "SELECT * EXCLUDE (r, n), CASE WHEN r <= round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM placed",
     "train": "SELECT * FROM split_rows WHERE split = 'train'",
-    "long": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM train" for c in NUMBERS),
-    "medians": 'SELECT "column", median(value) AS median FROM long GROUP BY 1',
+    # Every numeric feature, whatever the table has.
+    "numbers": f"SELECT stay_id, split, CAST(COLUMNS(* EXCLUDE ({', '.join([*BANNED, *ALL_TEXTS])})) AS DOUBLE) FROM split_rows",
+    "rows_long": 'SELECT * FROM numbers UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(* EXCLUDE (stay_id, split))))',
+    "long": "SELECT \"column\", value FROM rows_long WHERE split = 'train'",
+    "medians": 'SELECT "column", median(value) AS median FROM long GROUP BY 1 HAVING count(value) > 0',
     "scales": 'SELECT "column" AS feature, avg(v) AS mean, stddev_pop(v) AS scale FROM '
     '(SELECT "column", coalesce(value, median) AS v FROM long JOIN medians USING ("column")) GROUP BY 1 UNION ALL '
     "SELECT 'missingindicator_' || \"column\", avg(m), stddev_pop(m) FROM "
     '(SELECT "column", CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END AS m FROM long) GROUP BY 1 HAVING max(m) > 0',
-    "texts": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM train" for c in CATEGORIES),
+    "texts_long": " UNION ALL ".join(f"SELECT stay_id, split, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM split_rows" for c in ALL_TEXTS),
+    "texts": "SELECT \"column\", value FROM texts_long WHERE split = 'train'",
     "modes": 'SELECT "column", value AS mode FROM (SELECT "column", value, count(*) AS n FROM texts WHERE value IS NOT NULL GROUP BY 1, 2) '
     'QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) = 1',
 }
@@ -95,7 +114,7 @@ def _(spark, sf):
 
 @check("J02_median_imputation", model_sql("SELECT * FROM medians"), "median")
 def _(spark, sf):
-    return pp.fit_impute(stage(train_rows(spark, sf), "train"), NUMBERS)
+    return pp.fit_impute(*all_train(spark, sf))
 
 
 @check(
@@ -103,17 +122,17 @@ def _(spark, sf):
     model_sql('SELECT "column", count(*) FILTER (value IS NULL) AS missing_n FROM long GROUP BY 1 HAVING count(*) > count(value)'),
 )
 def _(spark, sf):
-    return pp.fit_indicators(train_rows(spark, sf), NUMBERS)
+    return pp.fit_indicators(*all_train(spark, sf))
 
 
 @check("J04_standardise", model_sql("SELECT feature, mean, CASE WHEN scale = 0 THEN 1 ELSE scale END AS scale FROM scales"), "mean scale")
 def _(spark, sf):
-    return pp.fit_scale(stage(train_rows(spark, sf), "train"), NUMBERS)
+    return pp.fit_scale(*all_train(spark, sf))
 
 
 @check("J05_most_frequent", model_sql("SELECT * FROM modes"))
 def _(spark, sf):
-    return pp.fit_mode(train_rows(spark, sf), list(CATEGORIES))
+    return pp.fit_mode(all_train(spark, sf)[0], ALL_TEXTS)
 
 
 ONE_HOT = ", ".join(
@@ -153,6 +172,28 @@ def _(spark, sf):
     return model.transform(rows, ["stay_id", "split"])
 
 
+STANDARD = "CASE WHEN s.scale = 0 THEN 1 ELSE s.scale END"
+
+
+@check(
+    "J07_J08_all_features",
+    model_sql(
+        f'SELECT stay_id, split, "column" AS feature, (coalesce(value, median) - s.mean) / {STANDARD} AS value '
+        'FROM rows_long JOIN medians USING ("column") JOIN scales s ON s.feature = "column" UNION ALL '
+        f"SELECT stay_id, split, s.feature, (CAST(value IS NULL AS INT) - s.mean) / {STANDARD} "
+        "FROM rows_long JOIN scales s ON s.feature = 'missingindicator_' || \"column\" UNION ALL "
+        'SELECT stay_id, split, t."column" || \'_\' || c.value, CAST(coalesce(t.value, mode) = c.value AS INT) '
+        'FROM texts_long t JOIN (SELECT DISTINCT "column", value FROM texts WHERE value IS NOT NULL) c USING ("column") JOIN modes USING ("column")'
+    ),
+    "value",
+)
+def _(spark, sf):
+    """Every feature of the wide table, a row for each value."""
+    rows = stage(all_rows(spark, sf), "split")
+    model = pp.Preprocessor.fit(rows.filter("split = 'train'"), exclude=BANNED)
+    return model.transform(rows, ["stay_id", "split"]).unpivot(["stay_id", "split"], model.feature_names, "feature", "value")
+
+
 @check(
     "J10_class_weights",
     with_views("predictions", "SELECT y_true, (SELECT count(*) FROM predictions) / (2 * CAST(count(*) AS DOUBLE)) AS weight FROM predictions GROUP BY y_true"),
