@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.byte_bpe import decode, encode
+from tidemark.llm.byte_bpe import encode
 from tidemark.llm.common import staged
 from tidemark.llm.exact_dedup import distinct_documents
 from tidemark.llm.langid import UNKNOWN, fit_profiles, held_out, identified
@@ -26,7 +26,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a language the profiles know: those without letters, and those
     no closer to any profile than a random vector's opposite, go."""
     profiles = fit_profiles(docs.where(~held_out()))
-    named = identified(docs.select(F.struct("*").alias("doc"), "text"), profiles, carry=["doc"])
+    named = identified(docs, profiles)
     return named.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select("doc.*")
 
 
@@ -47,7 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids per document, and digests of them and of what they decode to."""
-    return decode(encode(docs, RANKS), RANKS).select(
+    return encode(docs, RANKS, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

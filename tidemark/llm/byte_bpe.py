@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import in_arrow, whole_text
-from tidemark.llm.pretokens import SEPARATOR, piece_starts
+from tidemark.llm.common import claim, in_arrow, whole_text
+from tidemark.llm.pretokens import SEPARATOR, code_point_classes, piece_starts
 
 CACHED_PIECES = 300_000
 CHARS_AT_ONCE = 1 << 21
@@ -129,8 +129,25 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32, copy=False)))
 
 
-def _encoder(data: bytes, names: list[str]):
+def decode_ids(ids: np.ndarray, offsets: np.ndarray, tokens: list[bytes]) -> bytes:
+    """The bytes of ids whose offsets must fit them."""
+    if len(ids) and not 0 <= ids.min() <= ids.max() < len(tokens):
+        raise ValueError("an id outside the vocabulary")
+    whole = b"".join(map(tokens.__getitem__, ids.tolist()))
+    if len(ids) and offsets[-1] + len(tokens[ids[-1]]) != len(whole):
+        raise ValueError("offsets that do not fit their ids")
+    return whole
+
+
+def _forget() -> None:
+    _cache.cache_clear()
+    code_point_classes.cache_clear()
+
+
+def _encoder(data: bytes, names: list[str], decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("byte_bpe", _forget)
+        tokens = _vocabulary(data)[1]
         lengths = np.array([len(t) for t in _vocabulary(data)[1]], np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -143,17 +160,22 @@ def _encoder(data: bytes, names: list[str]):
                 ids = list(encode_texts(texts[first:last], data))
                 offsets = [np.cumsum(lengths[i]) - lengths[i] for i in ids]
                 rest = [c.slice(first, last - first) for c in batch.columns[1:]]
-                yield pa.RecordBatch.from_arrays([*rest, _lists(ids), _lists(offsets)], names)
+                back = [pa.array([decode_ids(i, o, tokens) for i, o in zip(ids, offsets)], pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*rest, _lists(ids), _lists(offsets), *back], names)
                 first = last
 
     return run
 
 
-def encode(docs: DataFrame, ranks_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id`, ids array<int>, offsets array<int>: where in the UTF-8 text each id's bytes start."""
+def encode(docs: DataFrame, ranks_path: str, id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """`id`, ids array<int>, offsets array<int>: where in the UTF-8 text each id's bytes start.
+
+    With `decoded`, also what the ids decode to, before they leave the task."""
     read = docs.select(whole_text(text).alias("body"), F.col(id))
     kind = read.schema[1].dataType.simpleString()
-    return in_arrow(read, _encoder(Path(ranks_path).read_bytes(), [id, "ids", "offsets"]), f"`{id}` {kind}, ids array<int>, offsets array<int>")
+    names = [id, "ids", "offsets", *(["decoded"] if decoded else [])]
+    schema = f"`{id}` {kind}, ids array<int>, offsets array<int>" + (", decoded binary" if decoded else "")
+    return in_arrow(read, _encoder(Path(ranks_path).read_bytes(), names, decoded), schema)
 
 
 def _decoder(data: bytes, names: list[str]):
@@ -161,16 +183,9 @@ def _decoder(data: bytes, names: list[str]):
         tokens = _vocabulary(data)[1]
         for batch in batches:
             ids, offsets = batch.column("ids"), batch.column("offsets")
-            out, flat = [], ids.values.to_numpy(zero_copy_only=False)
-            marks = offsets.values.to_numpy(zero_copy_only=False)
-            cuts = ids.offsets.to_pylist()
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(tokens)):
-                raise ValueError("an id outside the vocabulary")
-            for ok, a, b in zip(ids.is_valid().to_pylist(), cuts, cuts[1:]):
-                whole = b"".join(map(tokens.__getitem__, flat[a:b].tolist()))
-                if b > a and marks[b - 1] + len(tokens[flat[b - 1]]) != len(whole):
-                    raise ValueError("offsets that do not fit their ids")
-                out.append(whole if ok else None)
+            flat, marks = (c.values.to_numpy(zero_copy_only=False) for c in (ids, offsets))
+            spans = zip(ids.is_valid().to_pylist(), *(x for c in (ids, offsets) for x in (c.offsets[:-1].to_pylist(), c.offsets[1:].to_pylist())))
+            out = [decode_ids(flat[a:b], marks[c:d], tokens) if ok else None for ok, a, b, c, d in spans]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names)
 
     return run
@@ -185,7 +200,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, ranks_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`id`, n_tokens, and digests of the ids and of the bytes they decode to."""
-    return decode(encode(docs, ranks_path, id, text), ranks_path).select(
+    return encode(docs, ranks_path, id, text, decoded=True).select(
         id,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

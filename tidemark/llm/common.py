@@ -40,6 +40,17 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """Called where a task starts: this operator's caches stay in the worker for
+    its next task, those that another operator left there go."""
+    for other in [n for n in _caches if n != name]:
+        _caches.pop(other)()
+    _caches[name] = clear
+
+
 _shipped: set[str] = set()
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import encoded, in_arrow, staged, whole_text
+from tidemark.llm.common import claim, encoded, in_arrow, staged, whole_text
 from tidemark.llm.patricia import Patricia
 
 LOCAL_BUDGET = 64 << 20
@@ -88,6 +88,7 @@ def _local(largest: bool):
              pa.array(best, I), pa.array(best_row, I), pa.array(n, I)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("exact_dedup", lambda: None)
         row = TaskContext.get().partitionId() << 33
         trie, held = Patricia(keep_first, 1 << 62), {}
         for batch in batches:

@@ -17,13 +17,13 @@ from __future__ import annotations
 
 import functools
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import in_arrow, whole_text
+from tidemark.llm.common import claim, in_arrow
 
 DIMENSIONS = 1024
 SEED = 9
@@ -64,7 +64,7 @@ class _Rows:
 
     def __init__(self):
         self.at: dict[int, int] = {}
-        self.matrix = np.empty((1024, DIMENSIONS), np.float32)
+        self.matrix = np.empty((CACHED_TRIGRAMS, DIMENSIONS), np.int8)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         if len(self.at) + len(keys) > CACHED_TRIGRAMS:
@@ -74,8 +74,6 @@ class _Rows:
             row = known.get(key)
             if row is None:
                 row = known[key] = len(known)
-                if row >= len(self.matrix):
-                    self.matrix = np.resize(self.matrix, (2 * row, DIMENSIONS))
                 self.matrix[row] = _vector(key)
             out[i] = row
         return out
@@ -94,7 +92,7 @@ def bundle(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         part = counts[i : i + step]
         # Whole numbers stay exact in single precision below 2**24.
         kind = np.float32 if part.sum() < 1 << 24 else np.float64
-        total += part.astype(kind) @ _rows().matrix[rows].astype(kind, copy=False)
+        total += part.astype(kind) @ _rows().matrix[rows].astype(kind)
     return total
 
 
@@ -132,7 +130,7 @@ def trigrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield (letters[first] << 2 * BITS) | (letters[second] << BITS) | letters[third], counts
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
     group, chars = [], 0
     for text in texts:
         group.append(text)
@@ -144,7 +142,13 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield group
 
 
+def _forget() -> None:
+    for cached in (_rows, _fold, _letter):
+        cached.cache_clear()
+
+
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("langid", _forget)
     sums: dict[str, np.ndarray] = {}
 
     def add(lang: str, counted: dict[int, int]) -> None:
@@ -192,7 +196,7 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> dic
     return dict(sorted(profiles.items()))
 
 
-def _identifier(profiles: dict[str, np.ndarray], names: list[str]):
+def _identifier(profiles: dict[str, np.ndarray], text_at: int, carried: list[str]):
     langs = list(profiles)
     matrix = np.array([profiles[x] for x in langs])
 
@@ -206,21 +210,28 @@ def _identifier(profiles: dict[str, np.ndarray], names: list[str]):
         return langs[best], float(min(1.0, max(0.0, cosines[best])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("langid", _forget)
         for batch in batches:
-            found = [one(*t) for group in _groups(batch.column(0).to_pylist()) for t in trigrams(group)]
+            given = batch.column(0)
+            texts = (text or "" for text in given.field(text_at).to_pylist())
+            found = [one(*t) for group in _groups(texts) for t in trigrams(group)]
+            kept = pa.StructArray.from_arrays([given.field(i) for i in range(len(carried))], carried) if carried else given
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names
+                [kept, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                ["doc", "lang_pred", "score"],
             )
 
     return run
 
 
 def identified(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The columns `carry` (all by default), lang_pred and score."""
+    """struct `doc` of the columns `carry` (all by default), lang_pred and score."""
     carry = docs.columns if carry is None else carry
-    kept = docs.select(whole_text(text).alias("_body"), *carry)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:]), "lang_pred string, score double"])
-    return in_arrow(kept, _identifier(profiles, [*carry, "lang_pred", "score"]), schema)
+    sent = carry if text in carry else [*carry, text]
+    read = docs.select(F.struct(*sent).alias("doc"))
+    kind = docs.select(F.struct(*carry).alias("doc")).schema[0].dataType.simpleString()
+    run = _identifier(profiles, sent.index(text), [] if sent == carry else carry)
+    return in_arrow(read, run, f"doc {kind}, lang_pred string, score double")
 
 
 def held_out(id: str = "doc_id") -> Column:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import in_arrow, staged
+from tidemark.llm.common import claim, in_arrow, staged
 from tidemark.llm.components import components
 
 ROWS, BANDS = 5, 40
@@ -98,6 +98,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 def _signer(k: int, text_at: int, id_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup", _words.clear)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             doc = batch.column(0)
@@ -153,6 +154,7 @@ def _survivors(percent: int, miss: float):
 
 def _verifier(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup", _words.clear)
         for batch in batches:
             sets: dict[int, np.ndarray] = {}
             linked = []
@@ -303,6 +305,7 @@ def _host(k: int, percent: int, miss: float):
     """Links between the visitors of each pack and its members, as (u, v)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup", _words.clear)
         least, here, pack = least_matches(percent, miss), None, None
         for batch in batches:
             u, v = [], []

@@ -70,12 +70,12 @@ def _tables():
 
 
 @functools.cache
-def _classes() -> np.ndarray:
+def code_point_classes() -> np.ndarray:
     """Symbol of each code point, apart from its neighbours."""
     table = np.full(SEPARATOR + 1, OTHER, np.uint8)
-    kinds = np.array([unicodedata.category(chr(c))[0] for c in range(SEPARATOR)])
-    table[:SEPARATOR][kinds == "L"] = LETTER
-    table[:SEPARATOR][kinds == "N"] = NUMBER
+    kinds = np.frombuffer("".join(unicodedata.category(chr(c))[0] for c in range(SEPARATOR)).encode(), np.uint8)
+    table[:SEPARATOR][kinds == ord("L")] = LETTER
+    table[:SEPARATOR][kinds == ord("N")] = NUMBER
     table[list(WHITE_SPACE)] = LAST_WHITE
     table[0x20] = LAST_SPACE
     table[SEPARATOR] = END
@@ -84,7 +84,7 @@ def _classes() -> np.ndarray:
 
 def symbols(points: np.ndarray) -> np.ndarray:
     """Automaton symbols of code points that end with a separator."""
-    out = _classes()[points]
+    out = code_point_classes()[points]
     blank = (out == LAST_SPACE) | (out == LAST_WHITE)
     more = blank.copy()
     more[:-1] &= blank[1:] | (out[1:] == END)

@@ -80,7 +80,7 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").withColumn("held_out", held_out())
     profiles = fit_profiles(docs.where("NOT held_out"))
-    return identified(docs, profiles, carry=["doc_id", "held_out"])
+    return identified(docs, profiles, carry=["doc_id", "held_out"]).select("doc.doc_id", "doc.held_out", "lang_pred", "score")
 
 
 def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
