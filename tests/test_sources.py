@@ -1,12 +1,13 @@
 """Declared schemas, constraints and round trips."""
 
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import types as T
 
 from tidemark.operators.events import join_cohort
-from tidemark.session import shared_dir, stage
+from tidemark.session import shared_dir, stage, staging
 from tidemark.sources import io
 from tidemark.sources.schemas import TABLES
 
@@ -90,3 +91,19 @@ def test_csv_with_a_bad_cell_fails(spark, tmp_path):
     (folder / "part.csv").write_text("a,b\n1,x\nnot a number,y\n")
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         io.read_csv(spark, str(folder), "a INT, b STRING").collect()
+
+
+def test_staged_folders_go_with_their_owner(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+
+    def left():
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before = left()
+    with staging(spark):
+        kept = stage(spark.range(10), "owned")
+        assert kept.count() == 10 and len(left() - before) == 1
+        with staging(spark):
+            assert stage(kept, "inner").count() == 10
+        assert len(left() - before) == 1
+    assert left() == before

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,13 +43,34 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+_owners: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving whatever `stage` wrote inside.
+
+    Results that read staged tables must be written before.
+    """
+    _owners.append([])
+    try:
+        yield
+    finally:
+        for path in _owners.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back (runs a job).
 
     Used where one result feeds several branches: the work is done once, a lost
-    executor does not recompute it, and later joins know its true size.
+    executor does not recompute it, and later joins know its true size. The files
+    stay until the surrounding `staging` block ends, or for good without one.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
