@@ -124,6 +124,13 @@ def test_vectors_equal_the_named_columns(spark, fitted, split):
         np.testing.assert_allclose(vectors[r.id], [r[n] for n in fitted.feature_names])
 
 
+def test_categories_of_different_number(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("a", "z"), (None, "x")], "two string, three string")
+    model = pp.Preprocessor.fit(df, [])
+    rows = [r.features.toArray().tolist() for r in model.transform_vector(df).collect()]
+    assert rows == [[1, 0, 1, 0, 0], [0, 1, 0, 1, 0], [1, 0, 0, 0, 1], [1, 0, 1, 0, 0]]
+
+
 def test_empty_lists_mean_no_column(spark):
     df = spark.createDataFrame([(1, 0, "a", 2.0), (2, 1, "b", 3.0)], "stay_id long, y int, s string, x double")
     assert pp.Preprocessor.fit(df, [], ["s"]).feature_names == ["s_a", "s_b"]

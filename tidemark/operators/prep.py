@@ -243,11 +243,9 @@ class Preprocessor:
         places = [f"_place{i}" for i in range(len(texts))]
         flags = [f"_flags{i}" for i in range(len(texts))]
         if texts:
-            labels = [list(f.values) for f in self.categorical]
-            index = StringIndexerModel.from_arrays_of_labels(
-                labels, [f"_text{i}" for i in range(len(texts))], places, handleInvalid="keep"
-            )
-            made = index.transform(made)
+            for i, f in enumerate(self.categorical):
+                index = StringIndexerModel.from_labels(list(f.values), f"_text{i}", places[i], handleInvalid="keep")
+                made = index.transform(made)
             # The last place is that of unseen values; it is dropped.
             made = OneHotEncoder(inputCols=places, outputCols=flags, dropLast=True).fit(made).transform(made)
         columns = [*(["_numbers"] if numbers else []), *flags]
