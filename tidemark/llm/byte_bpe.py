@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import claim, in_arrow, whole_text
 from tidemark.llm.pretokens import SEPARATOR, code_point_classes, piece_starts
 
-CACHED_PIECES = 300_000
+CACHED_PIECES = 250_000
 CHARS_AT_ONCE = 1 << 21
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import io
 import uuid
 import zipfile
@@ -45,10 +46,14 @@ _caches: dict[str, Callable[[], None]] = {}
 
 def claim(name: str, clear: Callable[[], None]) -> None:
     """Called where a task starts: this operator's caches stay in the worker for
-    its next task, those that another operator left there go."""
+    its next task, those that another operator left there go, and what the last
+    task freed goes back to the machine."""
     for other in [n for n in _caches if n != name]:
         _caches.pop(other)()
     _caches[name] = clear
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every libc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 _shipped: set[str] = set()

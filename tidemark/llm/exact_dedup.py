@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import claim, encoded, in_arrow, staged, whole_text
 from tidemark.llm.patricia import Patricia
 
-LOCAL_BUDGET = 64 << 20
+LOCAL_BUDGET = 32 << 20
 OWNER_BUDGET = 256 << 20
 ROWS = 2048
 
@@ -118,6 +118,7 @@ def _owner(largest: bool, budget: int):
     names = ["rep", "keep_id", "keep_row", "group_size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("exact_dedup", lambda: None)
         trie = Patricia(_merger(largest), budget)
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
@@ -163,7 +164,14 @@ def duplicate_groups(
 
 def distinct_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: str = "largest") -> DataFrame:
     """The rows of `docs` whose text stays, all columns, each kept document once."""
-    stays = duplicate_groups(docs, id, text, keep).where("kept").select(F.col(id).alias("_id"), F.col("text_sha256").alias("_sha"))
-    tagged = docs.withColumn("_sha256", F.sha2(whole_text(text), 256))
-    found = tagged.join(stays, tagged[id].cast("long").eqNullSafe(stays["_id"]) & (tagged["_sha256"] == stays["_sha"]), "left_semi")
-    return found.dropDuplicates([id, "_sha256"]).drop("_sha256")
+
+
+    def named(sha: Column) -> Column:
+        """A document by text and identifier; one column, so that one shuffle serves
+        both the join and the removal of repeated rows."""
+        return F.concat_ws(":", sha, F.coalesce(F.col(id).cast("long").cast("string"), F.lit("-")))
+
+    stays = duplicate_groups(docs, id, text, keep).where("kept").select(named(F.col("text_sha256")).alias("_stays"))
+    tagged = docs.withColumn("_document", named(F.sha2(whole_text(text), 256)))
+    found = tagged.join(stays.hint("merge"), F.col("_document") == F.col("_stays"), "left_semi")
+    return found.dropDuplicates(["_document"]).drop("_document")

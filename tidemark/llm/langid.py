@@ -29,6 +29,7 @@ DIMENSIONS = 1024
 SEED = 9
 UNKNOWN = "und"
 CHARS_AT_ONCE = 1 << 20
+ROWS_AT_ONCE = 2048
 CACHED_TRIGRAMS = 1 << 15
 DENSE_CODES = 1 << 18
 BOUNDARY = 0x20
@@ -211,7 +212,7 @@ def _identifier(profiles: dict[str, np.ndarray], text_at: int, carried: list[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("langid", _forget)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             given = batch.column(0)
             texts = (text or "" for text in given.field(text_at).to_pylist())
             found = [one(*t) for group in _groups(texts) for t in trigrams(group)]

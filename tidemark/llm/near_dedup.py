@@ -45,6 +45,7 @@ SEED = 4
 PIVOTS = 4
 PACK = 64
 CACHED_WORDS = 200_000
+ROWS_AT_ONCE = 2048
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,7 +101,7 @@ def _signer(k: int, text_at: int, id_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("near_dedup", _words.clear)
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             doc = batch.column(0)
             sizes, prints, signs = [], [], []
             for text in doc.field(text_at).to_pylist():
@@ -137,6 +138,7 @@ def least_matches(percent: int, miss: float) -> tuple[int, ...]:
 
 def _survivors(percent: int, miss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup", _words.clear)
         least = least_matches(percent, miss)
         for batch in batches:
             if not batch.num_rows:
