@@ -41,9 +41,6 @@ def is_null_flag(c: ColumnLike) -> Column:
     return _col(c).isNull().cast("int")
 
 
-missing_flag = is_null_flag
-
-
 def fill_zero(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.expr(f"coalesce({quoted(c)}, 0)") for c in columns})
 

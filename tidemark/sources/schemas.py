@@ -4,63 +4,142 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+INT, SHORT, DOUBLE, TEXT, TIME = T.IntegerType(), T.ShortType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
-def _schema(text: str) -> T.StructType:
-    """`name type` per item; a trailing `!` marks NOT NULL."""
-    fields = []
-    for item in text.split(","):
-        name, kind = item.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
 
+def _required(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, False)
+
+
+def _optional(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, True)
 
-_TYPES = {
-    "int": T.IntegerType(),
-    "short": T.ShortType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "ts": T.TimestampNTZType(),
-}
 
 # Table layouts the pipeline reads.
 TABLES = {
-    "admissions": _schema(
-        "subject_id int!, hadm_id int!, admittime ts!, dischtime ts, deathtime ts,"
-        "admission_type string!, admit_provider_id string, admission_location string,"
-        "discharge_location string, insurance string, language string, marital_status string,"
-        "race string, edregtime ts, edouttime ts, hospital_expire_flag short"
+    "admissions": T.StructType(
+        [
+            _required("subject_id", INT),
+            _required("hadm_id", INT),
+            _required("admittime", TIME),
+            _optional("dischtime", TIME),
+            _optional("deathtime", TIME),
+            _required("admission_type", TEXT),
+            _optional("admit_provider_id", TEXT),
+            _optional("admission_location", TEXT),
+            _optional("discharge_location", TEXT),
+            _optional("insurance", TEXT),
+            _optional("language", TEXT),
+            _optional("marital_status", TEXT),
+            _optional("race", TEXT),
+            _optional("edregtime", TIME),
+            _optional("edouttime", TIME),
+            _optional("hospital_expire_flag", SHORT),
+        ]
+    ),
+    "d_hcpcs": T.StructType(
+        [
+            _required("code", TEXT),
+            _optional("category", SHORT),
+            _optional("long_description", TEXT),
+            _optional("short_description", TEXT),
+        ]
     ),
-    "d_hcpcs": _schema(
-        "code string!, category short, long_description string, short_description string"
+    "patients": T.StructType(
+        [
+            _required("subject_id", INT),
+            _optional("gender", TEXT),
+            _optional("anchor_age", INT),
+            _optional("anchor_year", INT),
+            _optional("anchor_year_group", TEXT),
+        ]
     ),
-    "patients": _schema(
-        "subject_id int!, gender string, anchor_age int, anchor_year int, anchor_year_group string"
+    "icustays": T.StructType(
+        [
+            _required("subject_id", INT),
+            _required("hadm_id", INT),
+            _required("stay_id", INT),
+            _optional("intime", TIME),
+            _optional("outtime", TIME),
+            _optional("first_careunit", TEXT),
+            _optional("last_careunit", TEXT),
+            _optional("los", DOUBLE),
+        ]
     ),
-    "icustays": _schema(
-        "subject_id int!, hadm_id int!, stay_id int!, intime ts, outtime ts,"
-        "first_careunit string, last_careunit string, los double"
+    "d_items": T.StructType(
+        [
+            _required("itemid", INT),
+            _optional("label", TEXT),
+            _optional("abbreviation", TEXT),
+            _optional("linksto", TEXT),
+            _optional("category", TEXT),
+            _optional("unitname", TEXT),
+            _optional("param_type", TEXT),
+            _optional("lownormalvalue", DOUBLE),
+            _optional("highnormalvalue", DOUBLE),
+        ]
     ),
-    "d_items": _schema(
-        "itemid int!, label string, abbreviation string, linksto string, category string,"
-        "unitname string, param_type string, lownormalvalue double, highnormalvalue double"
+    "d_labitems": T.StructType(
+        [
+            _required("itemid", INT),
+            _optional("label", TEXT),
+            _optional("fluid", TEXT),
+            _optional("category", TEXT),
+        ]
     ),
-    "d_labitems": _schema("itemid int!, label string, fluid string, category string"),
-    "chartevents": _schema(
-        "subject_id int!, hadm_id int!, stay_id int!, charttime ts, itemid int,"
-        "valuenum double, valueuom string"
+    "chartevents": T.StructType(
+        [
+            _required("subject_id", INT),
+            _required("hadm_id", INT),
+            _required("stay_id", INT),
+            _optional("charttime", TIME),
+            _optional("itemid", INT),
+            _optional("valuenum", DOUBLE),
+            _optional("valueuom", TEXT),
+        ]
     ),
-    "labevents": _schema(
-        "subject_id int!, hadm_id int, charttime ts, itemid int, valuenum double, valueuom string"
+    "labevents": T.StructType(
+        [
+            _required("subject_id", INT),
+            _optional("hadm_id", INT),
+            _optional("charttime", TIME),
+            _optional("itemid", INT),
+            _optional("valuenum", DOUBLE),
+            _optional("valueuom", TEXT),
+        ]
     ),
-    "inputevents": _schema(
-        "subject_id int!, hadm_id int!, stay_id int!, starttime ts, endtime ts, itemid int,"
-        "rate double, amount double, rateuom string, amountuom string"
+    "inputevents": T.StructType(
+        [
+            _required("subject_id", INT),
+            _required("hadm_id", INT),
+            _required("stay_id", INT),
+            _optional("starttime", TIME),
+            _optional("endtime", TIME),
+            _optional("itemid", INT),
+            _optional("rate", DOUBLE),
+            _optional("amount", DOUBLE),
+            _optional("rateuom", TEXT),
+            _optional("amountuom", TEXT),
+        ]
     ),
-    "outputevents": _schema(
-        "subject_id int!, hadm_id int!, stay_id int!, charttime ts, itemid int,"
-        "value double, valueuom string"
+    "outputevents": T.StructType(
+        [
+            _required("subject_id", INT),
+            _required("hadm_id", INT),
+            _required("stay_id", INT),
+            _optional("charttime", TIME),
+            _optional("itemid", INT),
+            _optional("value", DOUBLE),
+            _optional("valueuom", TEXT),
+        ]
     ),
-    "ventilation": _schema(
-        "subject_id int!, hadm_id int!, stay_id int!, starttime ts, endtime ts"
+    "ventilation": T.StructType(
+        [
+            _required("subject_id", INT),
+            _required("hadm_id", INT),
+            _required("stay_id", INT),
+            _optional("starttime", TIME),
+            _optional("endtime", TIME),
+        ]
     ),
 }
