@@ -74,3 +74,15 @@ def test_fewer_candidates_than_wanted(spark, n):
 
 def test_empty_table(spark, empty):
     assert queries.op10_nearest(spark, empty).collect() == []
+
+
+@pytest.mark.parametrize("noise", [1e-3, 1e-4])
+def test_recall_within_a_dense_group(spark, tmp_path, noise):
+    """A third of all rows differ from one vector by less than a hundredth of a component."""
+    rng = np.random.default_rng(2)
+    centre = rng.standard_normal(64)
+    rows = [(i, (centre + noise * rng.standard_normal(64) if i % 3 == 0 else rng.standard_normal(64)).astype(np.float32).tolist(), 0) for i in range(3000)]
+    spark.createDataFrame(rows, SCHEMA).repartition(6).write.parquet(f"{tmp_path}/embeddings.parquet")
+    expected = by_hand(rows)
+    assert sum(q % 3 == 0 for q in expected) == 10
+    assert recall([r for r in queries.op10_nearest(spark, str(tmp_path)).collect() if r.query_id % 3 == 0], {q: e for q, e in expected.items() if q % 3 == 0}) >= 0.95

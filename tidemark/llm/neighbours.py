@@ -7,9 +7,9 @@ furthest neighbour takes its place. Only pairs with a neighbour that came in the
 last round are looked at. A query node is searched greedily: the nearest unexpanded
 nodes of its beam are joined with the graph, until the whole beam is expanded.
 
-The graph and the search use vectors of one byte a component; the best of a beam
-are ranked again by the exact distance of the original vectors in double
-precision. Every join is on a node, lists are bounded by NEIGHBOURS, INTRODUCED
+The graph and the search use the vectors as they were given, and distances in double
+precision, so that members of a dense group are told apart; the best of a beam get
+their score from the rows themselves. Every join is on a node, lists are bounded by NEIGHBOURS, INTRODUCED
 and BEAM, and of a group of equal vectors only as many members travel as a result
 can name.
 
@@ -33,6 +33,7 @@ from tidemark.llm.spans import let
 
 NEIGHBOURS = 24
 INTRODUCED = 16  # of those that name a node as theirs
+PARTS = 4  # rows that the links of a node are dealt over, so that a batch of them stays small
 OFFERED = 8  # nearest ones that a node is offered by one introduction
 ROUNDS = 6
 SETTLED = 0.02  # share of neighbours that changed, below which rounds end
@@ -40,7 +41,7 @@ RUN, ORDERS = 64, 2
 BEAM, EXPANDED = 512, 64
 EXACT = 64
 SEED = 10
-NEAREST_ROWS = "node long, ids array<long>, far array<float>, fresh array<boolean>"
+NEAREST_ROWS = "node long, ids array<long>, far array<double>, fresh array<boolean>"
 
 
 def usable(embedding: Column) -> Column:
@@ -49,31 +50,33 @@ def usable(embedding: Column) -> Column:
     return embedding.isNotNull() & (F.size(embedding) > 0) & good & F.exists(embedding, lambda x: x != 0)
 
 
-def _unpack(vectors: pa.Array, scales: pa.Array, size: int) -> np.ndarray:
+def _unpack(vectors: pa.Array, layout: np.dtype) -> np.ndarray:
     # The values of a binary column lie in one buffer, here all of one length.
-    raw = np.frombuffer(vectors.buffers()[2] or b"", np.int8, len(vectors) * size, vectors.offset * size).reshape(-1, size)
-    return raw.astype(np.float32) * scales.to_numpy(zero_copy_only=False).astype(np.float32)[:, None]
+    (size,) = layout.shape
+    raw = np.frombuffer(vectors.buffers()[2] or b"", layout.base, len(vectors) * size, vectors.offset * layout.itemsize)
+    return raw.reshape(-1, size).astype(np.float64)
 
 
-def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes with a scale, and their place in the projected orders."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        whole = np.array(batch.column("vec").to_pylist(), np.float64)
-        scale = np.abs(whole).max(1) / 127
-        with np.errstate(divide="ignore", invalid="ignore"):
-            small = np.where(scale[:, None] > 0, np.rint(whole / scale[:, None]), 0).astype(np.int8)
-        rng = np.random.default_rng([SEED, whole.shape[1]])
-        codes = []
-        for _ in range(ORDERS):
-            planes = rng.standard_normal((whole.shape[1], 24))
-            codes.append(((whole / scale.max() if scale.max() else whole) @ planes > 0) @ (1 << np.arange(24)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(scale.astype(np.float32)),
-             pa.array([list(c) for c in zip(*(c.tolist() for c in codes))], pa.list_(pa.int64()))],
-            ["node", "bytes", "scale", "codes"],
-        )
+def _packer(layout: np.dtype):
+    """Vectors as bytes that lose nothing, and their place in the projected orders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = np.array(batch.column("vec").to_pylist(), np.float64)
+            rng = np.random.default_rng([SEED, whole.shape[1]])
+            codes = []
+            for _ in range(ORDERS):
+                planes = rng.standard_normal((whole.shape[1], 24))
+                codes.append(((whole / np.abs(whole).max()) @ planes > 0) @ (1 << np.arange(24)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([r.tobytes() for r in whole.astype(layout.base)], pa.binary()),
+                 pa.array([list(c) for c in zip(*(c.tolist() for c in codes))], pa.list_(pa.int64()))],
+                ["node", "bytes", "codes"],
+            )
+
+    return run
 
 
 def _grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +112,7 @@ def _list_rows(node: np.ndarray, other: np.ndarray, far: np.ndarray, fresh: np.n
         a, n = starts[i], lengths[i : i + 4096]
         part = slice(a, a + n.sum())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(node[starts[i : i + 4096]]), _lists(other[part], n, pa.int64()), _lists(far[part].astype(np.float32), n, pa.float32()),
+            [pa.array(node[starts[i : i + 4096]]), _lists(other[part], n, pa.int64()), _lists(far[part], n, pa.float64()),
              _lists(fresh[part], n, pa.bool_())],
             ["node", "ids", "far", "fresh"],
         )
@@ -117,11 +120,13 @@ def _list_rows(node: np.ndarray, other: np.ndarray, far: np.ndarray, fresh: np.n
 
 def _squared(vectors: np.ndarray) -> np.ndarray:
     """Squared distances within each group of a (groups, members, size) array."""
+    # Seen from a member, near ones do not drown in their distance from the origin.
+    vectors = vectors - vectors[:, :1]
     square = np.einsum("gmd,gmd->gm", vectors, vectors)
     return np.maximum(square[:, :, None] + square[:, None, :] - 2 * vectors @ vectors.transpose(0, 2, 1), 0)
 
 
-def _starter(size: int):
+def _starter(layout: np.dtype):
     """Neighbours within runs of RUN rows of an order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +144,7 @@ def _starter(size: int):
 
         for batch in batches:
             if batch.num_rows:
-                held.append((batch.column("node").to_numpy(), _unpack(batch.column("bytes"), batch.column("scale"), size)))
+                held.append((batch.column("node").to_numpy(), _unpack(batch.column("bytes"), layout)))
             if sum(len(n) for n, _ in held) >= 64 * RUN:
                 yield from near(*(np.concatenate(x) for x in zip(*held)))
                 held = []
@@ -166,7 +171,7 @@ def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
         yield rest.combine_chunks()
 
 
-def _introducer(size: int):
+def _introducer(layout: np.dtype):
     """Members of each node meet; offers are merged per task before they leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +181,7 @@ def _introducer(size: int):
             at = table.column("at").to_numpy()
             member = table.column("member").to_numpy()
             radius, fresh = table.column("radius").to_numpy(), table.column("fresh").to_numpy()
-            vectors = _unpack(table.column("bytes").combine_chunks(), table.column("scale").combine_chunks(), size)
+            vectors = _unpack(table.column("bytes").combine_chunks(), layout)
             starts, lengths = _grouped(at)
             for i in range(0, len(starts), 256):
                 first, n = starts[i : i + 256], lengths[i : i + 256]
@@ -235,16 +240,16 @@ def _merged_lists(lists: DataFrame, most: int) -> DataFrame:
     return in_arrow(_by(lists, "node"), _joiner(most), NEAREST_ROWS)
 
 
-def neighbour_graph(small: DataFrame, size: int) -> DataFrame:
+def neighbour_graph(small: DataFrame, layout: np.dtype) -> DataFrame:
     """node, ids, far, fresh: the neighbours of each node, nearest first, with
-    squared distances, from rows (node, bytes, scale, codes)."""
+    squared distances, from rows (node, bytes, codes)."""
     graph = None
     for order in range(ORDERS):
         in_order = small.withColumn("code", F.col("codes")[order]).repartitionByRange("code", "node").sortWithinPartitions("code", "node")
-        lists = in_arrow(in_order.select("node", "bytes", "scale"), _starter(size), NEAREST_ROWS)
+        lists = in_arrow(in_order.select("node", "bytes"), _starter(layout), NEAREST_ROWS)
         graph = lists if graph is None else graph.unionByName(lists)
     graph = staged(_merged_lists(graph, NEIGHBOURS), "graph")
-    vectors = small.select(F.col("node").alias("of"), "bytes", "scale")
+    vectors = small.select(F.col("node").alias("of"), "bytes")
     for turn in range(ROUNDS):
         edges = graph.select("node", F.posexplode(F.arrays_zip("ids", "fresh")).alias("i", "e")).select(
             "node", F.col("e.ids").alias("id"), F.col("e.fresh").alias("fresh")
@@ -259,11 +264,11 @@ def neighbour_graph(small: DataFrame, size: int) -> DataFrame:
         )
         # A full list takes only nearer ones, a short one any.
         radius = graph.select(
-            F.col("node").alias("of"), F.when(F.size("far") >= NEIGHBOURS, F.element_at("far", -1)).otherwise(float("inf")).cast("float").alias("radius")
+            F.col("node").alias("of"), F.when(F.size("far") >= NEIGHBOURS, F.element_at("far", -1)).otherwise(float("inf")).alias("radius")
         )
         known = vectors.join(radius, "of")
-        meeting = meeting.join(known, F.col("member") == F.col("of")).select("at", "member", "fresh", "radius", "bytes", "scale")
-        offers = in_arrow(_by(meeting, "at"), _introducer(size), NEAREST_ROWS)
+        meeting = meeting.join(known, F.col("member") == F.col("of")).select("at", "member", "fresh", "radius", "bytes")
+        offers = in_arrow(_by(meeting, "at"), _introducer(layout), NEAREST_ROWS)
         settled = graph.withColumn("fresh", F.transform("fresh", lambda _: F.lit(False)))
         after = staged(_merged_lists(settled.unionByName(offers), NEIGHBOURS), "graph")
         dropped(graph)
@@ -274,19 +279,19 @@ def neighbour_graph(small: DataFrame, size: int) -> DataFrame:
     return graph
 
 
-def _searcher(size: int):
+def _searcher(layout: np.dtype):
     """Distances of a query to the neighbours of the nodes it expands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            query = _unpack(batch.column("q_bytes"), batch.column("q_scale"), size)
-            ids, scales, packed = (batch.column(c) for c in ("links", "link_scales", "link_bytes"))
+            query = _unpack(batch.column("q_bytes"), layout)
+            ids, packed = batch.column("links"), batch.column("link_bytes")
             for i in range(0, batch.num_rows, 512):
                 part = ids.slice(i, 512)
                 lengths = np.diff(part.offsets.to_numpy())
-                vectors = _unpack(packed.slice(i, 512).flatten(), scales.slice(i, 512).flatten(), size)
+                vectors = _unpack(packed.slice(i, 512).flatten(), layout)
                 far = np.square(vectors - np.repeat(query[i : i + 512], lengths, axis=0)).sum(1)
                 node = np.repeat(batch.column("q").slice(i, 512).to_numpy(), lengths)
                 yield from _list_rows(*_sorted(node, part.flatten().to_numpy(), far))
@@ -299,35 +304,36 @@ def _sorted(node: np.ndarray, other: np.ndarray, far: np.ndarray) -> tuple[np.nd
     return node[order], other[order], far[order], np.ones(len(order), bool)
 
 
-def search(graph: DataFrame, small: DataFrame, queries: DataFrame, size: int) -> DataFrame:
+def search(graph: DataFrame, small: DataFrame, queries: DataFrame, layout: np.dtype) -> DataFrame:
     """node, ids, far, fresh: the beam of each query node, from (node) rows. A node
     is not in its own beam."""
     spark = graph.sparkSession
-    vectors = small.select(F.col("node").alias("of"), "bytes", "scale")
+    vectors = small.select(F.col("node").alias("of"), "bytes")
     edges = graph.select("node", F.explode(F.arrays_zip("ids", "far")).alias("e")).select("node", F.col("e.ids").alias("id"), F.col("e.far").alias("far"))
     nearest = Window.partitionBy("id").orderBy("far", "node")
     back = edges.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= NEIGHBOURS)
     both = edges.select("node", "id").unionByName(back.select(F.col("id").alias("node"), F.col("node").alias("id"))).distinct()
-    linked = both.join(vectors, F.col("id") == F.col("of")).groupBy(F.col("node").alias("u")).agg(F.collect_list(F.struct("id", "bytes", "scale")).alias("l"))
+    part = F.pmod(F.xxhash64("id"), F.lit(PARTS))
+    linked = both.join(vectors, F.col("id") == F.col("of")).groupBy(F.col("node").alias("u"), part.alias("p")).agg(F.collect_list(F.struct("id", "bytes")).alias("l"))
     # Written in buckets of the node, so that no round of the search moves the graph.
     name = f"graph_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    linked.select("u", F.col("l.id").alias("links"), F.col("l.bytes").alias("link_bytes"), F.col("l.scale").alias("link_scales")).write.bucketBy(
+    linked.select("u", F.col("l.id").alias("links"), F.col("l.bytes").alias("link_bytes")).write.bucketBy(
         buckets, "u"
     ).saveAsTable(name)
     links = spark.table(name)
     asked = staged(
-        queries.join(vectors, F.col("node") == F.col("of")).select("node", F.col("bytes").alias("q_bytes"), F.col("scale").alias("q_scale")), "asked"
+        queries.join(vectors, F.col("node") == F.col("of")).select("node", F.col("bytes").alias("q_bytes")), "asked"
     )
     beam = staged(
-        asked.select("node", F.array("node").alias("ids"), F.array(F.lit(0).cast("float")).alias("far"), F.array(F.lit(True)).alias("fresh")), "beam"
+        asked.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("far"), F.array(F.lit(True)).alias("fresh")), "beam"
     )
     while True:
         # A beam is sorted, so its first unexpanded entries are the nearest.
         ahead = F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"]), 1, EXPANDED)["ids"]
         front = beam.select("node", F.explode(ahead).alias("u")).join(asked.withColumnRenamed("node", "q"), F.col("node") == F.col("q"))
-        met = front.select("q", "q_bytes", "q_scale", F.col("u").alias("v")).join(links, F.col("v") == F.col("u"))
-        offers = in_arrow(met.select("q", "q_bytes", "q_scale", "links", "link_bytes", "link_scales"), _searcher(size), NEAREST_ROWS)
+        met = front.select("q", "q_bytes", F.col("u").alias("v")).join(links, F.col("v") == F.col("u"))
+        offers = in_arrow(met.select("q", "q_bytes", "links", "link_bytes"), _searcher(layout), NEAREST_ROWS)
         spent = beam.select(
             "node",
             "ids",
@@ -352,18 +358,21 @@ def nearest(table: DataFrame, queries: Column, k: int = 10, id: str = "vec_id",
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("vec")))
     sizes = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
     size = sizes[0]["size"] if sizes else 1
+    # Single precision holds what came in it; anything else is kept in double.
+    single = table.select(vector).schema[0].dataType.simpleString() == "array<float>"
+    layout = np.dtype(("<f4" if single else "<f8", (size,)))
     keyed = rows.where(F.size("vec") == size).withColumns({"k1": F.xxhash64("vec"), "k2": F.xxhash64(F.lit(SEED), "vec")})
     # Of equal vectors the first k + 1 are enough to answer any query.
     place = Window.partitionBy("k1", "k2").orderBy("id")
     first = keyed.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1)
     members = staged(first.select("k1", "k2", "place", "id", F.when(F.col("place") == 1, F.col("vec")).alias("vec")), "members")
     heads = members.where("place = 1").select(F.col("id").alias("node"), F.col("k1").alias("h1"), F.col("k2").alias("h2"), "vec")
-    small = staged(in_arrow(heads.select("node", "vec"), _packer, "node long, bytes binary, scale float, codes array<long>"), "small")
+    small = staged(in_arrow(heads.select("node", "vec"), _packer(layout), "node long, bytes binary, codes array<long>"), "small")
 
     asked = keyed.where("asked").select("id", "k1", "k2")
     same = (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2"))
     asking = staged(asked.join(heads.drop("vec"), same).select("id", "node"), "asking")
-    beams = search(neighbour_graph(small, size), small, asking.select("node").distinct(), size)
+    beams = search(neighbour_graph(small, layout), small, asking.select("node").distinct(), layout)
 
     found = beams.select("node", F.explode(F.concat(F.array("node"), F.slice("ids", 1, EXACT))).alias("hit"))
     exact = found.join(heads.select(F.col("node").alias("a"), F.col("vec").alias("a_vec")), F.col("node") == F.col("a"))
