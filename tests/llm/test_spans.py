@@ -171,3 +171,26 @@ def test_many_matches_keep_their_places(spark):
 def test_empty_table(spark, tmp_path):
     assert rows(spark, tmp_path, [], queries.op7_secrets) == {}
     assert {r.doc_id for r in queries.op8_pii(spark, str(tmp_path)).collect()} == set()
+
+
+def test_long_random_secrets_are_no_paths(spark):
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(letters) for _ in range(n)) for n in (64, 172, 344, 1600) for _ in range(25)]
+    keys += [k[:60] + word + k[60:] for k, word in zip(keys[25:], ("sample", "aaaaaaaa", "Dummy", "//"))]
+    paths = ["/usr/local/lib/python3/site-packages/foo", "/home/user1/projects/my-repo/src/main", "a/Example1/of/some_words/v2", "sample-9f8e7d6c5b4a3210"]
+    docs = spark.createDataFrame(list(enumerate(keys + paths)), "doc_id long, text string")
+    found = {r.doc_id: r for r in secrets.secret_spans(docs).collect()}
+    # Chance may put a base span into a key; what is beside it counts as well.
+    assert [i for i in range(len(keys)) if not any(s.kind == "entropy_base64" for s in [*found[i].spans, *found[i].beside])] == []
+    assert [found[len(keys) + i].spans for i in range(len(paths))] == [[]] * len(paths)
+
+
+def test_secrets_beside_a_base_span(spark):
+    one, two = "Zx9Lm2Qp7Rt4Vw8Yb3Kd6Hf1", "+Gj5Ns0Tc8Ua2Xe7Po4Wi9/k"
+    known = "AKIA" + "ABCD" * 5
+    text = f"é {one}_{known}{two} end"
+    row = secrets.secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert [(s.kind, s.hit) for s in row.spans] == [("access", known)]
+    assert [s.hit for s in row.beside] == [one + "_", two]
+    assert all(text[s.start : s.end] == s.hit for s in row.beside)

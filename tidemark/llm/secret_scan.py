@@ -3,8 +3,10 @@
 Base spans are assignments, access keys and hexadecimal strings. On top of them
 candidate strings are judged by the Shannon entropy of a sliding window: one count
 per character of the candidate's class, raised for the character that enters and
-lowered for the one that leaves. What an allow-list knows to be harmless, and what
-overlaps a base span, is not reported again.
+lowered for the one that leaves. A candidate is harmless if its whole shape is (an
+identifier, a path of words), or if every window of it touches a placeholder, a run
+or a sequence. What overlaps a base span is not reported again; what such a
+candidate holds beside its base spans is judged on its own.
 
 Defined results: null text counts as empty and has no spans; places are code
 points, the end exclusive.
@@ -27,17 +29,19 @@ KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
 
 CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}+"
 WINDOW = 20
+SPANS = "array<struct<rank:int,kind:string,start:int,end:int,hit:string>>"
 # Class -> its characters and the bits a window must reach.
 CLASSES = {
     "entropy_hex": ("0123456789abcdef", 3.0),
     "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.9),
 }
+WORD = r"(?:[A-Z]?[a-z]{1,15}+[0-9]{0,4}+|[A-Z]{1,15}+[0-9]{0,4}+|[0-9]{1,4}+)"
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted",
-    r"(.)\1{7}",
-    r"(?i)0123456789|abcdefghij",
-    r"^/|//|(?:/[A-Za-z_-]+){2}",
+    # No window lies clear of these.
+    rf"^(?:.{{0,{WINDOW - 1}}}?(?:(?i:example|sample|placeholder|changeme|dummy|redacted|0123456789|abcdefghij)|(.)\1{{7,}}+))++.{{0,{WINDOW - 1}}}$",
+    # A path: words with a short number behind, and numbers, to the very end.
+    rf"^(?=[^/]*+/)[/_=+-]*+(?:{WORD}(?:[/_=+-]++|$))++$",
 )
 
 
@@ -86,6 +90,29 @@ def window_entropy(text: Column, alphabet: str, bits: float, window: int = WINDO
     return let(F.transform(characters(text), lambda c: F.instr(F.lit(alphabet), c) - 1), scan)
 
 
+def _beside(candidates: Column, base: Column) -> Column:
+    """What base spans leave of the candidates that they overlap, as candidates."""
+
+    def pieces(x: Column) -> Column:
+        inside = F.filter(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+
+        def cut(near: Column) -> Column:
+            starts = F.array_distinct(F.concat(F.array(x["start"]), F.transform(near, lambda b: b["end"])))
+            free = F.filter(starts, lambda s: (s < x["end"]) & ~F.exists(near, lambda b: (b["start"] <= s) & (s < b["end"])))
+
+            def piece(s: Column) -> Column:
+                later = F.filter(F.transform(near, lambda b: b["start"]), lambda e: e >= s)
+                end = F.least(F.array_min(later), x["end"])
+                return let(end, lambda e: F.struct(s.alias("start"), e.alias("end"), F.substring(x["hit"], s - x["start"] + 1, e - s).alias("hit")))
+
+            return F.filter(F.transform(free, piece), lambda p: p["end"] - p["start"] >= WINDOW)
+
+        return let(inside, cut)
+
+    overlapped = F.filter(candidates, lambda x: F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    return F.flatten(F.transform(overlapped, pieces))
+
+
 def _entropy_spans(candidates: Column, base: Column) -> Column:
     """Candidates of high entropy that nothing explains, as spans."""
 
@@ -117,8 +144,9 @@ def _entropy_spans(candidates: Column, base: Column) -> Column:
 
 
 def secret_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id`, base and spans: array<struct<rank, kind, start, end, hit>> by start,
-    then kind; base holds the three base kinds only."""
+    """`id`, base, spans and beside: array<struct<rank, kind, start, end, hit>> by
+    start, then kind; base holds the three base kinds only, beside what candidates
+    hold next to a base span within them."""
     body = F.col("_body")
     assigned = F.filter(located(body, ASSIGN, 2), lambda x: F.length(x["part"]) >= 6)
     return (
@@ -137,5 +165,7 @@ def secret_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
         )
         .withColumn("_candidates", located(body, CANDIDATE))
         .withColumn("spans", in_order(F.concat("base", _entropy_spans(F.col("_candidates"), F.col("base"))), "start", "rank"))
-        .select(id, "base", "spans")
+        .withColumn("_pieces", _beside(F.col("_candidates"), F.col("base")))
+        .withColumn("beside", in_order(_entropy_spans(F.col("_pieces"), F.array().cast(SPANS)), "start", "rank"))
+        .select(id, "base", "spans", "beside")
     )
