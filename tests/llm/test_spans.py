@@ -194,3 +194,22 @@ def test_secrets_beside_a_base_span(spark):
     assert [(s.kind, s.hit) for s in row.spans] == [("access", known)]
     assert [s.hit for s in row.beside] == [one + "_", two]
     assert all(text[s.start : s.end] == s.hit for s in row.beside)
+
+
+@pytest.mark.parametrize(
+    "text, hit",
+    [
+        ("IBAN ES9121000418450200051332 BIC CAIXESBB", "ES9121000418450200051332"),
+        ("ES91 2100 0418 4502 0005 1332 BIC X", "ES91 2100 0418 4502 0005 1332"),
+        ("account AT611904300234573201 A", "AT611904300234573201"),
+        ("NO9386011117947 AND BE68539007547034 12", "NO9386011117947"),
+        ("FR14 2004 1010 0505 0001 3M02 606 77 BIC", "FR14 2004 1010 0505 0001 3M02 606"),
+    ],
+)
+def test_account_numbers_end_where_their_country_says(spark, text, hit):
+    assert ("iban", hit) in [x[:2] for x in spans_of(spark, text)]
+
+
+def test_account_number_behind_another(spark):
+    text = "DE89370400440532013000 AT611904300234573201 BIC"
+    assert [x[1] for x in spans_of(spark, text) if x[0] == "iban"] == ["DE89370400440532013000", "AT611904300234573201"]
