@@ -1,6 +1,7 @@
 """The whole pipeline against a plain version of every stage."""
 
 import hashlib
+import random
 from collections import Counter
 
 from test_dedup import near_by_hand
@@ -50,3 +51,24 @@ def test_empty_table(spark, empty):
 
 def test_stage_names_follow_the_order():
     assert [n.split()[0] for n, _ in corpus_pipeline.STAGES] == ["language", "exact", "MinHash", "mixing", "byte-level"]
+
+
+FOREIGN = [
+    "Быстрая коричневая лиса прыгает через ленивую собаку и бежит дальше по широкому полю",
+    "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και φεύγει μακριά",
+    "빠른 갈색 여우가 게으른 개를 뛰어넘어 넓은 들판으로 멀리 달려간다 그리고 다시 돌아오지 않는다",
+    "الثعلب البني السريع يقفز فوق الكلب الكسول ثم يركض بعيدا في الحقل الواسع",
+]
+
+
+def test_unlearned_languages_and_junk_go_short_clean_texts_stay(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(4)
+    junk = ["".join(rng.choice("qwxzjkvbpyfghmc ") for _ in range(200)) for _ in range(5)]
+    words = docs.where("length(text) > 2000").orderBy("doc_id").first().text.split()
+    short = [" ".join(words[i : i + n]) for i, n in ((0, 1), (1, 2), (3, 4), (7, 12))]
+    short = [t for t in short if any(c.isalpha() for c in t)]
+    assert len(short) == 4
+    added = spark.createDataFrame([(10_000_000 + i, t, None) for i, t in enumerate(FOREIGN + junk + short)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(added), sf).where("doc_id >= 10000000").collect()
+    assert {r.text for r in kept} == set(short)

@@ -32,6 +32,11 @@ CHARS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 2048
 CACHED_TRIGRAMS = 1 << 15
 DENSE_CODES = 1 << 18
+# Cosine below which a text is no closer to a language than chance has it: vectors that
+# have nothing in common lie about 1 / sqrt(DIMENSIONS) from a right angle, here three
+# times that. Clean texts of few trigrams lie there too, so the floor is for longer ones.
+NOISE = 3 / DIMENSIONS**0.5
+JUDGED_TRIGRAMS = 32
 BOUNDARY = 0x20
 BITS = 21  # of a code point
 
@@ -201,14 +206,14 @@ def _identifier(profiles: dict[str, np.ndarray], text_at: int, carried: list[str
     langs = list(profiles)
     matrix = np.array([profiles[x] for x in langs])
 
-    def one(keys: np.ndarray, counts: np.ndarray) -> tuple[str, float]:
+    def one(keys: np.ndarray, counts: np.ndarray) -> tuple[str, float, int]:
         if not len(keys) or not langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, len(keys)
         vector = bundle(keys, counts)
         norm = np.linalg.norm(vector)
         cosines = matrix @ vector / norm if norm else np.zeros(len(langs))
         best = int(np.argmax(cosines))
-        return langs[best], float(min(1.0, max(0.0, cosines[best])))
+        return langs[best], float(min(1.0, max(0.0, cosines[best]))), len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("langid", _forget)
@@ -218,21 +223,22 @@ def _identifier(profiles: dict[str, np.ndarray], text_at: int, carried: list[str
             found = [one(*t) for group in _groups(texts) for t in trigrams(group)]
             kept = pa.StructArray.from_arrays([given.field(i) for i in range(len(carried))], carried) if carried else given
             yield pa.RecordBatch.from_arrays(
-                [kept, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                ["doc", "lang_pred", "score"],
+                [kept, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                 pa.array([f[2] for f in found], pa.int64())],
+                ["doc", "lang_pred", "score", "n_trigrams"],
             )
 
     return run
 
 
 def identified(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """struct `doc` of the columns `carry` (all by default), lang_pred and score."""
+    """struct `doc` of the columns `carry` (all by default), lang_pred, score and n_trigrams (distinct ones)."""
     carry = docs.columns if carry is None else carry
     sent = carry if text in carry else [*carry, text]
     read = docs.select(F.struct(*sent).alias("doc"))
     kind = docs.select(F.struct(*carry).alias("doc")).schema[0].dataType.simpleString()
     run = _identifier(profiles, sent.index(text), [] if sent == carry else carry)
-    return in_arrow(read, run, f"doc {kind}, lang_pred string, score double")
+    return in_arrow(read, run, f"doc {kind}, lang_pred string, score double, n_trigrams long")
 
 
 def held_out(id: str = "doc_id") -> Column:
