@@ -99,6 +99,23 @@ def _(spark, sf):
     return read_csv(spark, path, "doc_id BIGINT, body STRING, lang STRING")
 
 
+WHOLE = (
+    "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' "
+    "ELSE concat(text, ' \"q\", ', chr(10), lang) END AS body, lang FROM documents"
+)
+
+
+@check("A10_A11_csv_of_whole_texts", WHOLE)
+def _(spark, sf):
+    """The same over texts of any length."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    body = F.concat("text", F.lit(' "q", \n'), "lang")
+    body = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 7 == 0, "").otherwise(body)
+    path = scratch(spark, "texts")
+    write_csv(documents.select("source", "lang", "doc_id", body.alias("body")), path)
+    return read_csv(spark, path, "doc_id BIGINT, body STRING, lang STRING")
+
+
 @check(
     "A07_item_map",
     with_views(
