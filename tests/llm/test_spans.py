@@ -58,10 +58,14 @@ def entropy(window):
 
 def added_secrets(text):
     base = [tuple(map(int, s.split(":")[1:])) for s in base_secrets(text)]
-    out = []
+    candidates = []
     for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text, re.A):
-        hit = m[0]
-        if any(a < m.end() and m.start() < b for a, b in base) or any(re.search(p, hit) for p in secrets.ALLOWED):
+        covered = [any(a <= i < b for a, b in base) for i in range(m.start(), m.end())]
+        runs = "".join("x" if c else "." for c in covered)
+        candidates += [(m.start() + r.start(), m[0][r.start() : r.end()]) for r in re.finditer(r"\.{20,}", runs)]
+    out = []
+    for start, hit in candidates:
+        if any(re.search(p, hit) for p in secrets.ALLOWED):
             continue
         if not (re.search("[0-9]", hit) and re.search("[A-Za-z]", hit)):
             continue
@@ -70,7 +74,7 @@ def added_secrets(text):
         bits = secrets.CLASSES[kind][1]
         high = [i for i in range(len(hit) - 19) if entropy(folded[i : i + 20]) >= bits - 1e-9]
         if high:
-            out.append(f"{kind}:{m.start() + high[0]}:{m.start() + high[-1] + 20}")
+            out.append(f"{kind}:{start + high[0]}:{start + high[-1] + 20}")
     return out
 
 
@@ -181,8 +185,7 @@ def test_long_random_secrets_are_no_paths(spark):
     paths = ["/usr/local/lib/python3/site-packages/foo", "/home/user1/projects/my-repo/src/main", "a/Example1/of/some_words/v2", "sample-9f8e7d6c5b4a3210"]
     docs = spark.createDataFrame(list(enumerate(keys + paths)), "doc_id long, text string")
     found = {r.doc_id: r for r in secrets.secret_spans(docs).collect()}
-    # Chance may put a base span into a key; what is beside it counts as well.
-    assert [i for i in range(len(keys)) if not any(s.kind == "entropy_base64" for s in [*found[i].spans, *found[i].beside])] == []
+    assert [i for i in range(len(keys)) if not any(s.kind == "entropy_base64" for s in found[i].spans)] == []
     assert [found[len(keys) + i].spans for i in range(len(paths))] == [[]] * len(paths)
 
 
@@ -191,9 +194,9 @@ def test_secrets_beside_a_base_span(spark):
     known = "AKIA" + "ABCD" * 5
     text = f"é {one}_{known}{two} end"
     row = secrets.secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
-    assert [(s.kind, s.hit) for s in row.spans] == [("access", known)]
-    assert [s.hit for s in row.beside] == [one + "_", two]
-    assert all(text[s.start : s.end] == s.hit for s in row.beside)
+    assert [(s.kind, s.hit) for s in row.spans] == [("entropy_base64", one + "_"), ("access", known), ("entropy_base64", two)]
+    assert all(text[s.start : s.end] == s.hit for s in row.spans)
+    assert [s.kind for s in row.base] == ["access"]
 
 
 @pytest.mark.parametrize(

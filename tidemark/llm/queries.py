@@ -61,7 +61,6 @@ def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
         *(count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
         F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
-        written(F.col("beside")).alias("beside"),
     )
 
 

@@ -6,7 +6,9 @@ per character of the candidate's class, raised for the character that enters and
 lowered for the one that leaves. A candidate is harmless if its whole shape is (an
 identifier, a path of words), or if every window of it touches a placeholder, a run
 or a sequence. What overlaps a base span is not reported again; what such a
-candidate holds beside its base spans is judged on its own.
+candidate holds beside its base spans is judged on its own. A candidate without a
+letter or without a digit is taken for a word or a number (about one random string
+of 20 characters in thirty has no digit).
 
 Defined results: null text counts as empty and has no spans; places are code
 points, the end exclusive.
@@ -29,7 +31,6 @@ KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
 
 CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}+"
 WINDOW = 20
-SPANS = "array<struct<rank:int,kind:string,start:int,end:int,hit:string>>"
 # Class -> its characters and the bits a window must reach.
 CLASSES = {
     "entropy_hex": ("0123456789abcdef", 3.0),
@@ -91,7 +92,7 @@ def window_entropy(text: Column, alphabet: str, bits: float, window: int = WINDO
 
 
 def _beside(candidates: Column, base: Column) -> Column:
-    """What base spans leave of the candidates that they overlap, as candidates."""
+    """The candidates, cut where base spans overlap them."""
 
     def pieces(x: Column) -> Column:
         inside = F.filter(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
@@ -109,19 +110,24 @@ def _beside(candidates: Column, base: Column) -> Column:
 
         return let(inside, cut)
 
-    overlapped = F.filter(candidates, lambda x: F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return F.flatten(F.transform(overlapped, pieces))
+    def overlapped(x: Column) -> Column:
+        return F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+
+    whole = F.transform(
+        F.filter(candidates, lambda x: ~overlapped(x)),
+        lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["hit"].alias("hit")),
+    )
+    return F.concat(whole, F.flatten(F.transform(F.filter(candidates, overlapped), pieces)))
 
 
-def _entropy_spans(candidates: Column, base: Column) -> Column:
+def _entropy_spans(candidates: Column) -> Column:
     """Candidates of high entropy that nothing explains, as spans."""
 
     def open_question(x: Column) -> Column:
         harmless = F.lit(False)
         for pattern in ALLOWED:
             harmless = harmless | x["hit"].rlike(pattern)
-        known = F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]") & ~known & ~harmless
+        return x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]") & ~harmless
 
     def judge(x: Column) -> Column:
         is_hex = x["hit"].rlike("^[0-9a-fA-F]+$")
@@ -144,9 +150,9 @@ def _entropy_spans(candidates: Column, base: Column) -> Column:
 
 
 def secret_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id`, base, spans and beside: array<struct<rank, kind, start, end, hit>> by
-    start, then kind; base holds the three base kinds only, beside what candidates
-    hold next to a base span within them."""
+    """`id`, base and spans: array<struct<rank, kind, start, end, hit>> by start,
+    then kind; base holds the three base kinds only. A candidate that overlaps base
+    spans is judged by what they leave of it, piece by piece."""
     body = F.col("_body")
     assigned = F.filter(located(body, ASSIGN, 2), lambda x: F.length(x["part"]) >= 6)
     return (
@@ -164,8 +170,7 @@ def secret_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
             ),
         )
         .withColumn("_candidates", located(body, CANDIDATE))
-        .withColumn("spans", in_order(F.concat("base", _entropy_spans(F.col("_candidates"), F.col("base"))), "start", "rank"))
         .withColumn("_pieces", _beside(F.col("_candidates"), F.col("base")))
-        .withColumn("beside", in_order(_entropy_spans(F.col("_pieces"), F.array().cast(SPANS)), "start", "rank"))
-        .select(id, "base", "spans", "beside")
+        .withColumn("spans", in_order(F.concat("base", _entropy_spans(F.col("_pieces"))), "start", "rank"))
+        .select(id, "base", "spans")
     )
