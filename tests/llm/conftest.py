@@ -4,7 +4,7 @@ import pytest
 
 CLASHING = (
     "id row rep best n sha body length kept keep_id group_size text_sha256 doc node sig fp n_shingles component_id tokens key block copies "
-    "weight epochs share ids offsets decoded lang_pred score held_out _body"
+    "weight epochs share ids offsets decoded lang_pred score held_out _body place range at n_words n_features rank bucket slot shard word form root"
 ).split()
 
 
@@ -57,6 +57,7 @@ def empty(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{path}/embeddings.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{path}/pages.parquet")
     return path
 

@@ -13,7 +13,7 @@ TOP = Path(__file__).resolve().parents[2]
 
 def test_every_operator_is_registered_once():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(QUERIES) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 

@@ -87,9 +87,10 @@ def write_shards(
     given. Same rows, places, seed and buckets: same shards.
     """
     spark = docs.sparkSession
+    whole = F.struct(*docs.columns).alias("doc")
     if place is None:
-        numbered = docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("place"))
-        rows, place, body = staged(numbered, "numbered"), [F.col("place")], F.col("doc")[text]
+        rows = staged(docs.select(whole, F.monotonically_increasing_id().alias("place")), "numbered")
+        place, body, whole = [F.col("place")], F.col("doc")[text], F.col("doc")
     else:
         rows, body = docs, F.col(text)
     if buckets is None:
@@ -102,8 +103,7 @@ def write_shards(
         counts[r.bucket] = r.n
     total = int(counts.sum())
     bounds = np.array([s * total // shards for s in range(shards)], np.int64)
-    whole = F.col("doc") if "place" in rows.columns and rows is not docs else F.struct(*docs.columns)
-    scattered = rows.select(whole.alias("doc"), key.alias("key"), bucket.alias("bucket"), F.struct(*place).alias("place"))
+    scattered = rows.select(whole, key.alias("key"), bucket.alias("bucket"), F.struct(*place).alias("place"))
     scattered = scattered.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("key", "place").select("doc")
     kind = scattered.schema[0].dataType.simpleString()
     shuffled = in_arrow(scattered, _shuffler(np.cumsum(counts) - counts, bounds, seed), f"doc {kind}, shard int, slot long")
