@@ -53,6 +53,31 @@ def test_ranking_metrics(long):
     assert got["constant"].average_precision == pytest.approx(y.mean())
 
 
+@pytest.mark.parametrize("rows, cuts", [(50, 64), (1, 4096)])
+def test_crowded_cells_are_cut(spark, long, monkeypatch, rows, cuts):
+    """Scores crowded around any place are cut by counts, and nothing else changes."""
+    monkeypatch.setattr(ranking, "CELL_ROWS", rows)
+    monkeypatch.setattr(ranking, "CELL_CUTS", cuts)
+    got = {r.model: r for r in me.ranking_metrics(long).collect()}
+    for m, (y, p) in frames().items():
+        assert got[m].roc_auc == pytest.approx(auc(y, p), abs=1e-12)
+        assert got[m].average_precision == pytest.approx(ap(y, p), abs=1e-12)
+
+
+def test_no_window_holds_a_crowd(spark, monkeypatch):
+    """40,000 scores in one cell next to 0.3, and 40,000 next to 0.5: every window that
+    orders scores is keyed by cell and cut, and none is crowded."""
+    monkeypatch.setattr(ranking, "CELL_ROWS", 1000)
+    at = F.when(F.col("id") % 2 == 0, 0.3).otherwise(0.5)
+    df = spark.range(80_000).select(F.lit("m").alias("m"), (at + F.col("id") * 1e-12).alias("s"), F.lit(1).alias("n"))
+    out = running_totals(df, ["m"], "s", ["n"])
+    rows = out.orderBy(F.desc("s")).collect()
+    assert [r.n_above for r in rows] == list(range(80_000))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cut" in plan
+    assert df.groupBy(ranking._score_cell(F.col("s"))).count().agg(F.max("count")).first()[0] > 10_000
+
+
 def test_auroc_ignores_monotone_transforms(long):
     bent = long.withColumn("p", F.pow(F.least(F.greatest("p", F.lit(0.0)), F.lit(1.0)), 3))
     a = {r.model: r.roc_auc for r in me.auroc(long).collect()}

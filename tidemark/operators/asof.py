@@ -25,11 +25,11 @@ def as_of_last(
     """Latest non-null value with `time <= high` per entity; ties take the
     larger value.
 
-    One mergeable maximum instead of a sort per entity.
+    Values of one time are reduced first, then the latest time wins: two hash
+    aggregates instead of a sort per entity.
     """
     narrow = events.select(*keys, time, value).filter(F.col(value).isNotNull())
     known = join_cohort(narrow, cohort, keys, (high,), slices).filter(up_to(time, high))
-    latest = known.groupBy(*keys).agg(F.max(F.struct(time, value)).alias("_last"))
-    return latest.select(
-        *keys, F.col(f"_last.{value}").alias(value_name), F.col(f"_last.{time}").alias(time_name)
-    )
+    at_once = known.groupBy(*keys, time).agg(F.max(value).alias("_value"))
+    latest = at_once.groupBy(*keys).agg(F.max_by("_value", time).alias(value_name), F.max(time).alias(time_name))
+    return latest.select(*keys, value_name, time_name)

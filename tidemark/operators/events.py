@@ -139,17 +139,29 @@ def summarise(
 ) -> DataFrame:
     """First, last, min, max, mean, latest time and count per group.
 
-    Ties in time: the first value is the smallest, the last the largest.
+    Ties in time: the first value is the smallest, the last the largest. A null
+    value counts as a measurement and is nowhere else.
+
+    Values of one time are reduced first; then the order is a plain timestamp, so
+    both steps are hash aggregates of fixed-width buffers, and a hot group is
+    spread by its times.
     """
-    at = F.struct(time, value)
-    return events.groupBy(*by).agg(
-        F.min_by(value, at).alias("value_first"),
-        F.max_by(value, at).alias("value_last"),
-        F.min(value).alias("value_min"),
-        F.max(value).alias("value_max"),
-        F.avg(value).alias("value_mean"),
+    at_once = events.groupBy(*by, time).agg(
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+        F.sum(value).alias("_sum"),
+        F.count(value).alias("_known"),
+        F.count("*").alias("_n"),
+    )
+    known = F.when(F.col("_known") > 0, F.col(time))
+    return at_once.groupBy(*by).agg(
+        F.min_by("_low", known).alias("value_first"),
+        F.max_by("_high", known).alias("value_last"),
+        F.min("_low").alias("value_min"),
+        F.max("_high").alias("value_max"),
+        (F.sum("_sum") / F.sum("_known")).alias("value_mean"),
         F.max(time).alias("last_time"),
-        F.count("*").alias("measurement_count"),
+        F.sum("_n").alias("measurement_count"),
     )
 
 

@@ -49,6 +49,12 @@ def top_bottom(df: DataFrame, column: str, k: int = 15, tie: str = "feature") ->
 # -- permutation importance ----------------------------------------------------
 
 
+# Numbers that a chunk of shuffles sends, the shuffles of a chunk at most, and the
+# decimals to which linear margins are compared.
+CHUNK_CELLS = 1 << 24
+MOST_SHUFFLES = 1024
+MARGIN_DIGITS = 10
+
 # A prime above any row count, so that its remainder has no divisor in common
 # with the count.
 PRIME = (1 << 61) - 1
@@ -72,6 +78,11 @@ def _shuffles(features: Sequence[int], repeats: int, n: int, seed: int) -> list[
     return [Shuffle(f, shift(f, r)) for f in features for r in range(repeats)]
 
 
+def _by_slot(values: Sequence[float], kind: str = "bigint") -> Column:
+    """An array literal; as text it is one node of the plan, whatever its length."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def shuffled_values(numbered: DataFrame, shuffles: Sequence[Shuffle], n: int) -> DataFrame:
     """(row, replaced): for each row number the array of values it receives.
 
@@ -80,20 +91,49 @@ def shuffled_values(numbered: DataFrame, shuffles: Sequence[Shuffle], n: int) ->
     """
     # The product stays exact: 64 bits suffice below 2**31 rows.
     number = "long" if n < 1 << 31 else "decimal(38,0)"
-    donations = []
     inverse = F.lit(pow(PRIME, -1, n)).cast(number)
-    for slot, shuffle in enumerate(shuffles):
-        steps = F.pmod(F.col("_row") - F.lit(shuffle.shift), F.lit(n)).cast(number)
-        target = F.pmod(steps * inverse, F.lit(n).cast(number))
-        donations.append(
-            F.struct(
-                target.cast("long").alias("_row"), F.lit(slot).alias("slot"), F.col("_x")[shuffle.feature].alias("value")
-            )
-        )
-    sent = numbered.select(F.inline(F.array(*donations)))
+    features, shifts = _by_slot([s.feature for s in shuffles], "int"), _by_slot([s.shift for s in shuffles])
+
+    def donation(slot: Column) -> Column:
+        steps = F.pmod(F.col("_row") - shifts[slot], F.lit(n)).cast(number)
+        target = F.pmod(steps * inverse, F.lit(n).cast(number)).cast("long")
+        return F.struct(target.alias("_row"), slot.alias("slot"), F.col("_x")[features[slot]].alias("value"))
+
+    slots = F.sequence(F.lit(0), F.lit(len(shuffles) - 1))
+    sent = numbered.select(F.inline(F.transform(slots, donation)))
     return sent.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("slot", "value"))).alias("replaced"))
 
 
+def _used(model: Model, wanted: Sequence[int]) -> list[int]:
+    """Features that the model looks at; shuffling any other changes no score."""
+    weights = model.coefficients if hasattr(model, "coefficients") else model.featureImportances
+    return [f for f in wanted if weights[f]]
+
+
+def _changed_scores(model: Model, received: DataFrame, shuffles: Sequence[Shuffle]) -> DataFrame:
+    """(slot, y, score) of every row under every shuffle.
+
+    A linear margin moves by coefficient times change of the feature, so nothing
+    else of the row is looked at; margins count as equal to ten decimals, which
+    is far above what rounding moves them and far below what tells rows apart.
+    Trees see the row with one number replaced.
+    """
+    features = _by_slot([s.feature for s in shuffles], "int")
+    new = received.select("_y", "_margin", "_x", F.explode("replaced").alias("_new"))
+    new = new.select("_y", "_margin", "_x", F.col("_new.slot").alias("_slot"), F.col("_new.value").alias("_value"))
+    if hasattr(model, "coefficients"):
+        weights = _by_slot([float(model.coefficients[s.feature]) for s in shuffles], "double")
+        moved = weights[F.col("_slot")] * (F.col("_value") - F.col("_x")[features[F.col("_slot")]])
+        return new.select("_slot", "_y", F.round(F.col("_margin") + moved, MARGIN_DIGITS).alias("_score"))
+    placed = new.withColumn("_here", features[F.col("_slot")])
+    changed = F.transform("_x", lambda x, i: F.when(i == F.col("_here"), F.col("_value")).otherwise(x))
+    return _scored(model, placed.select("_slot", "_y", array_to_vector(changed).alias("features")))
+
+
+def _scored(model: Model, frame: DataFrame) -> DataFrame:
+    return model.transform(frame).select("_slot", "_y", vector_to_array("probability")[1].alias("_score"))
+
+
 def permutation_importance(
     model: Model,
     df: DataFrame,
@@ -102,34 +142,42 @@ def permutation_importance(
     names: Sequence[str],
     n_repeats: int = 10,
     seed: int = 42,
-    chunk: int = 64,
+    chunk: int | None = None,
     features: Sequence[str] | None = None,
 ) -> DataFrame:
     """(feature, importance_mean, importance_std): the drop in AUROC when one
     feature is shuffled, over `n_repeats` shuffles (runs one job per chunk).
 
-    Work is features x repeats x rows by nature. It runs `chunk` shuffles at a
-    time: a row is widened by that many numbers, never copied with its vector
-    through a shuffle, and equal scores are counted map-side before they are
-    ranked. One number per shuffle reaches the driver.
+    Rows are numbered in a random order and written once, in buckets of their
+    number; from then on only single numbers are sent to them, `chunk` shuffles at
+    a time (as many as keep a chunk near CHUNK_CELLS numbers, 64 at least).
+    Features that the model does not look at have no importance and cost nothing.
+    Equal scores are counted map-side before they are ranked. One number per
+    shuffle reaches the driver.
     """
     spark = df.sparkSession
     wanted = [names.index(f) for f in (names if features is None else features)]
-    base = with_rank(df.select(key, label, "features"), [], hash_order(key, seed), key, "_row")
-    base = stage(base.withColumn("_x", vector_to_array("features")), "numbered")
+    linear = hasattr(model, "coefficients")
+    rows = df.select(key, F.col(label).cast("int").alias("_y"), "features")
+    margin = vector_to_array("rawPrediction")[1] if linear else F.lit(None).cast("double")
+    rows = (model.transform(rows) if linear else rows).withColumn("_margin", margin)
+    numbered = with_rank(rows.select(key, "_y", "features", "_margin"), [], hash_order(key, seed), key, "_row")
+    base = stage(numbered.select("_row", "_y", "_margin", vector_to_array("features").alias("_x")), "numbered", bucket_by="_row")
     n = base.count()
-    before = _auroc(model, base.withColumn("_slot", F.lit(0)), label).first().roc_auc
-    plan = _shuffles(wanted, n_repeats, n, seed)
-    drops = []
+    first = base.withColumn("_slot", F.lit(0))
+    if linear:
+        first = first.select("_slot", "_y", F.round("_margin", MARGIN_DIGITS).alias("_score"))
+    else:
+        first = _scored(model, first.withColumn("features", array_to_vector("_x")))
+    before = _auroc(first).first().roc_auc
+    used = _used(model, wanted)
+    plan = _shuffles(used, n_repeats, n, seed)
+    drops = [(names[f], 0.0) for f in wanted if f not in set(used)]
+    chunk = chunk or max(64, min(MOST_SHUFFLES, CHUNK_CELLS // max(n, 1)))
     for start in range(0, len(plan), chunk):
         shuffles = plan[start : start + chunk]
         received = base.join(shuffled_values(base, shuffles, n), "_row")
-        slots = F.array(*[F.lit(s.feature) for s in shuffles])
-        exploded = received.select(label, "_x", F.explode("replaced").alias("_new"))
-        exploded = exploded.withColumn("_column", slots[F.col("_new.slot")])
-        changed = F.transform("_x", lambda x, i: F.when(i == F.col("_column"), F.col("_new.value")).otherwise(x))
-        frame = exploded.select(label, F.col("_new.slot").alias("_slot"), array_to_vector(changed).alias("features"))
-        for row in _auroc(model, frame, label).collect():
+        for row in _auroc(_changed_scores(model, received, shuffles)).collect():
             drops.append((names[shuffles[row["_slot"]].feature], before - row.roc_auc))
     return (
         spark.createDataFrame(drops, "feature string, drop double")
@@ -139,11 +187,8 @@ def permutation_importance(
     )
 
 
-def _auroc(model: Model, frame: DataFrame, label: str) -> DataFrame:
-    scored = model.transform(frame).select(
-        "_slot", F.col(label).cast("int").alias("y"), vector_to_array("probability")[1].alias("p")
-    )
-    return ranking_metrics(scored, ["_slot"])
+def _auroc(scored: DataFrame) -> DataFrame:
+    return ranking_metrics(scored, ["_slot"], "_y", "_score")
 
 
 def union_models(tables: Mapping[str, DataFrame]) -> DataFrame:

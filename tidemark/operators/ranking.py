@@ -1,8 +1,8 @@
 """Order statistics without a global sort in one task.
 
-Scores are cut into cells by fixed monotone rules. Cell totals are tiny, so
-running totals over cells give each cell its offset, and only rows of one cell
-are ever ordered together. Everything is deterministic: a recomputed task gives
+Scores are cut into cells by monotone rules, and over-full cells once more by their
+counts. Cell totals are tiny, so running totals over cells give each cell its
+offset, and only rows of one cell are ever ordered together. Everything is deterministic: a recomputed task gives
 the same answer.
 """
 
@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 # Score cells of a running total, per halving of the distance to 0 or to 1.
 SCORE_CELLS = 1 << 14
 
+# Scores of a cell above which it is cut, and the cuts.
+CELL_ROWS = 1 << 20
+CELL_CUTS = 1 << 18
+
 # Exact quantiles: histogram cells per range and pass, the number of values that
 # are counted one by one, and the passes after which they are in any case.
 VALUE_CELLS = 4096
@@ -54,20 +58,33 @@ def running_totals(
 
     `df` holds one row per (`by`, score). Cells grow with the distance to 0, or to
     1 for the upper half, so scores crowded next to either end (rare events, sure
-    predictions) spread over as many tasks as scores in the middle.
+    predictions) spread over as many tasks as scores in the middle. A cell that
+    still holds more than CELL_ROWS scores is cut once more, evenly between its own
+    extremes. A cell spans 2**38 doubles at most, so no cut holds more than 2**20
+    scores, wherever they crowd.
     """
-    celled = df.withColumn("_cell", _score_cell(F.col(score).cast("double")))
-    sums = celled.groupBy(*by, "_cell").agg(*[F.sum(t).alias(t) for t in totals])
+    number = F.col(score).cast("double")
+    celled = df.withColumn("_cell", _score_cell(number))
+    extent = [F.count(F.lit(1)).alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high")]
+    # At most one row per CELL_ROWS rows of `df`.
+    full = celled.groupBy(*by, "_cell").agg(*extent).filter(F.col("_n") > CELL_ROWS).drop("_n")
+    share = (number - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    cut = F.when(F.col("_low").isNull(), F.lit(0)).otherwise(_cell(share, CELL_CUTS)).cast("int")
+    celled = celled.join(F.broadcast(full), [*by, "_cell"], "left").withColumn("_cut", cut).drop("_low", "_high")
 
     def before(order: str, *keys: str) -> list[Column]:
         higher = Window.partitionBy(*by, *keys, F.lit(0)).orderBy(F.desc(order))
         window = higher.rowsBetween(Window.unboundedPreceding, -1)
         return [F.coalesce(F.sum(t).over(window), F.lit(0)) for t in totals]
 
-    offsets = sums.select(*by, "_cell", *[b.alias(f"_o_{t}") for t, b in zip(totals, before("_cell"))])
-    return celled.join(offsets, [*by, "_cell"]).select(
+    cuts = celled.groupBy(*by, "_cell", "_cut").agg(*[F.sum(t).alias(t) for t in totals])
+    cells = cuts.groupBy(*by, "_cell").agg(*[F.sum(t).alias(t) for t in totals])
+    cells = cells.select(*by, "_cell", *[b.alias(f"_c_{t}") for t, b in zip(totals, before("_cell"))])
+    inside = cuts.select(*by, "_cell", "_cut", *[b.alias(f"_i_{t}") for t, b in zip(totals, before("_cut", "_cell"))])
+    offsets = inside.join(cells, [*by, "_cell"])
+    return celled.join(offsets, [*by, "_cell", "_cut"]).select(
         *df.columns,
-        *[(F.col(f"_o_{t}") + b).alias(t + suffix) for t, b in zip(totals, before(score, "_cell"))],
+        *[(F.col(f"_c_{t}") + F.col(f"_i_{t}") + b).alias(t + suffix) for t, b in zip(totals, before(score, "_cell", "_cut"))],
     )
 
 

@@ -43,7 +43,7 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-_owners: list[list[str]] = []
+_owners: list[list[tuple[str, str | None]]] = []
 
 
 @contextmanager
@@ -56,21 +56,31 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _owners.pop():
+        for path, table in _owners.pop():
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back (runs a job).
 
     Used where one result feeds several branches: the work is done once, a lost
-    executor does not recompute it, and later joins know its true size. The files
-    stay until the surrounding `staging` block ends, or for good without one.
+    executor does not recompute it, and later joins know its true size. With
+    `bucket_by` it is a table with a bucket per shuffle partition, and joins and
+    groupings by that column leave it where it is. The files stay until the
+    surrounding `staging` block ends, or for good without one.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    unique = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{unique}"
     if _owners:
-        _owners[-1].append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        _owners[-1].append((path, unique if bucket_by else None))
+    if bucket_by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    dealt.option("path", path).saveAsTable(unique)
+    return spark.table(unique)
