@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.scalar import quoted
 from tidemark.operators.cohort import ranked
-from tidemark.operators.profile import _text_counts, long_numbers, missing_flags, split_types
-from tidemark.operators.ranking import exact_quantiles, hash_order
+from tidemark.operators.profile import _text_counts, missing_flags, split_types
+from tidemark.operators.ranking import hash_order
+from tidemark.operators.wide import column_statistics
 from tidemark.rules import EXCLUDED_FEATURES
 
 def drop_excluded(df: DataFrame, columns: Sequence[str] = EXCLUDED_FEATURES) -> DataFrame:
@@ -77,8 +78,8 @@ def with_class_weight(df: DataFrame, y: str) -> DataFrame:
 def fit_impute(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, median) of the non-missing values; an all-missing column has none
     (runs jobs)."""
-    medians = exact_quantiles(long_numbers(train, columns), ["column"], "value", [0.5])
-    return medians.select("column", F.col("quantile").alias("median"))
+    found = column_statistics(train, columns, [0.5]).where(F.col("count") > 0)
+    return found.select("column", F.col("quantiles")[0].alias("median"))
 
 
 def fit_indicators(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -93,16 +94,11 @@ def fit_scale(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     `scale` is the population deviation, or 1 where that is 0. Both follow from
     the moments of the observed values and the median, so imputed rows are never
-    materialised.
+    materialised (runs jobs).
     """
-    observed = long_numbers(train, columns).groupBy("column").agg(
-        F.count("*").alias("n"),
-        F.count("value").alias("k"),
-        F.avg("value").alias("m"),
-        F.var_pop("value").alias("v"),
+    stats = column_statistics(train, columns, [0.5]).select(
+        "column", "n", F.col("count").alias("k"), F.col("mean").alias("m"), F.col("var_pop").alias("v"), F.col("quantiles")[0].alias("median")
     )
-    # One row per column on the right.
-    stats = observed.join(F.broadcast(fit_impute(train, columns)), "column", "left")
     n, k, m, v, c = (F.col(x) for x in ("n", "k", "m", "v", "median"))
     mean = (k * m + (n - k) * c) / n
     variance = (k * (v + (m - mean) ** 2) + (n - k) * (c - mean) ** 2) / n
@@ -297,24 +293,18 @@ def _text(value: str) -> str:
 def _fit_numbers(train: DataFrame, columns: list[str]) -> tuple[NumericFit, ...]:
     if not columns:
         return ()
-    medians = {r.column: r.median for r in fit_impute(train, columns).collect()}
-    moments = long_numbers(train, columns).groupBy("column").agg(
-        F.count("*").alias("n"),
-        F.count("value").alias("k"),
-        F.avg("value").alias("m"),
-        F.var_pop("value").alias("v"),
-    )
     fits = {}
-    for r in moments.collect():
-        missing = r.n - r.k
+    for r in column_statistics(train, columns, [0.5]).collect():
+        known = r["count"]
+        missing = r.n - known
         share = missing / r.n
         indicator = (share, math.sqrt(share * (1 - share)) or 1.0) if missing else (None, None)
-        if not r.k:
+        if not known:
             fits[r.column] = NumericFit(r.column, None, None, None, *indicator)
             continue
-        median = medians[r.column]
-        mean = (r.k * r.m + missing * median) / r.n
-        variance = (r.k * (r.v + (r.m - mean) ** 2) + missing * (median - mean) ** 2) / r.n
+        median = r.quantiles[0]
+        mean = (known * r.mean + missing * median) / r.n
+        variance = (known * (r.var_pop + (r.mean - mean) ** 2) + missing * (median - mean) ** 2) / r.n
         fits[r.column] = NumericFit(r.column, median, mean, math.sqrt(variance) or 1.0, *indicator)
     return tuple(fits[c] for c in columns)
 

@@ -10,6 +10,7 @@ from tidemark.functions.scalar import quoted
 from tidemark.functions.timeline import hours_between
 from tidemark.operators.cohort import ranked
 from tidemark.operators.ranking import exact_quantiles
+from tidemark.operators.wide import column_statistics
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -146,22 +147,15 @@ def missing_only(report: DataFrame) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample deviation, extremes, quartiles and missing share
-    (runs jobs for the quartiles)."""
+    """count, mean, sample deviation, extremes, quartiles and missing share of all
+    columns together (runs jobs)."""
     columns = split_types(df)[0] if columns is None else list(columns)
-    long = long_numbers(df, columns)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.count_if(F.col("value").isNull()).alias("missing_n"),
-        (F.avg(F.col("value").isNull().cast("int")) * 100).alias("missing_percent"),
-    )
-    return moments.join(F.broadcast(quartiles(long, ["column"])), "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max", "missing_n", "missing_percent"
-    )
+    found = column_statistics(df, columns, [0.25, 0.5, 0.75])
+    missing = F.col("n") - F.col("count")
+    return found.select(
+        "column", "count", "mean", "std", "min", *[F.col("quantiles")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75"))],
+        "max", missing.alias("missing_n"), (missing / F.col("n") * 100).alias("missing_percent"),
+    )
 
 
 def quartiles(long: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -240,18 +234,9 @@ def histogram_by(df: DataFrame, columns: Sequence[str], target: str, bins: int =
 
 def compare_by(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """count, mean, median, deviation and extremes per column and outcome (runs
-    jobs for the medians)."""
-    long = long_numbers(df, columns, [target])
-    moments = long.groupBy("column", target).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    median = exact_quantiles(long, ["column", target], "value", [0.5])
-    median = median.select("column", target, F.col("quantile").alias("median"))
-    return moments.join(F.broadcast(median), ["column", target], "left")
+    jobs)."""
+    found = column_statistics(df, columns, [0.5], [target])
+    return found.select("column", target, "count", "mean", "std", "min", "max", F.col("quantiles")[0].alias("median"))
 
 
 def prevalence(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -114,7 +114,7 @@ def with_rank(
     return ranked.select(*df.columns, name)
 
 
-class _Range(NamedTuple):
+class Range(NamedTuple):
     """Part of a group's values that holds wanted ranks: `n` values from `low`
     to `high`, with `skip` values of the group below."""
 
@@ -142,23 +142,16 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, fractions: Seq
     number = F.col(value).cast("double")
     data = df.select(*by, number.alias("_v")).filter(number.isNotNull() & ~F.isnan(number))
     extent = data.groupBy(*by).agg(F.min("_v").alias("low"), F.max("_v").alias("high"), F.count("*").alias("n"))
-    totals, found, open_ranges = {}, {}, []
+    totals, open_ranges = {}, []
     for row in extent.collect():
         group = tuple(row[b] for b in by)
         totals[group] = row.n
-        ranks = {r for f in fractions for r in _neighbours(row.n, f)}
-        open_ranges.append(_Range(group, row.low, row.high, 0, row.n, tuple(sorted(ranks))))
-    for attempt in range(MAX_PASSES):
-        for r in open_ranges:
-            if r.low == r.high:
-                found.update({(r.group, rank): r.low for rank in r.ranks})
-        open_ranges = [r for r in open_ranges if r.low != r.high]
-        if not open_ranges:
-            break
-        open_ranges = _narrow(data, by, open_ranges, value_by_value=attempt >= MAX_PASSES - 2)
+        ranks = {r for f in fractions for r in neighbours(row.n, f)}
+        open_ranges.append(Range(group, row.low, row.high, 0, row.n, tuple(sorted(ranks))))
+    found = resolved(data, by, open_ranges)
 
     def quantile(group: tuple, fraction: float) -> float:
-        below, above = _neighbours(totals[group], fraction)
+        below, above = neighbours(totals[group], fraction)
         low, high = found[group, below], found[group, above]
         return low if low == high else low + (high - low) * ((totals[group] - 1) * fraction - below)
 
@@ -168,7 +161,22 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, fractions: Seq
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _neighbours(n: int, fraction: float) -> tuple[int, int]:
+def resolved(data: DataFrame, by: Sequence[str], open_ranges: list[Range]) -> dict[tuple[tuple, int], float]:
+    """The value at every wanted rank, by (group, rank), from rows (`by`, _v) that
+    hold at least the values of the ranges (runs a job per pass)."""
+    found = {}
+    for attempt in range(MAX_PASSES):
+        for r in open_ranges:
+            if r.low == r.high:
+                found.update({(r.group, rank): r.low for rank in r.ranks})
+        open_ranges = [r for r in open_ranges if r.low != r.high]
+        if not open_ranges:
+            break
+        open_ranges = _narrow(data, by, open_ranges, value_by_value=attempt >= MAX_PASSES - 2)
+    return found
+
+
+def neighbours(n: int, fraction: float) -> tuple[int, int]:
     position = (n - 1) * float(fraction)
     return math.floor(position), math.ceil(position)
 
@@ -178,7 +186,7 @@ def _squash(value: Column) -> Column:
     return F.signum(value) * F.least(F.log1p(F.abs(value)), F.lit(1000.0))
 
 
-def _narrow(data: DataFrame, by: Sequence[str], ranges: list[_Range], value_by_value: bool) -> list[_Range]:
+def _narrow(data: DataFrame, by: Sequence[str], ranges: list[Range], value_by_value: bool) -> list[Range]:
     """The cells of the ranges that hold a wanted rank, as new ranges.
 
     Short ranges have a cell per value; the others are cut into VALUE_CELLS.
@@ -207,6 +215,6 @@ def _narrow(data: DataFrame, by: Sequence[str], ranges: list[_Range], value_by_v
         .filter(F.size("held") > 0)
     )
     return [
-        _Range(ranges[r["_id"]].group, r.low, r.high, r.start, r.n, tuple(r.held))
+        Range(ranges[r["_id"]].group, r.low, r.high, r.start, r.n, tuple(r.held))
         for r in hits.select("_id", "low", "high", "start", "n", "held").collect()
     ]
