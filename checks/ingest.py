@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from checks.features import wide_sql
 from checks.registry import check, cohort_df, cohort_sql, scratch
 from checks.views import RULES, VIEWS, values_sql, view, view_sql, with_views
 from tidemark.operators.events import tag_items
 from tidemark.operators.prep import split_table, stratified_split
-from tidemark.operators.train import load_model, save_model, score, train_logistic
+from tidemark.operators.train import load_model, save_model, score
 from tidemark.sources.io import (
     null_violations,
     read_csv,
@@ -82,23 +84,6 @@ for _name, _view in [
     check(f"{_name}_scan", _twin)(_scan)
 
 
-AWKWARD = (
-    "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' "
-    "ELSE concat(substr(text, 1, 200), ' \"q\", ', chr(10), lang) END AS body, lang FROM documents"
-)
-
-
-@check("A10_A11_csv_of_texts", AWKWARD)
-def _(spark, sf):
-    """Commas, doubled quotes, line breaks, nulls and empty texts, read by name."""
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
-    body = F.concat(F.substring("text", 1, 200), F.lit(' "q", \n'), "lang")
-    body = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 7 == 0, "").otherwise(body)
-    path = scratch(spark, "texts")
-    write_csv(documents.select("source", "lang", "doc_id", body.alias("body")), path)
-    return read_csv(spark, path, "doc_id BIGINT, body STRING, lang STRING")
-
-
 WHOLE = (
     "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' "
     "ELSE concat(text, ' \"q\", ', chr(10), lang) END AS body, lang FROM documents"
@@ -107,7 +92,7 @@ WHOLE = (
 
 @check("A10_A11_csv_of_whole_texts", WHOLE)
 def _(spark, sf):
-    """The same over texts of any length."""
+    """Commas, doubled quotes, line breaks, nulls, empty and long texts, read by name."""
     documents = spark.read.parquet(f"{sf}/documents.parquet")
     body = F.concat("text", F.lit(' "q", \n'), "lang")
     body = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 7 == 0, "").otherwise(body)
@@ -179,14 +164,20 @@ def _(spark, sf):
     return read_split(spark, path, split.schema)
 
 
-@check("A14_model_round_trip", wide_sql("SELECT count(*) AS n, CAST(0 AS DOUBLE) AS largest_change FROM final"))
+@check("A14_model_round_trip", wide_sql(
+    "SELECT model, count(*) AS n, CAST(0 AS DOUBLE) AS largest_change FROM final, "
+    "(VALUES ('logistic_regression'), ('random_forest'), ('gradient_boosting')) m(model) GROUP BY model"
+))
 def _(spark, sf):
-    from checks.modelling import vectors
+    from checks.modelling import MODELS, model_of, vectors
 
-    path = scratch(spark, "model")
     frame, _ = vectors(spark, sf)
-    fitted = train_logistic(frame, "y")
-    save_model(fitted, path)
-    both = score({"before": fitted, "after": load_model("logistic_regression", path)}, frame, ["stay_id"])
-    change = F.max(F.abs(F.col("before_probability") - F.col("after_probability")))
-    return both.agg(F.count("*").alias("n"), change.alias("largest_change"))
+    changes = []
+    for name in MODELS:
+        path = scratch(spark, name)
+        model = model_of(spark, sf, name)
+        save_model(model, path)
+        both = score({"before": model, "after": load_model(name, path)}, frame, ["stay_id"])
+        change = F.max(F.abs(F.col("before_probability") - F.col("after_probability")))
+        changes.append(both.agg(F.lit(name).alias("model"), F.count("*").alias("n"), change.alias("largest_change")))
+    return reduce(DataFrame.unionByName, changes)

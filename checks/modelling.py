@@ -13,15 +13,16 @@ from checks.views import view, with_views
 from tidemark import rules
 from tidemark.operators import prep as pp, train as tr
 from tidemark.operators.explain import NEGATIVE, POSITIVE, PRIME, coef_table, permutation_importance
-from tidemark.operators.profile import split_types
+from tidemark.operators.profile import clean_vectors, split_types
 from tidemark.session import stage
 
 TARGET = rules.TARGET
 NUMBERS = ["age_at_icu_admission", "hr_mean", "sodium_mean", "weight_kg", "ventilation_duration_hours", "hr_measurement_count"]
 CATEGORIES = {"gender": "FM", "insurance": ["Private", "Public"], "marital_status": ["MARRIED", "SINGLE"]}
 
-FOREST = {"trees": 20, "depth": 8}
-BOOSTING = {"rounds": 10}
+#: Arguments of the fits; empty for the library's own sizes.
+MODELS = {"logistic_regression": {}, "random_forest": {}, "gradient_boosting": {}}
+TRAINERS = {"logistic_regression": tr.train_logistic, "random_forest": tr.train_forest, "gradient_boosting": tr.train_boosting}
 
 
 def split_wide(spark, sf):
@@ -48,19 +49,53 @@ def all_train(spark, sf):
     return train, numbers
 
 
-def fitted(spark, sf):
-    """Staged rows with their split, and the preprocessor of the training rows."""
+def fitted_few(spark, sf):
+    """Staged rows of nine features with their split, and their preprocessor."""
     rows = stage(split_wide(spark, sf), "split")
     train = rows.filter("split = 'train'")
     return rows, pp.Preprocessor.fit(train, NUMBERS, list(CATEGORIES))
 
 
+_kept = {}
+
+
+def _once(spark, sf, name, make):
+    """What several queries of a session read: made by the first that asks."""
+    key = spark.sparkContext.applicationId, sf, name
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def fitted(spark, sf):
+    """Staged rows with their split, and the preprocessor of all features."""
+
+    def make():
+        rows = stage(all_rows(spark, sf), "split")
+        return rows, pp.Preprocessor.fit(rows.filter("split = 'train'"), exclude=BANNED)
+
+    return _once(spark, sf, "fitted", make)
+
+
 def vectors(spark, sf):
     """(stay_id, y, split, features), staged: the iterative fits read it often;
     and the feature names."""
-    rows, model = fitted(spark, sf)
-    labelled = rows.withColumn("y", F.col(TARGET).cast("int"))
-    return stage(model.transform_vector(labelled, ["stay_id", "y", "split"]), "vectors"), model.feature_names
+
+    def make():
+        rows, model = fitted(spark, sf)
+        labelled = rows.withColumn("y", F.col(TARGET).cast("int"))
+        return stage(model.transform_vector(labelled, ["stay_id", "y", "split"]), "vectors"), model.feature_names
+
+    return _once(spark, sf, "vectors", make)
+
+
+def model_of(spark, sf, name):
+    """A model of all features, of the library's own size."""
+
+    def make():
+        return TRAINERS[name](vectors(spark, sf)[0].filter("split = 'train'"), "y", **MODELS[name])
+
+    return _once(spark, sf, name, make)
 
 
 SPLIT_CTES = {
@@ -142,11 +177,18 @@ ONE_HOT = ", ".join(
 )
 
 
-@check("J06_one_hot", model_sql(f"SELECT stay_id, split, {ONE_HOT} FROM split_rows"))
+HOT = (
+    'SELECT stay_id, split, t."column" || \'_\' || c.value AS feature, CAST(coalesce(t.value, mode) = c.value AS INT)::DOUBLE AS value '
+    'FROM texts_long t JOIN (SELECT DISTINCT "column", value FROM texts WHERE value IS NOT NULL) c USING ("column") JOIN modes USING ("column")'
+)
+
+
+@check("J06_one_hot", model_sql(HOT))
 def _(spark, sf):
-    rows = stage(split_wide(spark, sf), "split")
-    model = pp.Preprocessor(numeric=(), categorical=pp._fit_texts(rows.filter("split = 'train'"), list(CATEGORIES)))
-    return model.transform(rows, ["stay_id", "split"])
+    """Every category of every text column, a row for each flag."""
+    rows = stage(all_rows(spark, sf), "split")
+    model = pp.Preprocessor(numeric=(), categorical=pp._fit_texts(rows.filter("split = 'train'"), ALL_TEXTS))
+    return model.transform(rows, ["stay_id", "split"]).unpivot(["stay_id", "split"], model.feature_names, "feature", "value")
 
 
 SCALED = ", ".join(
@@ -168,7 +210,7 @@ INDICATORS = ", ".join(
     " ".join(NUMBERS + [f"missingindicator_{c}" for c in INDICATED]),
 )
 def _(spark, sf):
-    rows, model = fitted(spark, sf)
+    rows, model = fitted_few(spark, sf)
     return model.transform(rows, ["stay_id", "split"])
 
 
@@ -206,8 +248,11 @@ def _(spark, sf):
 @check(
     "I15_preprocessing_summary",
     model_sql(
-        f"SELECT count(*) AS original_rows, 9 AS original_features, 6 AS numeric_features, 3 AS categorical_features, "
-        "16 AS processed_features, count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows, "
+        'SELECT count(*) AS original_rows, CAST((SELECT count(DISTINCT "column") FROM long) + 8 AS INT) AS original_features, '
+        'CAST((SELECT count(DISTINCT "column") FROM long) AS INT) AS numeric_features, 8 AS categorical_features, '
+        "CAST((SELECT count(*) FROM medians) + (SELECT count(*) FROM scales WHERE feature LIKE 'missingindicator_%') "
+        '+ (SELECT count(DISTINCT "column" || value) FROM texts) AS INT) AS processed_features, '
+        f"count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows, "
         f"avg({TARGET}) FILTER (split = 'train') AS train_event_rate, avg({TARGET}) FILTER (split = 'test') AS test_event_rate, "
         "42 AS random_state, CAST(0.2 AS DOUBLE) AS test_size FROM split_rows"
     ),
@@ -223,38 +268,56 @@ def train_test(spark, sf):
     return frame.filter("split = 'train'"), frame.filter("split = 'test'"), names
 
 
+def scores_of(spark, sf, *names):
+    test = train_test(spark, sf)[1]
+    return tr.score({n: model_of(spark, sf, n) for n in names}, test, ["stay_id", "y"])
+
+
 @check("J11_logistic_regression")
 def _(spark, sf):
-    train, test, _ = train_test(spark, sf)
-    return tr.score({"logistic_regression": tr.train_logistic(train, "y")}, test, ["stay_id", "y"])
+    return scores_of(spark, sf, "logistic_regression")
 
 
-@check("J12_random_forest")
+FEATURES = (
+    'SELECT "column" AS feature FROM medians UNION ALL SELECT feature FROM scales WHERE feature LIKE \'missingindicator_%\' UNION ALL '
+    'SELECT DISTINCT "column" || \'_\' || value FROM texts WHERE value IS NOT NULL UNION ALL SELECT \'intercept\''
+)
+
+
+@check("J11_L01_logistic_optimum", model_sql(f"SELECT feature, CAST(0 AS DOUBLE) AS gradient FROM ({FEATURES})"))
 def _(spark, sf):
-    train, test, _ = train_test(spark, sf)
-    return tr.score({"random_forest": tr.train_forest(train, "y", **FOREST)}, test, ["stay_id", "y"])
+    """The fit of all features is where no coefficient wants to move."""
+    train, _, names = train_test(spark, sf)
+    slopes = tr.logistic_gradient(model_of(spark, sf, "logistic_regression"), train, "y", names)
+    return slopes.select("feature", F.round(F.abs("gradient"), 4).alias("gradient"))
 
 
-@check("J13_gradient_boosting")
+@check("J12_random_forest")
 def _(spark, sf):
-    train, test, _ = train_test(spark, sf)
-    return tr.score({"gradient_boosting": tr.train_boosting(train, "y", **BOOSTING)}, test, ["stay_id", "y"])
+    return scores_of(spark, sf, "random_forest")
 
 
-def predictions(spark, sf):
-    train, test, _ = train_test(spark, sf)
-    models = tr.train_all(train, "y", random_forest=FOREST, gradient_boosting=BOOSTING)
-    return models, stage(tr.score(models, test, ["stay_id", "y"]), "predictions")
+@check("J13_gradient_boosting")
+def _(spark, sf):
+    return scores_of(spark, sf, "gradient_boosting")
 
 
 @check("J14_J15_predictions_of_all_models")
 def _(spark, sf):
-    return predictions(spark, sf)[1]
+    return scores_of(spark, sf, *MODELS)
 
 
 @check("J15_model_summary")
 def _(spark, sf):
-    return tr.model_summary(predictions(spark, sf)[1], "y")
+    return tr.model_summary(stage(scores_of(spark, sf, *MODELS), "predictions"), "y")
+
+
+@check(
+    "I14_clean_feature_vectors",
+    model_sql("SELECT split, count(*) AS rows, CAST(0 AS BIGINT) AS null_n, CAST(0 AS BIGINT) AS infinite_n FROM split_rows GROUP BY split"),
+)
+def _(spark, sf):
+    return clean_vectors(vectors(spark, sf)[0], by=["split"])
 
 
 @check(
@@ -262,9 +325,8 @@ def _(spark, sf):
     model_sql(f"SELECT stay_id, {TARGET} AS y, TRUE AS is_probability FROM split_rows WHERE split = 'test'"),
 )
 def _(spark, sf):
-    train, test, _ = train_test(spark, sf)
-    scored = tr.score({"m": tr.train_logistic(train, "y")}, test, ["stay_id", "y"])
-    return scored.select("stay_id", "y", F.col("m_probability").between(0, 1).alias("is_probability"))
+    scored = scores_of(spark, sf, "logistic_regression")
+    return scored.select("stay_id", "y", F.col("logistic_regression_probability").between(0, 1).alias("is_probability"))
 
 
 # -- fits with a closed form: one 0/1 feature ----------------------------------

@@ -13,8 +13,8 @@ from tidemark.session import stage
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 TARGET = rules.TARGET
-FLAGS = ["mechanical_ventilation_24h", "vasopressor_any_24h", "norepinephrine_24h", "dopamine_24h"]
-COMPARED = ["age_at_icu_admission", "hr_mean", "sodium_mean", "urine_output_ml_kg_h_24h"]
+FLAGS = list(rules.INTERVENTION_COLUMNS)
+COMPARED = list(rules.COMPARISON_COLUMNS)
 TEXTS = ["gender", "first_careunit", "admission_type", "admission_location", "insurance", "marital_status", "race"]
 
 
@@ -221,41 +221,37 @@ def _(spark, sf):
     return pr.suspicious(events)
 
 
-# Type and kind of the cohort columns; times are neither numeric nor categorical.
-KINDS = {
-    "numeric": {"bigint": ["subject_id", "hadm_id", "stay_id"], "double": ["icu_los_days"],
-                "int": ["age_at_icu_admission", "anchor_age", "hospital_expire_flag", TARGET]},
-    "categorical": {"string": TEXTS},
-    "": {"timestamp_ntz": ["intime", "prediction_time", "deathtime"]},
-}
+# Every column of the wide table; times are neither numeric nor categorical.
+TYPED = (
+    'SELECT "column", CASE type WHEN \'VARCHAR\' THEN \'string\' WHEN \'INTEGER\' THEN \'int\' WHEN \'TIMESTAMP\' THEN \'timestamp_ntz\' '
+    "ELSE lower(type) END AS type FROM (SELECT typeof(COLUMNS(*)) FROM (SELECT 1) LEFT JOIN (SELECT * FROM final LIMIT 1) ON true) "
+    'UNPIVOT (type FOR "column" IN (COLUMNS(*)))'
+)
+COUNTED = 'SELECT * FROM (SELECT count(COLUMNS(*)) FROM final) UNPIVOT (non_null FOR "column" IN (COLUMNS(*)))'
 
 
 @check(
     "I08_column_types",
-    cohort_sql(
-        union(
-            f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, nullif('{kind}', '') AS kind FROM cohort"
-            for kind, types in KINDS.items()
-            for t, columns in types.items()
-            for c in columns
-        )
+    wide_sql(
+        'SELECT "column", type, non_null, CASE WHEN type IN (\'bigint\', \'int\', \'double\') THEN \'numeric\' '
+        f"WHEN type = 'string' THEN 'categorical' END AS kind FROM ({TYPED}) JOIN ({COUNTED}) USING (\"column\")"
     ),
 )
 def _(spark, sf):
-    chosen = cohort_df(spark, sf).select(*[c for types in KINDS.values() for columns in types.values() for c in columns])
-    numeric, categorical = pr.split_types(chosen)
+    wide = stage(wide_table(spark, sf), "wide")
+    numeric, categorical = pr.split_types(wide)
     kinds = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
     names = F.create_map(*[F.lit(x) for pair in kinds for x in pair])
-    report = pr.structure(chosen)
+    report = pr.structure(wide)
     return report.select("column", "type", "non_null", F.try_element_at(names, F.col("column")).alias("kind"))
 
 
-TEXT_LONG = union(f"SELECT '{c}' AS \"column\", {c} AS value FROM cohort" for c in TEXTS)
+TEXT_LONG = union(f"SELECT '{c}' AS \"column\", {c} AS value FROM final" for c in WIDE_TEXTS)
 
 
 @check(
     "I09_categorical_summary",
-    cohort_sql(
+    wide_sql(
         'SELECT "column", count(DISTINCT value) AS n_unique, count(*) FILTER (value IS NULL) AS missing_n, '
         "avg(CASE WHEN value IS NULL THEN 1 ELSE 0 END) * 100 AS missing_percent FROM long GROUP BY 1",
         long=TEXT_LONG,
@@ -263,36 +259,35 @@ TEXT_LONG = union(f"SELECT '{c}' AS \"column\", {c} AS value FROM cohort" for c
     "missing_percent",
 )
 def _(spark, sf):
-    return pr.categorical_summary(cohort_df(spark, sf), TEXTS)
+    return pr.categorical_summary(stage(wide_table(spark, sf), "wide"))
 
 
 @check(
     "I10_category_counts",
-    with_views(
-        "admissions patients",
+    wide_sql(
         'SELECT "column", value, count(*) AS n FROM long WHERE "column" IN '
-        '(SELECT "column" FROM long GROUP BY 1 HAVING count(DISTINCT value) <= 5) GROUP BY 1, 2 '
-        'QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, value NULLS LAST) <= 4',
-        long=union(f"SELECT '{c}' AS \"column\", {c} AS value FROM admissions" for c in TEXTS[2:]),
+        '(SELECT "column" FROM long GROUP BY 1 HAVING count(DISTINCT value) <= 30) GROUP BY 1, 2 '
+        'QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, value NULLS LAST) <= 30',
+        long=union(f"SELECT '{c}' AS \"column\", {c} AS value FROM final" for c in WIDE_TEXTS),
     ),
 )
 def _(spark, sf):
-    return pr.category_counts(view(spark, sf, "admissions"), TEXTS[2:], max_card=5, top=4)
+    return pr.category_counts(stage(wide_table(spark, sf), "wide"))
 
 
 BINS = 20
-HISTOGRAM_COLUMNS = ["age_at_icu_admission", "hr_mean", "sodium_mean", "urine_output_ml_24h"]
+HISTOGRAM_COLUMNS = list(rules.DISTRIBUTION_COLUMNS)
 
 
 @check(
     "I11_histogram_by_outcome",
     wide_sql(
         'SELECT "column", mortality_after_24h, bin, lo + bin * (hi - lo) / 20 AS bin_start, n, '
-        "n / (sum(n) OVER (PARTITION BY \"column\", mortality_after_24h) * (hi - lo) / 20) AS density FROM binned",
+        "n / nullif(sum(n) OVER (PARTITION BY \"column\", mortality_after_24h) * (hi - lo) / 20, 0) AS density FROM binned",
         long=f"SELECT * FROM ({long_sql(HISTOGRAM_COLUMNS, 'final', TARGET)}) WHERE value IS NOT NULL",
         span='SELECT "column", min(value) AS lo, max(value) AS hi FROM long GROUP BY 1',
         binned='SELECT "column", mortality_after_24h, lo, hi, '
-        "CAST(least(floor((value - lo) / ((hi - lo) / 20)), 19) AS INT) AS bin, count(*) AS n "
+        "CAST(CASE WHEN hi > lo THEN least(floor((value - lo) / ((hi - lo) / 20)), 19) ELSE 0 END AS INT) AS bin, count(*) AS n "
         'FROM long JOIN span USING ("column") GROUP BY ALL',
     ),
     "bin_start density",
@@ -317,8 +312,13 @@ def _(spark, sf):
     return pr.window_check(view(spark, sf, "admissions"), "admittime", "deathtime")
 
 
+@check("I13_structure", wide_sql(f'SELECT "column", type, non_null FROM ({TYPED}) JOIN ({COUNTED}) USING ("column")'))
+def _(spark, sf):
+    return pr.structure(stage(wide_table(spark, sf), "wide")).drop("position")
+
+
 @check(
-    "I13_structure",
+    "I13_structure_in_order",
     cohort_sql(
         union(
             f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null FROM cohort"

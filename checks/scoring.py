@@ -150,7 +150,18 @@ def _(spark, sf):
     return me.calibration_curve(long(spark, sf))
 
 
-@check("K12_calibration_slope")
+# The same Newton steps.
+NEWTON = {
+    "xs": "SELECT model, CAST(y AS DOUBLE) AS y, ln(q / (1 - q)) AS x FROM (SELECT *, least(greatest(p, 1e-6), 1 - 1e-6) AS q FROM long)",
+    "fit": "SELECT model, 0 AS k, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b FROM (SELECT DISTINCT model FROM long) UNION ALL "
+    "SELECT model, k + 1, a + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) "
+    "FROM (SELECT model, k, a, b, sum(y - f) AS g0, sum((y - f) * x) AS g1, sum(f * (1 - f)) AS h00, sum(f * (1 - f) * x) AS h01, "
+    "sum(f * (1 - f) * x * x) AS h11 FROM (SELECT *, 1 / (1 + exp(-(a + b * x))) AS f FROM fit JOIN xs USING (model) WHERE k < 15) GROUP BY ALL)",
+}
+SLOPES = "SELECT model, a AS calibration_intercept, b AS calibration_slope FROM fit WHERE k = 15"
+
+
+@check("K12_calibration_slope", scored(SLOPES, **NEWTON).replace("WITH ", "WITH RECURSIVE ", 1), "calibration_intercept calibration_slope")
 def _(spark, sf):
     return me.calibration_slope(long(spark, sf), ["model_a", "model_b"])
 
@@ -226,7 +237,11 @@ def _(spark, sf):
     return me.performance_summary(me.performance(rows), calibration)
 
 
-@check("K15_performance_with_slope")
+@check(
+    "K15_performance_with_slope",
+    scored(f"SELECT * FROM ({PERFORMANCE}) JOIN ({SLOPES}) USING (model)", points=points_sql(), **NEWTON).replace("WITH ", "WITH RECURSIVE ", 1),
+    "roc_auc average_precision brier_score calibration_intercept calibration_slope",
+)
 def _(spark, sf):
     rows = long(spark, sf)
     return me.performance_summary(me.performance(rows), me.calibration_slope(rows, ["model_a", "model_b"]))

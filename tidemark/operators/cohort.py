@@ -78,9 +78,11 @@ def first_adult_stay(
     admitted = icustays.select("subject_id", "hadm_id", "stay_id", "intime").join(
         admissions.select("hadm_id", "subject_id"), ["hadm_id", "subject_id"], "left_semi"
     )
-    earliest = F.min(F.struct("intime", "stay_id", "hadm_id")).alias("_first")
-    yearly = admitted.groupBy("subject_id", F.year("intime").alias("_year")).agg(earliest)
-    candidates = yearly.select("subject_id", "_first.*")
+    # Stays of one time are reduced first, so that both steps are hash aggregates.
+    at_once = admitted.groupBy("subject_id", "intime").agg(F.min("stay_id").alias("stay_id"), F.min_by("hadm_id", "stay_id").alias("hadm_id"))
+    candidates = at_once.groupBy("subject_id", F.year("intime").alias("_year")).agg(
+        F.min("intime").alias("intime"), F.min_by("stay_id", "intime").alias("stay_id"), F.min_by("hadm_id", "intime").alias("hadm_id")
+    ).drop("_year")
     adults = adult_stays(candidates, patients, min_age)
     index = ranked(adults, ["subject_id"], ["intime", "stay_id"], "_rank").filter(F.col("_rank") == 1)
     chosen = index.drop("_rank", "intime").join(stay_attributes(icustays), ["subject_id", "hadm_id", "stay_id"])

@@ -6,16 +6,18 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import clipped_logit
 from tidemark.operators.profile import require_columns
 from tidemark.operators.ranking import exact_quantiles, running_totals
+from tidemark.session import stage
 
 SUFFIX = "_probability"
 
+# Newton steps of a calibration line after which it counts as having no finite fit.
+NEWTON_STEPS = 60
+
 # Start, step and number of thresholds in a sweep.
 SWEEP_START, SWEEP_STEP, SWEEP_SIZE = 0.05, 0.05, 19
 
@@ -244,17 +246,60 @@ def calibration_curve(
 def calibration_slope(long: DataFrame, models: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
     """Intercept and slope of the outcome on the logit of the score, per model.
 
-    An unpenalised logistic fit (runs jobs, one fit per model).
+    An unpenalised logistic fit by Newton steps for all models together: a step is
+    one aggregate of six sums per model over staged (model, outcome, logit) rows
+    (runs a job a step). A step that lowers the likelihood is halved. Null where no
+    finite fit exists: one class only, one score only, or classes set apart by it.
     """
-    spark = long.sparkSession
-    frame = long.select("model", F.col(y).cast("double").alias("label"), _score(p, probability=True).alias(p)).withColumn("_logit", clipped_logit(p))
-    frame = VectorAssembler(inputCols=["_logit"], outputCol="features").transform(frame)
-    rows = []
-    for model in models:
-        fit = LogisticRegression(regParam=0.0, maxIter=200, tol=1e-10, standardization=True)
-        fitted = fit.fit(frame.filter(F.col("model") == model))
-        rows.append((model, float(fitted.intercept), float(fitted.coefficients[0])))
-    return spark.createDataFrame(rows, "model string, calibration_intercept double, calibration_slope double")
+    rows = long.filter(F.col("model").isin(list(models))).select(
+        "model", F.col(y).cast("double").alias("_y"), _score(p, probability=True).alias("_p")
+    )
+    rows = stage(rows.select("model", "_y", clipped_logit("_p").alias("_x")), "logits")
+    best = {m: (0.0, 0.0) for m in models}
+    sums = _newton_sums(rows, best)
+    best = {m: best[m] for m in best if m in sums}
+    tried, open_models = {m: _newton_step(best[m], sums[m]) for m in best}, set(best)
+    for _ in range(NEWTON_STEPS):
+        open_models = {m for m in open_models if tried[m] is not None and max(abs(a - b) for a, b in zip(tried[m], best[m])) > 1e-12}
+        if not open_models:
+            break
+        new = _newton_sums(rows, {m: tried[m] for m in open_models})
+        for m in open_models:
+            if new[m]["likelihood"] < sums[m]["likelihood"] - 1e-9 * abs(sums[m]["likelihood"]):
+                tried[m] = tuple((a + b) / 2 for a, b in zip(best[m], tried[m]))
+            else:
+                best[m], sums[m] = tried[m], new[m]
+                tried[m] = _newton_step(best[m], sums[m])
+    fits = [(m, *(best[m] if m in best and m not in open_models and tried[m] is not None else (None, None))) for m in models]
+    return long.sparkSession.createDataFrame(fits, "model string, calibration_intercept double, calibration_slope double")
+
+
+def _newton_sums(rows: DataFrame, at: dict[str, tuple[float, float]]) -> dict:
+    """By model: gradient, Hessian and likelihood of the line given."""
+    spark = rows.sparkSession
+    # One row of three numbers per model.
+    lines = spark.createDataFrame([(m, *line) for m, line in at.items()], "model string, _a double, _b double")
+    x, y = F.col("_x"), F.col("_y")
+    margin = F.col("_a") + F.col("_b") * x
+    held = rows.join(F.broadcast(lines), "model").withColumns({"_m": margin, "_f": 1 / (1 + F.exp(-margin))})
+    off, weight = y - F.col("_f"), F.col("_f") * (1 - F.col("_f"))
+    # log(1 + exp(m)) without overflow.
+    softplus = F.greatest(F.col("_m"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("_m")))
+    found = held.groupBy("model").agg(
+        F.sum(off).alias("g0"), F.sum(off * x).alias("g1"), F.sum(weight).alias("h00"), F.sum(weight * x).alias("h01"),
+        F.sum(weight * x * x).alias("h11"), F.sum(y * F.col("_m") - softplus).alias("likelihood"),
+    )
+    return {r.model: r for r in found.collect()}
+
+
+def _newton_step(line: tuple[float, float], s) -> tuple[float, float] | None:
+    det = s["h00"] * s["h11"] - s["h01"] ** 2
+    if not det > 1e-12 * s["h00"] * s["h11"]:
+        return None
+    return (
+        line[0] + (s["h11"] * s["g0"] - s["h01"] * s["g1"]) / det,
+        line[1] + (s["h00"] * s["g1"] - s["h01"] * s["g0"]) / det,
+    )
 
 
 def performance(long: DataFrame, by: Sequence[str] = ("model",), y: str = "y", p: str = "p") -> DataFrame:

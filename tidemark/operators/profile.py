@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.scalar import quoted
@@ -72,16 +74,18 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def cohort_summary(df: DataFrame, target: str, ids: Sequence[str]) -> DataFrame:
-    """(metric, value): rows, columns, distinct ids, events, event rate."""
-    metrics = {
-        "rows": F.count("*"),
-        "columns": F.lit(len(df.columns)),
-        **{f"unique_{c}": F.count_distinct(c) for c in ids if c in df.columns},
-        "events": F.sum(target),
-        "event_rate": F.avg(target),
-    }
-    row = df.agg(*[m.cast("double").alias(name) for name, m in metrics.items()])
-    return _long_row(row, list(metrics), "metric", "value")
+    """(metric, value): rows, columns, distinct ids, events, event rate.
+
+    Each identifier is counted on its own: a grouping by it, then a count of the
+    groups, both merged map-side. No copy of a row is made per identifier.
+    """
+    totals = {"rows": F.count("*"), "columns": F.lit(len(df.columns)), "events": F.sum(target), "event_rate": F.avg(target)}
+    row = df.agg(*[m.cast("double").alias(name) for name, m in totals.items()])
+    parts = [_long_row(row, list(totals), "metric", "value")]
+    for c in (c for c in ids if c in df.columns):
+        groups = df.select(c).filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
+        parts.append(groups.agg(F.lit(f"unique_{c}").alias("metric"), F.count("*").cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -290,6 +294,20 @@ def clean_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(total(missing).alias("null_n"), total(infinite).alias("infinite_n"))
 
 
+def clean_vectors(df: DataFrame, vector: str = "features", by: Sequence[str] = ()) -> DataFrame:
+    """(`by`, rows, null_n, infinite_n): entries of a vector column that are no
+    number or infinite; a null vector counts as one null entry."""
+    entries = vector_to_array(vector)
+    missing = F.size(F.filter(entries, lambda x: F.isnan(x) | x.isNull()))
+    infinite = F.size(F.filter(entries, lambda x: x.isin(float("inf"), float("-inf"))))
+    none = F.col(vector).isNull()
+    return df.groupBy(*by).agg(
+        F.count("*").alias("rows"),
+        F.sum(F.when(none, 1).otherwise(missing)).cast("long").alias("null_n"),
+        F.sum(F.when(none, 0).otherwise(infinite)).cast("long").alias("infinite_n"),
+    )
+
+
 def assert_clean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Raise when any entry is null or infinite (runs a job)."""
     found = clean_report(df, columns).first()

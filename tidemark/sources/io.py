@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -89,11 +90,43 @@ def write_table(
     buckets: int = 0,
 ) -> None:
     """Replace a table. Bucketing needs a catalog table; joins on the bucket
-    columns then need no shuffle."""
-    writer = df.write.mode("overwrite")
-    if bucket_by:
-        writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(target)
-    elif as_table:
-        writer.saveAsTable(target)
-    else:
-        writer.parquet(target)
+    columns then need no shuffle.
+
+    The new table is written beside the old one and takes its place when it is
+    whole, by a rename of the folder or in the catalog. A job that fails leaves the
+    old table as it was; so `df` may read the table that it replaces.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    if not (as_table or bucket_by):
+        _swap_folder(df, target, mark)
+        return
+    new, old = f"{target}_new_{mark}", f"{target}_old_{mark}"
+    writer = df.write.bucketBy(buckets, *bucket_by).sortBy(*bucket_by) if bucket_by else df.write
+    try:
+        writer.saveAsTable(new)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    if spark.catalog.tableExists(target):
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _swap_folder(df: DataFrame, target: str, mark: str) -> None:
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    goal = at(target.rstrip("/"))
+    files = goal.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Names that Spark's readers pass over.
+    new, old = (at(goal.getParent(), f"_{goal.getName()}_{kind}_{mark}") for kind in ("new", "old"))
+    try:
+        df.write.parquet(new.toString())
+        if files.exists(goal) and not files.rename(goal, old):
+            raise OSError(f"{target} cannot be replaced")
+        if not files.rename(new, goal):
+            files.rename(old, goal)
+            raise OSError(f"{target} cannot be replaced")
+    finally:
+        files.delete(new, True)
+    files.delete(old, True)
