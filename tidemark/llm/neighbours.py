@@ -38,7 +38,8 @@ OFFERED = 8  # nearest ones that a node is offered by one introduction
 ROUNDS = 6
 SETTLED = 0.02  # share of neighbours that changed, below which rounds end
 RUN, ORDERS = 64, 2
-BEAM, EXPANDED = 512, 64
+BEAM, EXPANDED = 512, 128
+NODES_A_TASK = 20_000
 EXACT = 64
 SEED = 10
 NEAREST_ROWS = "node long, ids array<long>, far array<double>, fresh array<boolean>"
@@ -178,8 +179,11 @@ def _introducer(layout: np.dtype):
         offers: list[tuple[np.ndarray, ...]] = []
         count = 0
         for table in _runs(batches, "at"):
-            at = table.column("at").to_numpy()
-            member = table.column("member").to_numpy()
+            at, member = table.column("at").to_numpy(), table.column("member").to_numpy()
+            # Who names a node and is named by it comes twice, last as a fresh one if it is.
+            last = np.append((at[1:] != at[:-1]) | (member[1:] != member[:-1]), True)
+            table = table.filter(pa.array(last)).combine_chunks()
+            at, member = at[last], member[last]
             radius, fresh = table.column("radius").to_numpy(), table.column("fresh").to_numpy()
             vectors = _unpack(table.column("bytes").combine_chunks(), layout)
             starts, lengths = _grouped(at)
@@ -232,23 +236,25 @@ def _joiner(most: int):
     return run
 
 
-def _by(df: DataFrame, column: str) -> DataFrame:
-    return df.repartition(column).sortWithinPartitions(column)
+def _by(df: DataFrame, tasks: int, *columns: str) -> DataFrame:
+    """Rows of one value of the first column together, in the order of all, in as many
+    tasks as there is work for: rounds are many, and every task starts a worker."""
+    return df.repartition(columns[0]).coalesce(tasks).sortWithinPartitions(*columns)
 
 
-def _merged_lists(lists: DataFrame, most: int) -> DataFrame:
-    return in_arrow(_by(lists, "node"), _joiner(most), NEAREST_ROWS)
+def _merged_lists(lists: DataFrame, most: int, tasks: int) -> DataFrame:
+    return in_arrow(_by(lists, tasks, "node"), _joiner(most), NEAREST_ROWS)
 
 
-def neighbour_graph(small: DataFrame, layout: np.dtype) -> DataFrame:
+def neighbour_graph(small: DataFrame, layout: np.dtype, tasks: int) -> DataFrame:
     """node, ids, far, fresh: the neighbours of each node, nearest first, with
     squared distances, from rows (node, bytes, codes)."""
     graph = None
     for order in range(ORDERS):
-        in_order = small.withColumn("code", F.col("codes")[order]).repartitionByRange("code", "node").sortWithinPartitions("code", "node")
+        in_order = small.withColumn("code", F.col("codes")[order]).repartitionByRange("code", "node").coalesce(tasks).sortWithinPartitions("code", "node")
         lists = in_arrow(in_order.select("node", "bytes"), _starter(layout), NEAREST_ROWS)
         graph = lists if graph is None else graph.unionByName(lists)
-    graph = staged(_merged_lists(graph, NEIGHBOURS), "graph")
+    graph = staged(_merged_lists(graph, NEIGHBOURS, tasks), "graph")
     vectors = small.select(F.col("node").alias("of"), "bytes")
     for turn in range(ROUNDS):
         edges = graph.select("node", F.posexplode(F.arrays_zip("ids", "fresh")).alias("i", "e")).select(
@@ -256,11 +262,8 @@ def neighbour_graph(small: DataFrame, layout: np.dtype) -> DataFrame:
         )
         chosen = Window.partitionBy("id").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
         back = edges.withColumn("n", F.row_number().over(chosen)).where(F.col("n") <= INTRODUCED)
-        meeting = (
-            edges.select(F.col("node").alias("at"), F.col("id").alias("member"), "fresh")
-            .unionByName(back.select(F.col("id").alias("at"), F.col("node").alias("member"), "fresh"))
-            .groupBy("at", "member")
-            .agg(F.max("fresh").alias("fresh"))
+        meeting = edges.select(F.col("node").alias("at"), F.col("id").alias("member"), "fresh").unionByName(
+            back.select(F.col("id").alias("at"), F.col("node").alias("member"), "fresh")
         )
         # A full list takes only nearer ones, a short one any.
         radius = graph.select(
@@ -268,9 +271,9 @@ def neighbour_graph(small: DataFrame, layout: np.dtype) -> DataFrame:
         )
         known = vectors.join(radius, "of")
         meeting = meeting.join(known, F.col("member") == F.col("of")).select("at", "member", "fresh", "radius", "bytes")
-        offers = in_arrow(_by(meeting, "at"), _introducer(layout), NEAREST_ROWS)
+        offers = in_arrow(_by(meeting, tasks, "at", "member", "fresh"), _introducer(layout), NEAREST_ROWS)
         settled = graph.withColumn("fresh", F.transform("fresh", lambda _: F.lit(False)))
-        after = staged(_merged_lists(settled.unionByName(offers), NEIGHBOURS), "graph")
+        after = staged(_merged_lists(settled.unionByName(offers), NEIGHBOURS, tasks), "graph")
         dropped(graph)
         graph = after
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("fresh"))).collect()[0]
@@ -304,7 +307,7 @@ def _sorted(node: np.ndarray, other: np.ndarray, far: np.ndarray) -> tuple[np.nd
     return node[order], other[order], far[order], np.ones(len(order), bool)
 
 
-def search(graph: DataFrame, small: DataFrame, queries: DataFrame, layout: np.dtype) -> DataFrame:
+def search(graph: DataFrame, small: DataFrame, queries: DataFrame, layout: np.dtype, tasks: int) -> DataFrame:
     """node, ids, far, fresh: the beam of each query node, from (node) rows. A node
     is not in its own beam."""
     spark = graph.sparkSession
@@ -318,21 +321,24 @@ def search(graph: DataFrame, small: DataFrame, queries: DataFrame, layout: np.dt
     # Written in buckets of the node, so that no round of the search moves the graph.
     name = f"graph_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    linked.select("u", F.col("l.id").alias("links"), F.col("l.bytes").alias("link_bytes")).write.bucketBy(
-        buckets, "u"
-    ).saveAsTable(name)
-    links = spark.table(name)
+    dealt = linked.select("u", F.col("l.id").alias("links"), F.col("l.bytes").alias("link_bytes")).repartition("u")
+    try:
+        dealt.write.bucketBy(buckets, "u").saveAsTable(name)
+        return _searched(spark.table(name), vectors, queries, layout, tasks)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _searched(links: DataFrame, vectors: DataFrame, queries: DataFrame, layout: np.dtype, tasks: int) -> DataFrame:
     asked = staged(
-        queries.join(vectors, F.col("node") == F.col("of")).select("node", F.col("bytes").alias("q_bytes")), "asked"
-    )
-    beam = staged(
-        asked.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("far"), F.array(F.lit(True)).alias("fresh")), "beam"
+        queries.join(vectors, F.col("node") == F.col("of")).select("node", F.col("bytes").alias("q_bytes")).coalesce(tasks), "asked"
     )
+    beam, written = asked.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("far"), F.array(F.lit(True)).alias("fresh")), None
     while True:
         # A beam is sorted, so its first unexpanded entries are the nearest.
         ahead = F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"]), 1, EXPANDED)["ids"]
         front = beam.select("node", F.explode(ahead).alias("u")).join(asked.withColumnRenamed("node", "q"), F.col("node") == F.col("q"))
-        met = front.select("q", "q_bytes", F.col("u").alias("v")).join(links, F.col("v") == F.col("u"))
+        met = front.select("q", "q_bytes", F.col("u").alias("v")).join(links, F.col("v") == F.col("u")).coalesce(tasks)
         offers = in_arrow(met.select("q", "q_bytes", "links", "link_bytes"), _searcher(layout), NEAREST_ROWS)
         spent = beam.select(
             "node",
@@ -340,11 +346,11 @@ def search(graph: DataFrame, small: DataFrame, queries: DataFrame, layout: np.dt
             "far",
             let(ahead, lambda a: F.zip_with("ids", "fresh", lambda x, f: f & ~F.array_contains(a, x))).alias("fresh"),
         )
-        after = staged(_merged_lists(spent.unionByName(offers), BEAM), "beam")
-        dropped(beam)
-        beam = after
+        beam = staged(_merged_lists(spent.unionByName(offers), BEAM, tasks), "beam")
+        if written is not None:
+            dropped(written)
+        written = beam
         if beam.where(F.exists("fresh", lambda x: x)).isEmpty():
-            spark.sql(f"DROP TABLE {name}")
             return beam
 
 
@@ -372,7 +378,8 @@ def nearest(table: DataFrame, queries: Column, k: int = 10, id: str = "vec_id",
     asked = keyed.where("asked").select("id", "k1", "k2")
     same = (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2"))
     asking = staged(asked.join(heads.drop("vec"), same).select("id", "node"), "asking")
-    beams = search(neighbour_graph(small, layout), small, asking.select("node").distinct(), layout)
+    tasks = max(2 * table.sparkSession.sparkContext.defaultParallelism, small.count() // NODES_A_TASK)
+    beams = search(neighbour_graph(small, layout, tasks), small, asking.select("node").distinct(), layout, tasks)
 
     found = beams.select("node", F.explode(F.concat(F.array("node"), F.slice("ids", 1, EXACT))).alias("hit"))
     exact = found.join(heads.select(F.col("node").alias("a"), F.col("vec").alias("a_vec")), F.col("node") == F.col("a"))
