@@ -74,6 +74,28 @@ def test_exact_rejects_an_unknown_rule(spark, awkward):
         duplicate_groups(documents(spark, awkward), keep="first")
 
 
+def test_long_beginnings_in_common_are_sent_on_in_time(spark, monkeypatch):
+    """Texts that share 20 kB are held whole; what is held decides when they leave."""
+    import pyarrow as pa
+
+    from tidemark.llm import exact_dedup
+
+    class Context:
+        partitionId = staticmethod(lambda: 0)
+        get = classmethod(lambda cls: cls)
+
+    monkeypatch.setattr(exact_dedup, "TaskContext", Context)
+    monkeypatch.setattr(exact_dedup, "LOCAL_BUDGET", 1 << 20)
+    texts = ["same beginning " * 1400 + str(i) for i in range(1000)]
+    batches = (pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], ["id", "body"]) for i, t in enumerate(texts))
+    waiting = most = 0
+    for out in exact_dedup._local(True)(batches):
+        leads = out.column("body").null_count < out.num_rows
+        waiting = waiting + 21_000 if not leads else 0
+        most = max(most, waiting)
+    assert most < 3 << 20
+
+
 # -- components ------------------------------------------------------------------
 
 

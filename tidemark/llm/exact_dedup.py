@@ -90,7 +90,7 @@ def _local(largest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("exact_dedup", lambda: None)
         row = TaskContext.get().partitionId() << 33
-        trie, held = Patricia(keep_first, 1 << 62), {}
+        trie, held, whole = Patricia(keep_first, 1 << 62), {}, 0
         for batch in batches:
             ids, bodies = batch.column(0).to_pylist(), encoded(batch.column(1))
             reps, shas, first = [], [], row
@@ -99,6 +99,7 @@ def _local(largest: bool):
                 rep = trie.insert(body, [[row], id, row, 1])[0][0]
                 if rep == row:
                     held[rep] = (body, sha)
+                    whole += len(body)
                 reps.append(rep)
                 shas.append(sha)
                 row += 1
@@ -106,9 +107,10 @@ def _local(largest: bool):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(first, row), I), batch.column(0).cast(I), pa.array(reps, I), pa.array(shas, S),
                  *_blank(n, B, I, I, I, I)], names)
-            if trie.held > LOCAL_BUDGET:
+            # Texts with a long beginning in common add little to the trie, but are held whole.
+            if trie.held + whole > 2 * LOCAL_BUDGET:
                 yield from leads(held, trie)
-                trie, held = Patricia(keep_first, 1 << 62), {}
+                trie, held, whole = Patricia(keep_first, 1 << 62), {}, 0
         yield from leads(held, trie)
 
     return run

@@ -111,7 +111,7 @@ class Patricia:
                 if not live[0].children:
                     break
                 node = live[0]
-            sized = [(self._entries(c, measure=True), c) for c in live if c.children]
+            sized = [(self._size(c), c) for c in live if c.children]
             if not sized:
                 # Only single strings are left below this fork: each must be held whole anyway.
                 self.budget = max(self.budget, 2 * self.held)
@@ -123,17 +123,23 @@ class Patricia:
             child.children, child.payload, child.spill = {}, None, file
             self.held -= freed
 
-    def _entries(self, top: _Node, measure: bool = False) -> Any:
-        """Strings below `top`, without its own label; or the bytes they hold."""
-        found, size, stack = [], 0, [(top, b"")]
+    def _size(self, top: _Node) -> int:
+        """Bytes held below `top`."""
+        size, stack = 0, [top]
+        while stack:
+            children = stack.pop().children.values()
+            size += sum(len(c.label) + 200 for c in children)
+            stack.extend(children)
+        return size
+
+    def _entries(self, top: _Node) -> Iterator[tuple[bytes, Any]]:
+        """Strings below `top`, without its own label, one at a time."""
+        stack = [(top, b"")]
         while stack:
             node, prefix = stack.pop()
-            if not measure:
-                if node.payload is not None:
-                    found.append((prefix, node.payload))
-                if node.spill:
-                    found.extend((prefix + key, payload) for key, payload in _unspilled(node))
-            for child in node.children.values():
-                size += len(child.label) + 200
-                stack.append((child, b"" if measure else prefix + child.label))
-        return size if measure else iter(found)
+            if node.payload is not None:
+                yield prefix, node.payload
+            if node.spill:
+                for key, payload in _unspilled(node):
+                    yield prefix + key, payload
+            stack.extend((child, prefix + child.label) for child in node.children.values())
