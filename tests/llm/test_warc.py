@@ -3,8 +3,10 @@
 import hashlib
 import html
 import re
+import time
 from html.parser import HTMLParser
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import queries
@@ -103,3 +105,18 @@ def test_other_records_give_no_row(spark):
 
 def test_empty_table(spark, empty):
     assert queries.op6_warc_derivatives(spark, empty).collect() == []
+
+
+@pytest.mark.parametrize("piece", ['<p "', "<p '", "<html ", "<script ", "<a x", "<title ", "<!x", "</p ", "< <", "<p>x "])
+def test_markup_that_never_closes_costs_one_pass(spark, piece):
+    """A page of 1 MB in seconds; searched again from every tag it would take hours."""
+    start = time.time()
+    row = derivatives(responses(spark.createDataFrame([(1, "http://a.b/c", piece * (1_000_000 // len(piece)))], "page_id long, url string, html string"))).collect()[0]
+    assert row.response_id and time.time() - start < 30
+
+
+def test_repeated_pages_and_clashing_columns(spark):
+    rows = [(1, "http://a.b/c", "<p>x</p>", "t", 5)] * 3 + [(2, None, None, "t", 5)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, record int")
+    got = derivatives(responses(table)).collect()
+    assert [r.page_id for r in got].count(1) == 3 and len({r.conversion_id for r in got if r.page_id == 1}) == 1

@@ -11,13 +11,15 @@ from pyspark.sql import Column, functions as F
 
 from tidemark.llm.spans import let
 
-HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript|template|svg)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
-ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript|template|svg)\b[^>]*+(?:>.*?(?:</\1\s*+>|\z)|\z)"
+# A tag or a quote that never closes takes the rest of the page, as it does for a
+# browser; so what a search has gone through is never gone through again.
+ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"
 BLOCKS = (
     r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr"
-    r"|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b" + ATTRIBUTES + ">"
+    r"|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b" + ATTRIBUTES
 )
-TAGS = r"<[/!?]?[A-Za-z]" + ATTRIBUTES + r">|<[/!?][^>]*+>"
+TAGS = r"<[/!?]?[A-Za-z]" + ATTRIBUTES + r"|<[/!?][^>]*+(?:>|\z)"
 NUMBERED = r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6})$"
 # Named references that are resolved.
 NAMED = {
@@ -62,4 +64,5 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, TAGS, "")
     text = _references(text)
     text = F.regexp_replace(text, r"[\x20\x09\x0B\x0C\x0D]++", " ")
-    return F.btrim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n{3,}+", "\n\n"), F.lit(" \n"))
+    # One line end, or two for any number more.
+    return F.btrim(F.regexp_replace(text, r" ?\n ?(?:(\n) ?(?:\n ?)*+)?", "\n$1"), F.lit(" \n"))

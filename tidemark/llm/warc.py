@@ -98,9 +98,9 @@ def derivatives(records: DataFrame, id: str = "page_id", column: str = "record")
         F.coalesce(_field("WARC-Payload-Digest"), digest(F.col("_body"))).alias("payload_digest"),
         "_http",
         plain_text(F.col("_body")).alias("text"),
-        F.regexp_extract("_body", r"(?is)<title\b[^>]*+>([^<]*+)", 1).alias("_title"),
-        F.regexp_extract("_body", r"(?is)<html\b[^>]*?\blang=[\"']?([A-Za-z-]+)", 1).alias("_lang"),
-        F.regexp_count("_body", F.lit(r"(?i)<a\b[^>]*?\bhref\b")).alias("_links"),
+        F.regexp_extract("_body", r"(?is)<title\b[^<>]*+>([^<]*+)", 1).alias("_title"),
+        F.regexp_extract("_body", r"(?is)<html\b[^<>]*?\blang=[\"']?([A-Za-z-]+)", 1).alias("_lang"),
+        F.regexp_count("_body", F.lit(r"(?i)<a\b[^<>]*?\bhref\b")).alias("_links"),
     )
     lines = F.filter(F.split("_http", END), lambda x: x != "")
     fields = F.concat_ws(
