@@ -63,8 +63,7 @@ def test_wide_table_joins_on_keys_only(spark, tables, cohort):
     # Feature tables arrive partitioned by the keys: of the five assembling joins
     # only the cohort side is shuffled for them.
     spread = [line for line in text.splitlines() if "Exchange hashpartitioning(subject_id" in line]
-    # Vitals with weights, and labs, are reduced by time first, which deals a hot stay
-    # out by its times.
+    # Two more reduce the values of one time first, which deals a hot stay out by its times.
     by_time = [line for line in spread if "charttime" in line]
     assert len(by_time) == 2 and len(spread) - len(by_time) == 1 + 5 * 3 + 2
 
