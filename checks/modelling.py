@@ -9,9 +9,10 @@ from checks.features import wide_sql, wide_table
 from checks.ingest import SPLIT_SQL
 from checks.registry import check, cohort_df, cohort_sql
 from checks.scoring import AUROC, points_sql
-from checks.views import view, with_views
+from checks.views import base, view, with_views
 from tidemark import rules
 from tidemark.operators import prep as pp, train as tr
+from tidemark.operators.categories import CategoryTable
 from tidemark.operators.explain import NEGATIVE, POSITIVE, PRIME, coef_table, permutation_importance
 from tidemark.operators.profile import clean_vectors, split_types
 from tidemark.session import stage
@@ -191,6 +192,45 @@ def _(spark, sf):
     return model.transform(rows, ["stay_id", "split"]).unpivot(["stay_id", "split"], model.feature_names, "feature", "value")
 
 
+WIDE_TEXTS = ["o_custkey", "o_orderpriority", "ordered", "final_status"]
+WIDE_ROWS = (
+    "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority, CAST(o_orderdate AS VARCHAR) AS ordered, "
+    "nullif(o_orderstatus, 'P') AS final_status, o_orderdate < TIMESTAMP '1999-01-01' AS train FROM orders"
+)
+WIDE_LONG = " UNION ALL ".join(f"SELECT o_orderkey, train, {i} AS nr, {c} AS value FROM wide_rows" for i, c in enumerate(WIDE_TEXTS))
+
+
+@check(
+    "J06_category_table",
+    f"WITH wide_rows AS ({WIDE_ROWS}), cells AS ({WIDE_LONG}), "
+    "counted AS (SELECT nr, value, count(*) AS n FROM cells WHERE train AND value IS NOT NULL GROUP BY nr, value), "
+    "places AS (SELECT nr, value, row_number() OVER (ORDER BY nr, value) - 1 AS place FROM counted), "
+    "usual AS (SELECT nr, first(value ORDER BY n DESC, value) AS usual FROM counted GROUP BY nr), "
+    "hit AS (SELECT o_orderkey, place FROM cells JOIN usual USING (nr) "
+    "JOIN places ON places.nr = cells.nr AND places.value = coalesce(cells.value, usual)) "
+    "SELECT o_orderkey, (SELECT count(*) FROM counted) AS size, coalesce(string_agg(place, ',' ORDER BY place), '') AS places "
+    "FROM wide_rows LEFT JOIN hit USING (o_orderkey) GROUP BY o_orderkey",
+)
+def _(spark, sf):
+    """Customers and days as categories: more values than an expression should hold."""
+    rows = base(spark, sf, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        "o_orderpriority",
+        F.col("o_orderdate").cast("string").alias("ordered"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("final_status"),
+        (F.col("o_orderdate") < "1999-01-01").alias("train"),
+    )
+    table = CategoryTable.fit(rows.where("train"), WIDE_TEXTS)
+    # Vectors are read back from the sparse form that models get.
+    vectors = table.vectors(rows, ["o_orderkey"]).select("o_orderkey", F.unwrap_udt("features").alias("v"))
+    return vectors.select(
+        "o_orderkey",
+        F.col("v.size").cast("long").alias("size"),
+        F.array_join(F.col("v.indices").cast("array<string>"), ",").alias("places"),
+    )
+
+
 SCALED = ", ".join(
     f"(coalesce({c}, (SELECT median FROM medians WHERE \"column\" = '{c}')) - (SELECT mean FROM scales WHERE feature = '{c}')) "
     f"/ (SELECT scale FROM scales WHERE feature = '{c}') AS {c}"

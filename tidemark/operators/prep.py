@@ -175,7 +175,8 @@ class Preprocessor:
 
         None stands for every column of the kind, an empty list for no column. A
         feature named in `exclude` is an error. What reaches the driver is a few
-        numbers per column and the category names: one string per feature.
+        numbers per column and the category names: one string per feature. For
+        columns of very many values, see `categories.CategoryTable`.
         """
         numbers, texts = split_types(train, exclude)
         numbers = numbers if numeric is None else list(numeric)
@@ -198,10 +199,10 @@ class Preprocessor:
             for f in self.categorical
             for v in f.values
         ]
-        return self._numbers() + flags
+        return self.numbers() + flags
 
-    def _numbers(self) -> list[tuple[str, str]]:
-        """Values and missing indicators, likewise."""
+    def numbers(self) -> list[tuple[str, str]]:
+        """Those of the values and missing indicators."""
         values = [
             (f.column, f"(coalesce({_number(f.column)}, {_double(f.median)}) - {_double(f.mean)}) / {_double(f.scale)}")
             for f in self.numeric
@@ -228,10 +229,11 @@ class Preprocessor:
         Categories become sparse positions by lookup, so that a column with many
         values costs a row one entry. Unseen values have none.
         """
-        numbers = [sql for _, sql in self._numbers()]
+        numbers = [sql for _, sql in self.numbers()]
         parts = [array_to_vector(F.expr(f"array({', '.join(numbers)})")).alias("_numbers")] if numbers else []
         texts = [
-            F.expr(f"coalesce(CAST({quoted(f.column)} AS STRING), {_text(f.mode)})").alias(f"_text{i}")
+            # Labels are names there, and names must not be empty.
+            F.expr(f"concat('=', coalesce(CAST({quoted(f.column)} AS STRING), {_text(f.mode)}))").alias(f"_text{i}")
             for i, f in enumerate(self.categorical)
         ]
         # Further columns of the table may carry the names used in between.
@@ -240,7 +242,7 @@ class Preprocessor:
         flags = [f"_flags{i}" for i in range(len(texts))]
         if texts:
             for i, f in enumerate(self.categorical):
-                index = StringIndexerModel.from_labels(list(f.values), f"_text{i}", places[i], handleInvalid="keep")
+                index = StringIndexerModel.from_labels([f"={v}" for v in f.values], f"_text{i}", places[i], handleInvalid="keep")
                 made = index.transform(made)
             # The last place is that of unseen values; it is dropped.
             made = OneHotEncoder(inputCols=places, outputCols=flags, dropLast=True).fit(made).transform(made)

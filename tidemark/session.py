@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,13 +64,14 @@ def staging(spark: SparkSession) -> Iterator[None]:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def stage(df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, bucket_by: str | None = None, schema: StructType | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back (runs a job).
 
     Used where one result feeds several branches: the work is done once, a lost
     executor does not recompute it, and later joins know its true size. With
     `bucket_by` it is a table with a bucket per shuffle partition, and joins and
-    groupings by that column leave it where it is. The files stay until the
+    groupings by that column leave it where it is. `schema` names user-defined types
+    over the stored ones. The files stay until the
     surrounding `staging` block ends, or for good without one.
     """
     spark = df.sparkSession
@@ -79,7 +81,7 @@ def stage(df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
         _owners[-1].append((path, unique if bucket_by else None))
     if bucket_by is None:
         df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return spark.read.schema(schema or df.schema).parquet(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     dealt.option("path", path).saveAsTable(unique)
