@@ -200,3 +200,70 @@ def test_many_near_copies_cost_few_comparisons(spark, monkeypatch):
     got = near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=2).select("component_id").distinct().count()
     assert got == len({c for _, _, c in near_by_hand(rows, 2)})
     assert sum(seen) < 30 * len(rows)
+
+
+def templates(n, own, seed=5, length=240):
+    """Texts with a common frame, of which a share `own` is a text's own words."""
+    rng = np.random.default_rng(seed)
+    frame = [f"w{i}" for i in rng.integers(0, 5000, length)]
+    cut = round(length * own)
+    return [(i, " ".join(frame[cut:] + [f"own{i}x{j}" for j in range(cut)])) for i in range(n)]
+
+
+def scattered(n, seed=6, length=200):
+    """Texts about as far from each other as the threshold."""
+    rng = np.random.default_rng(seed)
+    words = np.array([f"w{i}" for i in range(5000)])
+    base, rows = rng.choice(words, length), []
+    for i in range(n):
+        text = base.copy()
+        at = rng.choice(length, rng.integers(4, 16), replace=False)
+        text[at] = rng.choice(words, len(at))
+        rows.append((i, " ".join(text[: rng.integers(length - 20, length)])))
+    return rows
+
+
+@pytest.mark.parametrize("n", [200, 400])
+def test_texts_visit_only_where_a_link_is_possible(spark, monkeypatch, n):
+    """Templates just under the threshold meet in every bucket, but no text is sent."""
+    rows, sent = templates(n, 0.12), []
+    hosted = near_dedup._hosted
+
+    def counted(members, visitors, bodies):
+        sent.append((set(bodies.columns), visitors.count()))
+        return hosted(members, visitors, bodies)
+
+    monkeypatch.setattr(near_dedup, "_hosted", counted)
+    got = near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=2).select("doc.doc_id", "n_shingles", "component_id").collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == near_by_hand(rows, 2)
+    (profiles, visits), (texts, with_text) = sent
+    assert "text" not in profiles and "text" in texts
+    assert visits <= n * -(-n // 64) and with_text == 0
+
+
+@pytest.mark.parametrize("limits", [{}, {"PACK": 16, "VISITORS": 8}, {"PACK_SHINGLES": 500}])
+def test_groups_around_the_threshold_equal_all_pairs(spark, monkeypatch, limits):
+    rows = scattered(300) + [(1000 + i, t) for i, t in templates(40, 0.1)] + [(2000 + i, t) for i, t in templates(40, 0.11, 7)]
+    for name, value in limits.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 1)  # leaves more to the packs
+    got = near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=2).select("doc.doc_id", "n_shingles", "component_id").collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == near_by_hand(rows, 2)
+
+
+def test_prefixes_of_linked_sets_meet():
+    rng = np.random.default_rng(8)
+    counts = rng.integers(0, 3, 1 << near_dedup.CELL_BITS).astype(np.int32)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 60), dtype=np.uint64) * np.uint64(2))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.93], rng.integers(0, 1 << 63, rng.integers(0, 5), dtype=np.uint64)]))
+        if not len(y):
+            continue
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 80 * (len(x) + len(y) - both):
+            continue
+        pack = near_dedup._Profiles(80, (0,) * (near_dedup.HASHES // near_dedup.BATCH))
+        sig = bytes(2 * near_dedup.HASHES)
+        pack.add(1, 1, len(x), sig, near_dedup.prefix(x, counts, 80).tobytes())
+        assert pack.asked(2, 2, len(y), sig, near_dedup.prefix(y, counts, 80).tobytes())
+        assert not pack.asked(3, 1, len(y), sig, near_dedup.prefix(y, counts, 80).tobytes())

@@ -5,10 +5,12 @@
 2. Bands of the signature name buckets. Every member of a bucket is compared with
    a few pivots, which joins most near copies into components. What then still
    shares a bucket with another component visits packs: bounded blocks of the
-   bucket's members, against all of which it is compared in one step. So a bucket
-   of n near copies costs a small multiple of n comparisons plus, for those that
-   are linked with nothing, one visit a pack; no pair that could join two
-   components is left out, and no pairs of a group are made.
+   bucket's members of about one size, against all of which it is compared in one
+   step. Visitors first come with their signature and their prefix, the rarest
+   shingles of their set, of which two linked sets share one. Only packs in which a
+   member passes both tests are visited with the text. No pair that could join two
+   components is left out, and no pairs of a group are made; a group of templates
+   that are alike but not linked costs texts only where their rare shingles meet.
 3. A pair's signatures are compared a batch at a time. After each batch the pair
    is dropped if the posterior probability that its similarity reaches the
    threshold is below `miss`. Survivors are decided on their full sets.
@@ -43,7 +45,12 @@ BATCH = 20
 MISS = 1e-9
 SEED = 4
 PIVOTS = 4
-PACK = 64
+# A pack holds about so many members, and so many shingles, and is copied for every
+# so many visitors.
+PACK, PACK_SHINGLES, VISITORS = 256, 1 << 19, 4096
+# Shingles are ordered by how often their cell of hashes occurs, then by hash. Any
+# order is right; rare ones first let few sets meet.
+CELL_BITS = 18
 CACHED_WORDS = 200_000
 ROWS_AT_ONCE = 2048
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -229,103 +236,241 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     return met.select("node", F.explode(others).alias("p")).select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def _visits(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(pack, part, visit, node, comp, sig, text): the members of each pack and the
-    nodes that must be compared with them.
+def least_shared(size: np.ndarray | int, other: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """Shingles that sets of these sizes share if they are linked."""
+    return -(-percent * (size + other) // (100 + percent))
 
-    Nodes with one smallest bucket mate form a pack group, cut by hash into parts
-    of about PACK members. A node outside the largest component of a bucket visits
-    the groups of all that bucket's members; of any two members in different
-    components one is outside."""
+
+def prefix(found: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, in the order of all, that suffice for any partner:
+    the smallest it may have is `percent` of its size."""
+    order = np.lexsort((found, counts[found >> np.uint64(64 - CELL_BITS)]))
+    least = least_shared(len(found), -(-percent * len(found) // 100), percent)
+    return found[order[: len(found) - least + 1]]
+
+
+def _cells(k: int):
+    """Shingles a cell of hashes, for the texts of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup", _words.clear)
+        counts = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts += np.bincount((shingle_set(text, k) >> np.uint64(64 - CELL_BITS)).astype(np.intp), minlength=len(counts))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["cell", "n"])
+
+    return run
+
+
+def _prefixes(k: int, percent: int, counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dedup", _words.clear)
+        for batch in batches:
+            found = (shingle_set(text, k) for text in batch.column("text").to_pylist())
+            firsts = [prefix(f, counts, percent).tobytes() for f in found]
+            columns = [batch.column(c) for c in ("node", "n", "sig")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.binary())], ["node", "n", "sig", "prefix"])
+
+    return run
+
+
+def _profiles(nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, n, sig, prefix). What reaches the driver is one count a cell, of which
+    there are 2**CELL_BITS at any size of the table."""
+    cells = in_arrow(nodes.select("text"), _cells(k), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = cells.toArrow()
+    counts = np.zeros(1 << CELL_BITS, np.int32)
+    counts[found["cell"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.int32).max)
+    read = nodes.select("node", "n", "sig", "text")
+    return staged(in_arrow(read, _prefixes(k, percent, counts), "node long, n long, sig binary, prefix binary"), "near-profiles")
+
+
+def _visits(left: DataFrame, profiles: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(home, node, comp) of the members of each pack and of the nodes that must be
+    compared with them.
+
+    Nodes with one smallest bucket mate form a pack group, cut by size, so that linked
+    sets lie in neighbouring classes, and then by hash into parts. A node outside the
+    largest component of a bucket visits the groups of all that bucket's members; of
+    any two members in different components one is outside."""
+    size_class = F.floor(F.log("n") / math.log(100 / percent * (1 + 1e-6)))
+    classes = profiles.select(F.col("node").alias("of"), "n", size_class.alias("class"))
     group = left.groupBy(F.col("node").alias("member")).agg(F.min("least").alias("pack"), F.first("comp").alias("own"))
-    sizes = group.groupBy(F.col("pack").alias("of_pack")).agg(F.ceil(F.count(F.lit(1)) / PACK).alias("parts"))
+    group = _on(group, classes, F.col("member") == F.col("of")).drop("of")
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / PACK, F.sum("n") / PACK_SHINGLES))
+    sizes = group.groupBy(F.col("pack").alias("of_pack"), F.col("class").alias("of_class")).agg(parts.alias("parts"))
+    part = F.pmod(F.xxhash64(F.lit(SEED), "member"), "parts")
+    same = (F.col("pack") == F.col("of_pack")) & (F.col("class") == F.col("of_class"))
     grouped = staged(
-        _on(group, sizes, F.col("pack") == F.col("of_pack")).select(
-            "member", "own", "pack", "parts", F.pmod(F.xxhash64(F.lit(SEED), "member"), "parts").alias("part")
-        ),
+        _on(group, sizes, same).select("member", "own", "pack", "class", F.xxhash64("pack", "class", part).alias("home")),
         "near-packs",
     )
-    met = _on(left.select("key", "node"), grouped.select("member", "pack"), F.col("node") == F.col("member"))
-    present = met.select(F.col("key").alias("in_key"), "pack").distinct()
-    outside = left.where("comp != most").select("key", "node", "comp")
-    visitors = _on(outside, present, F.col("key") == F.col("in_key")).select("node", "comp", "pack").distinct()
-    parts = grouped.select(F.col("pack").alias("of_pack"), "part").distinct()
-    visitors = _on(visitors, parts, F.col("pack") == F.col("of_pack")).select("pack", "part", F.lit(1).alias("visit"), "node", "comp")
-    members = grouped.select("pack", "part", F.lit(0).alias("visit"), F.col("member").alias("node"), F.col("own").alias("comp"))
-    bodies = nodes.select(F.col("node").alias("of"), "sig", "text")
-    rows = _on(members.unionByName(visitors), bodies, F.col("node") == F.col("of")).drop("of")
-    return rows.repartition("pack", "part").sortWithinPartitions("pack", "part", "visit", "node")
-
-
-class _Pack:
-    """The members of a pack, with an index from shingles to those that have them."""
-
-    def __init__(self, k: int, percent: int, least: tuple[int, ...]):
-        self.k, self.percent, self.least = k, percent, least
-        self.nodes: list[int] = []
-        self.comps: list[int] = []
-        self.signs: list[bytes] = []
-        self.sets: list[np.ndarray] = []
+    met = _on(left.select("key", "node"), grouped.select("member", "pack", "class"), F.col("node") == F.col("member"))
+    present = met.select(F.col("key").alias("in_key"), "pack", F.col("class").alias("in_class")).distinct()
+    outside = _on(left.where("comp != most").select("key", "node", "comp"), classes, F.col("node") == F.col("of"))
+    outside = outside.select("key", "node", "comp", F.explode(F.expr("sequence(class - 1, class + 1)")).alias("class"))
+    visitors = _on(outside, present, (F.col("key") == F.col("in_key")) & (F.col("class") == F.col("in_class")))
+    visitors = visitors.select("node", "comp", "pack", "class").distinct()
+    homes = grouped.select(F.col("pack").alias("of_pack"), F.col("class").alias("of_class"), "home").distinct()
+    visitors = staged(_on(visitors, homes, same).select("home", "node", "comp"), "near-visitors")
+    return grouped.select("home", F.col("member").alias("node"), F.col("own").alias("comp")), visitors
+
+
+def _hosted(members: DataFrame, visitors: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Members and visitors of the packs that have visitors, with their columns of
+    `bodies`, in the order of (home, slice, visit). Many visitors of a pack are cut
+    into slices, and each slice gets the members."""
+    slices = visitors.groupBy(F.col("home").alias("at")).agg(F.ceil(F.count(F.lit(1)) / VISITORS).alias("slices"))
+    own = F.pmod(F.xxhash64(F.lit(SEED + 1), "node"), "slices")
+    come = _on(visitors, slices, F.col("home") == F.col("at")).select("home", own.alias("slice"), F.lit(1).alias("visit"), "node", "comp")
+    each = F.explode(F.expr("sequence(0L, slices - 1)"))
+    stay = _on(members, slices, F.col("home") == F.col("at")).select("home", each.alias("slice"), F.lit(0).alias("visit"), "node", "comp")
+    named = bodies.withColumnRenamed("node", "of")
+    rows = _on(stay.unionByName(come), named, F.col("node") == F.col("of")).drop("of")
+    return rows.repartition("home", "slice").sortWithinPartitions("home", "slice", "visit", "node")
+
+
+def _flat(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All values in order, their arrays, and their places there."""
+    lengths = [len(a) for a in arrays]
+    owner, place = np.repeat(np.arange(len(arrays)), lengths), np.concatenate([np.arange(n) for n in lengths])
+    flat = np.concatenate(arrays)
+    order = np.argsort(flat, kind="stable")
+    return flat[order], owner[order], place[order]
+
+
+def _met(index: tuple[np.ndarray, np.ndarray, np.ndarray], found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in `found`, place in the index) of all equal values."""
+    low, high = np.searchsorted(index[0], found, "left"), np.searchsorted(index[0], found, "right")
+    n = high - low
+    at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return np.repeat(np.arange(len(found)), n), at
+
+
+class _Profiles:
+    """The members of a pack by signature and prefix."""
+
+    def __init__(self, percent: int, least: tuple[int, ...]):
+        self.percent, self.least = percent, least
+        self.rows: list[tuple] = []
         self.index = None
 
-    def add(self, node: int, comp: int, sig: bytes, text: str) -> None:
-        self.nodes.append(node)
-        self.comps.append(comp)
-        self.signs.append(sig)
-        self.sets.append(shingle_set(text, self.k))
+    def add(self, node: int, comp: int, *body) -> None:
+        self.rows.append((comp, *body))
 
-    def links(self, comp: int, sig: bytes, text: str) -> list[int]:
-        """Members of other components that the visitor is linked with."""
+    def asked(self, node: int, comp: int, n: int, sig: bytes, first: bytes) -> bool:
+        """Whether a member of another component may be linked with the visitor."""
         if self.index is None:
-            owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
-            flat = np.concatenate(self.sets)
-            order = np.argsort(flat, kind="stable")
-            self.index = flat[order], owner[order]
-            self.matrix = np.frombuffer(b"".join(self.signs), np.uint16).reshape(-1, HASHES)
-            self.size, self.comp = np.array([len(s) for s in self.sets]), np.array(self.comps)
-        own = np.frombuffer(sig, np.uint16)
-        alive = np.flatnonzero(self.comp != comp)
-        matches = np.zeros(len(alive), np.int32)
+            comps, sizes, signs, firsts = zip(*self.rows)
+            self.comp, self.size = np.array(comps), np.array(sizes)
+            self.matrix = np.frombuffer(b"".join(signs), np.uint16).reshape(-1, HASHES)
+            self.index = _flat([np.frombuffer(f, np.uint64) for f in firsts])
+        fits = 100 * np.minimum(self.size, n) >= self.percent * np.maximum(self.size, n)
+        alive = np.flatnonzero(fits & (self.comp != comp))
+        own, matches = np.frombuffer(sig, np.uint16), np.zeros(len(alive), np.int32)
         for i, needed in enumerate(self.least):
+            if not len(alive):
+                return False
             part = slice(i * BATCH, (i + 1) * BATCH)
             matches += (self.matrix[alive, part] == own[part]).sum(1, dtype=np.int32)
             keep = matches >= needed
             alive, matches = alive[keep], matches[keep]
-            if not len(alive):
-                return []
+        left = np.zeros(len(self.size), bool)
+        left[alive] = True
+        here, at = _met(self.index, np.frombuffer(first, np.uint64))
+        owner, there = self.index[1][at], self.index[2][at]
+        # Of linked sets, the first shingle in common has all the others behind it.
+        shared = least_shared(n, self.size[owner], self.percent)
+        return bool((left[owner] & (here <= n - shared) & (there <= self.size[owner] - shared)).any())
+
+
+class _Texts:
+    """The members of a pack, with an index from shingles to those that have them."""
+
+    def __init__(self, k: int, percent: int):
+        self.k, self.percent = k, percent
+        self.rows: list[tuple] = []
+        self.index = None
+
+    def add(self, node: int, comp: int, text: str) -> None:
+        self.rows.append((node, comp, shingle_set(text, self.k)))
+
+    def links(self, node: int, comp: int, text: str) -> list[int]:
+        """Members of other components that the visitor is linked with."""
+        if self.index is None:
+            nodes, comps, sets = zip(*self.rows)
+            self.node, self.comp = np.array(nodes), np.array(comps)
+            self.size, self.index = np.array([len(s) for s in sets]), _flat(sets)
         found = shingle_set(text, self.k)
-        keys, owner = self.index
-        low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-        n = high - low
-        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        both = np.bincount(owner[at], minlength=len(self.size))
+        both = np.bincount(self.index[1][_met(self.index, found)[1]], minlength=len(self.size))
         near = 100 * both >= self.percent * (len(found) + self.size - both)
-        return [self.nodes[i] for i in alive[near[alive]].tolist()]
+        return self.node[near & (self.comp != comp)].tolist()
+
+
+def _by_pack(batches: Iterator[pa.RecordBatch], new, meet, columns: tuple[str, ...]) -> Iterator[list]:
+    """What `meet` (pack, home, visitor) finds, a batch at a time; members go into the
+    pack that `new` makes. One pack is held at a time."""
+    here, pack = None, None
+    for batch in batches:
+        found = []
+        for home, part, visit, *row in zip(*(batch.column(c).to_pylist() for c in ("home", "slice", "visit", "node", "comp", *columns))):
+            if (home, part) != here:
+                here, pack = (home, part), new()
+            if visit:
+                found += meet(pack, home, row)
+            else:
+                pack.add(*row)
+        yield found
+
+
+def _table(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names)
+
 
+def _asking(percent: int, miss: float):
+    """The visits (home, node, comp) that texts are needed for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = least_matches(percent, miss)
+
+        def meet(pack: _Profiles, home: int, row: list) -> list[tuple]:
+            return [(home, row[0], row[1])] if pack.asked(*row) else []
+
+        for found in _by_pack(batches, lambda: _Profiles(percent, least), meet, ("n", "sig", "prefix")):
+            yield _table(found, ["home", "node", "comp"])
+
+    return run
 
-def _host(k: int, percent: int, miss: float):
-    """Links between the visitors of each pack and its members, as (u, v)."""
+
+def _host(k: int, percent: int):
+    """Links between the visitors of each pack and its members, as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("near_dedup", _words.clear)
-        least, here, pack = least_matches(percent, miss), None, None
-        for batch in batches:
-            u, v = [], []
-            columns = (batch.column(c).to_pylist() for c in ("pack", "part", "visit", "node", "comp", "sig", "text"))
-            for name, part, visit, node, comp, sig, text in zip(*columns):
-                if (name, part) != here:
-                    here, pack = (name, part), _Pack(k, percent, least)
-                if not visit:
-                    pack.add(node, comp, sig, text)
-                    continue
-                linked = pack.links(comp, sig, text)
-                u += [node] * len(linked)
-                v += linked
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
+
+        def meet(pack: _Texts, home: int, row: list) -> list[tuple]:
+            return [(row[0], other) for other in pack.links(*row)]
+
+        for found in _by_pack(batches, lambda: _Texts(k, percent), meet, ("text",)):
+            yield _table(found, ["a", "b"])
 
     return run
 
 
+def _links_of_packs(left: DataFrame, nodes: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) between the components of open buckets."""
+    own = left.select(F.col("node").alias("of")).distinct()
+    bodies = staged(_on(nodes, own, F.col("node") == F.col("of"), "left_semi"), "near-open-nodes")
+    profiles = _profiles(bodies, k, percent)
+    members, visitors = _visits(left, profiles, percent)
+    asked = in_arrow(_hosted(members, visitors, profiles), _asking(percent, miss), "home long, node long, comp long")
+    asked = staged(asked, "near-asked")
+    rows = _hosted(members, asked, bodies.select("node", "text"))
+    return staged(in_arrow(rows, _host(k, percent), "a long, b long").distinct(), "near-visits")
+
+
 def _components_of(signed: DataFrame, heads: DataFrame, text: str, k: int, percent: int, miss: float) -> DataFrame:
     """(node, comp) for the nodes that share a bucket with others."""
     width = 2 * ROWS
@@ -340,14 +485,13 @@ def _components_of(signed: DataFrame, heads: DataFrame, text: str, k: int, perce
     members = staged(_on(named, shared, F.col("key") == F.col("in_key")).select("key", "node"), "near-members")
     labels = staged(members.select("node").distinct().withColumn("comp", F.col("node")), "near-labels")
     found = labels.select(F.col("node").alias("of"))
-    nodes = signed.select(F.col("row").alias("node"), "sig", F.col("doc").getField(text).alias("text"))
+    nodes = signed.select(F.col("row").alias("node"), "n", "sig", F.col("doc").getField(text).alias("text"))
     nodes = staged(_on(nodes, found, F.col("node") == F.col("of"), "left_semi"), "near-nodes")
 
     pairs = staged(_pivot_pairs(members), "near-pairs")
     labels = _grown(labels, _linked(pairs, nodes, k, percent, miss).where("linked"))
     left = _open_buckets(members, labels)
-    links = staged(in_arrow(_visits(left, nodes), _host(k, percent, miss), "a long, b long").distinct(), "near-visits")
-    return _grown(labels, links)
+    return _grown(labels, _links_of_packs(left, nodes, k, percent, miss))
 
 
 def near_groups(
