@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.byte_bpe import encode
 from tidemark.llm.common import staged
 from tidemark.llm.exact_dedup import distinct_documents
-from tidemark.llm.langid import JUDGED_TRIGRAMS, NOISE, UNKNOWN, fit_profiles, held_out, identified
+from tidemark.llm.langid import UNKNOWN, fit_profiles, held_out, identified, least_score
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.near_dedup import distinct_enough
 
@@ -23,12 +23,11 @@ MOST_EPOCHS = 2.0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the profiles know: those without letters go, and of
-    those with enough trigrams to tell, the ones no closer to any profile than chance."""
+    """Documents in a language the profiles know: those without letters go, and those no
+    closer to any profile than chance, by a bound that grows with the text."""
     profiles = fit_profiles(docs.where(~held_out()))
     named = identified(docs, profiles)
-    near = (F.col("score") >= NOISE) | (F.col("n_trigrams") < JUDGED_TRIGRAMS)
-    return named.where((F.col("lang_pred") != UNKNOWN) & near).select("doc.*")
+    return named.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score(profiles))).select("doc.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +64,7 @@ STAGES = [
     ("byte-level BPE encoding and decoding", encoded),
 ]
 
-# Hypervector profiles and merges have no SQL form; tests/llm/test_pipeline.py holds
+# Hypervector profiles and merges have no SQL form; tests/llm/test_corpus_pipeline.py holds
 # the rows against a plain version instead.
 ORACLE_SQL = None
 

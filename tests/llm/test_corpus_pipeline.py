@@ -8,6 +8,7 @@ from test_dedup import near_by_hand
 from test_mixing import by_hand as copies_by_hand
 
 import corpus_pipeline
+from tidemark.llm import langid
 from tidemark.llm.byte_bpe import _vocabulary, encode_texts
 
 
@@ -58,6 +59,8 @@ FOREIGN = [
     "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και φεύγει μακριά",
     "빠른 갈색 여우가 게으른 개를 뛰어넘어 넓은 들판으로 멀리 달려간다 그리고 다시 돌아오지 않는다",
     "الثعلب البني السريع يقفز فوق الكلب الكسول ثم يركض بعيدا في الحقل الواسع",
+    "Быстрая коричневая лиса прыгает",
+    "Η γρήγορη καφέ αλεπού πηδάει",
 ]
 
 
@@ -72,3 +75,21 @@ def test_unlearned_languages_and_junk_go_short_clean_texts_stay(spark, sf):
     added = spark.createDataFrame([(10_000_000 + i, t, None) for i, t in enumerate(FOREIGN + junk + short)], docs.schema)
     kept = corpus_pipeline.known_language(spark, docs.unionByName(added), sf).where("doc_id >= 10000000").collect()
     assert {r.text for r in kept} == set(short)
+
+
+def test_the_bound_grows_steadily_and_spares_clean_pieces(spark, sf):
+    """Pieces of clean texts of any length stay, but for a thousandth or so."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    profiles = langid.fit_profiles(docs)
+    bounds = spark.range(1, 200).select(langid.least_score(profiles, "id").alias("b")).collect()
+    steps = [b.b - a.b for a, b in zip(bounds, bounds[1:])]
+    assert min(steps) >= 0 and max(steps) < 0.05 and bounds[0].b < 0 and bounds[-1].b == langid.NOISE
+    rng, pieces = random.Random(5), []
+    for i, r in enumerate(docs.collect()):
+        words = r.text.split()
+        for n in (1, 2, 4, 6, 8, 12):
+            at = rng.randrange(max(1, len(words) - n + 1))
+            pieces.append((i, " ".join(words[at : at + n]), r.lang))
+    pieces = spark.createDataFrame([p for p in pieces if any(c.isalpha() for c in p[1])], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(pieces), sf).count() - docs.count()
+    assert kept >= 0.99 * pieces.count()

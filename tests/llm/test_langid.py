@@ -69,3 +69,25 @@ def test_nothing_to_learn_from(spark, empty):
     profiles = langid.fit_profiles(docs)
     assert profiles == {}
     assert {(r.lang_pred, r.score) for r in langid.identified(docs, profiles).collect()} == {("und", 0.0)}
+
+
+def test_rows_equal_plain_profiles_and_cosines(spark, awkward, awkward_rows, sf, tmp_path):
+    """Every row of the query against bundles, profiles and cosines made by hand."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 3000")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    rows += [(50_000_000 + i, t, lang) for i, (_, t, lang, *_) in enumerate(awkward_rows) if not t or len(t) < 3000]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    vectors = {i: by_hand(t) if t else np.zeros(langid.DIMENSIONS) for i, t, _ in rows}
+    sums = {}
+    for i, t, lang in rows:
+        if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 3 != 1:
+            sums[lang] = sums.get(lang, 0) + vectors[i]
+    plain = {lang: v / np.linalg.norm(v) for lang, v in sorted(sums.items()) if np.any(v)}
+    got = {r.doc_id: r for r in queries.op9_language_id(spark, str(tmp_path)).collect()}
+    assert got.keys() == vectors.keys()
+    for i, vector in vectors.items():
+        if not np.any(vector):
+            continue
+        cosines = {lang: float(p @ vector / np.linalg.norm(vector)) for lang, p in plain.items()}
+        assert abs(got[i].score - max(0.0, min(1.0, max(cosines.values())))) < 1e-9
+        assert cosines[got[i].lang_pred] >= max(cosines.values()) - 1e-12

@@ -32,11 +32,12 @@ CHARS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 2048
 CACHED_TRIGRAMS = 1 << 15
 DENSE_CODES = 1 << 18
-# Cosine below which a text is no closer to a language than chance has it: vectors that
-# have nothing in common lie about 1 / sqrt(DIMENSIONS) from a right angle, here three
-# times that. Clean texts of few trigrams lie there too, so the floor is for longer ones.
-NOISE = 3 / DIMENSIONS**0.5
-JUDGED_TRIGRAMS = 32
+# Vectors that have nothing in common lie about 1 / sqrt(DIMENSIONS) from a right angle.
+# A language is told from chance three times that away. Clean texts scatter more around
+# what is expected of them, as their trigrams are no independent draws: on labelled rows
+# the lowest thousandth lies within seven times that. A trigram counts for two at most, the
+# least that natural languages have: a narrow vocabulary has more, and says less of others.
+NOISE, SCATTER, MOST_EXPECTED = 3 / DIMENSIONS**0.5, 7 / DIMENSIONS**0.5, 2 / DIMENSIONS**0.5
 BOUNDARY = 0x20
 BITS = 21  # of a code point
 
@@ -156,11 +157,13 @@ def _forget() -> None:
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     claim("langid", _forget)
     sums: dict[str, np.ndarray] = {}
+    sizes: dict[str, int] = {}
 
     def add(lang: str, counted: dict[int, int]) -> None:
         keys = np.fromiter(counted.keys(), np.int64, len(counted))
         counts = np.fromiter(counted.values(), np.int64, len(counted))
         sums[lang] = sums.get(lang, 0) + bundle(keys, counts)
+        sizes[lang] = sizes.get(lang, 0) + int(counts.sum())
 
     seen: dict[str, dict[int, int]] = {}
     for batch in batches:
@@ -178,11 +181,20 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         add(lang, counted)
     if sums:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums)), pa.array([s.astype(np.int64) for s in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"]
+            # The number of trigrams follows the sums.
+            [pa.array(list(sums)), pa.array([np.append(s, sizes[x]).astype(np.int64) for x, s in sums.items()], pa.list_(pa.int64()))],
+            ["lang", "sums"],
         )
 
 
-def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
+class Profiles(dict[str, np.ndarray]):
+    """Unit vectors by language. `expected` is the cosine that one trigram of a language
+    has with its profile on average, the smallest of the languages."""
+
+    expected: float = 0.0
+
+
+def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     """Unit vectors of the languages that `docs` is labelled with. Rows without
     text or label teach nothing. The driver gets DIMENSIONS numbers a language."""
     read = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, F.col(lang).cast("string"))
@@ -194,12 +206,25 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> dic
         .groupBy("lang")
         .agg(F.array_sort(F.collect_list(F.struct("i", "n"))).alias("sums"))
     )
-    profiles = {}
+    found, expected = {}, []
     for row in total.collect():
-        vector = np.array([x.n for x in row.sums], np.float64)
+        *vector, size = (x.n for x in row.sums)
         if norm := np.linalg.norm(vector):
-            profiles[row.lang] = vector / norm
-    return dict(sorted(profiles.items()))
+            found[row.lang] = np.array(vector, np.float64) / norm
+            expected.append(float(norm / DIMENSIONS**0.5 / size))
+    profiles = Profiles(sorted(found.items()))
+    profiles.expected = min(expected, default=0.0)
+    return profiles
+
+
+def least_score(profiles: Profiles, n: str = "n_trigrams") -> Column:
+    """The score below which a text of `n` distinct trigrams is in no known language.
+
+    Clean texts are expected at sqrt(n) times what one trigram has; the bound lies
+    SCATTER below, and at NOISE once that is far enough from chance. It grows steadily
+    with the text; of a few trigrams, which cannot be told from chance, it asks nothing.
+    """
+    return F.least(F.lit(NOISE), F.sqrt(n) * min(profiles.expected, MOST_EXPECTED) - SCATTER)
 
 
 def _identifier(profiles: dict[str, np.ndarray], text_at: int, carried: list[str]):
