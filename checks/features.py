@@ -9,6 +9,7 @@ from checks.views import RULES, VIEWS, values_sql, view, with_views
 from tidemark import rules
 from tidemark.functions import scalar, timeline
 from tidemark.operators import asof, assemble, cohort as co, dictionary as di, events as ev, intervals as iv
+from tidemark.operators.ranking import with_position
 from tidemark.plans import landmark_table as plan
 from tidemark.rules import KEYS, Label
 from tidemark.session import stage
@@ -197,6 +198,20 @@ def _(spark, sf):
     return di.dictionary(view(spark, sf, "d_items"), view(spark, sf, "d_labitems"), ICU_RULES, LAB_RULES)
 
 
+@check(
+    "G01_dictionary_in_order",
+    with_views(
+        "d_items d_labitems",
+        "SELECT *, row_number() OVER (ORDER BY source_table NULLS LAST, variable_name NULLS LAST, itemid NULLS LAST) AS position "
+        f"FROM ({DICTIONARY})",
+    ),
+    "lownormalvalue",
+)
+def _(spark, sf):
+    """The place that each row of the sorted dictionary has in it."""
+    return with_position(di.dictionary(view(spark, sf, "d_items"), view(spark, sf, "d_labitems"), ICU_RULES, LAB_RULES))
+
+
 @check(
     "B15_missing_end_flag",
     with_views("ventilation", "SELECT stay_id, starttime, CASE WHEN endtime IS NULL THEN 1 ELSE 0 END AS open FROM ventilation"),

@@ -84,6 +84,26 @@ for _name, _view in [
     check(f"{_name}_scan", _twin)(_scan)
 
 
+@check(
+    "A04_nan_is_missing",
+    with_views(
+        "outputevents",
+        "SELECT stay_id, count(*) AS n, count(value) AS known, sum(value) FILTER (value >= 0) AS total "
+        "FROM (SELECT stay_id, CASE WHEN itemid % 3 <> 0 THEN value END AS value FROM outputevents) GROUP BY stay_id",
+    ),
+    "total",
+)
+def _(spark, sf):
+    """Stored NaN values are no measurements and spoil no total."""
+    path, events = scratch(spark, "nan"), view(spark, sf, "outputevents")
+    declared = [f for f in TABLES["outputevents"].fields if f.name in events.columns]
+    value = F.when(F.col("itemid") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    write_table(events.withColumn("value", value).select(*[F.col(f.name).cast(f.dataType) for f in declared]), path)
+    known = F.when(F.col("value") >= 0, F.col("value"))
+    back = read_table(spark, "outputevents", path).withColumn("stay_id", F.col("stay_id").cast(dict(events.dtypes)["stay_id"]))
+    return back.groupBy("stay_id").agg(F.count("*").alias("n"), F.count("value").alias("known"), F.sum(known).alias("total"))
+
+
 WHOLE = (
     "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' "
     "ELSE concat(text, ' \"q\", ', chr(10), lang) END AS body, lang FROM documents"

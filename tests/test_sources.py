@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tidemark.operators.events import join_cohort
+from tidemark.operators.ranking import with_position
 from tidemark.session import shared_dir, stage, staging
 from tidemark.sources import io
 from tidemark.sources.schemas import TABLES
@@ -107,3 +108,27 @@ def test_staged_folders_go_with_their_owner(spark):
             assert stage(kept, "inner").count() == 10
         assert len(left() - before) == 1
     assert left() == before
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_nan_is_read_as_missing(spark, tmp_path, fmt):
+    schema = T.StructType([T.StructField("stay_id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("note", T.StringType())])
+    rows = [(1, 2.0, "NaN"), (1, float("nan"), None), (1, None, ""), (2, float("inf"), "x")]
+    path = str(tmp_path / fmt)
+    df = spark.createDataFrame(rows, schema)
+    io.write_csv(df, path) if fmt == "csv" else io.write_table(df, path)
+    back = io.read_table(spark, "outputevents", path, fmt, schema)
+    assert back.schema["note"].dataType == T.StringType()
+    assert {(r.stay_id, r.total) for r in back.filter("value >= 0").groupBy("stay_id").agg({"value": "sum"}).toDF("stay_id", "total").collect()} == {
+        (1, 2.0), (2, float("inf")),
+    }
+    assert back.filter("value IS NULL").count() == 2
+    assert {r.note for r in back.filter("stay_id = 1").collect()} == {"NaN", None, ""}
+
+
+@pytest.mark.parametrize("rows, parts", [(0, 3), (1, 1), (5000, 7)])
+def test_position_follows_the_order_of_the_frame(spark, rows, parts):
+    df = spark.range(rows).selectExpr("id % 10 AS `a.b`", "(id * 7919) % 5003 AS v").repartitionByRange(parts, "v").sortWithinPartitions("v")
+    found = with_position(df, "nr").collect()
+    assert with_position(df, "nr").columns == ["a.b", "v", "nr"]
+    assert [r.nr for r in sorted(found, key=lambda r: r.v)] == list(range(1, rows + 1))

@@ -14,6 +14,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidemark.functions.scalar import quoted
+from tidemark.session import stage
+
 # Score cells of a running total, per halving of the distance to 0 or to 1.
 SCORE_CELLS = 1 << 14
 
@@ -51,6 +54,23 @@ def _score_cell(score: Column) -> Column:
     return F.floor(F.when(score == 0, least - 1).when(score == 1, F.lit(60.0)).otherwise(place) * SCORE_CELLS).cast("long")
 
 
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """Add the place, from 1, that each row has in the order of `df`.
+
+    Rows are counted where they lie: a row's place is its place in its partition plus
+    the rows of all partitions before. The running total has one row a partition, and
+    `df` is written once, so that both readings see the same rows.
+    """
+    kept = stage(df.withColumn("_at", F.monotonically_increasing_id()), "placed")
+    # The identifier holds the partition above 33 bits for the row in it.
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = kept.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", before.alias("_before"))
+    placed = kept.withColumn("_own", part).join(F.broadcast(offsets), F.col("_own") == F.col("_part"))
+    return placed.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_before") + row + 1).alias(name))
+
+
 def running_totals(
     df: DataFrame, by: Sequence[str], score: str, totals: Sequence[str], suffix: str = "_above"
 ) -> DataFrame:

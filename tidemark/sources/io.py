@@ -7,18 +7,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.scalar import quoted
+from tidemark.functions.scalar import nan_to_null, quoted
 from tidemark.sources.schemas import TABLES
 
 
 def read_table(
     spark: SparkSession, name: str, path: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
-    """Scan one warehouse table with its declared schema."""
+    """Scan one warehouse table with its declared schema.
+
+    A stored NaN is read as null: it compares as larger than any number, so it would
+    pass a test like `value >= 0` and turn every total it enters into NaN.
+    """
     declared = TABLES[name] if schema is None else schema
     if fmt == "csv":
-        return read_csv(spark, path, declared)
-    return spark.read.schema(declared).format(fmt).load(path)
+        return nan_to_null(read_csv(spark, path, declared))
+    return nan_to_null(spark.read.schema(declared).format(fmt).load(path))
 
 
 def null_violations(df: DataFrame, name: str | None = None, required: Sequence[str] = ()) -> DataFrame:
