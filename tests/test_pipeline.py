@@ -66,16 +66,18 @@ def test_evaluate_and_interpret(spark, prepared, fitted, tmp_path):
     for r in summary.values():
         assert 0 <= r.roc_auc <= 1 and 0 <= r.brier_score <= 1 and r.calibration_slope is not None
     assert reports["threshold_metrics"].count() == 3 * 19
-    # A handful of features: the whole set is 1,000 shuffles and more.
-    few = {"logistic_regression": models["logistic_regression"]}
+    # All features and all models, as a user runs it; two repeats of each shuffle.
     names = prepared.preprocessor.feature_names
-    from tidemark.operators.explain import permutation_importance, subgroup_performance, attach
-    from tidemark.operators.metrics import to_long
-
-    table = permutation_importance(
-        few["logistic_regression"], prepared.test, "y", "stay_id", names, n_repeats=2, features=names[:4]
-    )
-    assert {r.feature for r in table.collect()} == set(names[:4])
-    rows = attach(to_long(predictions, keep=["stay_id"]), prepared.rows.select("stay_id", "gender", "age_at_icu_admission"), "stay_id")
-    groups = subgroup_performance(rows, {k: v for k, v in rules.SUBGROUPS.items() if k.startswith(("age", "gender"))})
-    assert {r.model for r in groups.collect()} == set(models)
+    found = mo.interpret(spark, prepared, models, predictions, n_repeats=2)
+    write_reports(found, str(tmp_path / "interpretation"))
+    read = lambda name: read_csv(spark, str(tmp_path / "interpretation" / name), found[name].schema).collect()
+    assert {r.feature for r in read("logistic_coefficients")} == set(names)
+    assert [r.side for r in read("logistic_top_features")].count("top") == 15
+    importance = read("permutation_importance")
+    assert {(r.model, r.feature) for r in importance} == {(m, n) for m in models for n in names}
+    best = {n: max(r.importance_mean for r in importance if r.feature == n) for n in names}
+    expected = sorted(names, key=lambda n: (-best[n], n))[:20]
+    assert {r.feature for r in read("importance_comparison")} == set(expected)
+    groups = read("subgroup_performance")
+    assert {r.model for r in groups} == set(models)
+    assert {r.subgroup for r in groups} <= set(rules.SUBGROUPS)
