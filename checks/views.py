@@ -171,7 +171,10 @@ def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     (first, joins), columns = VIEWS[name]
     df = base(spark, sf, first)
     for how, other, on in joins:
-        df = df.join(base(spark, sf, other), F.expr(on), how)
+        # Orders grow with their line items; what their files take, which is all that
+        # Spark goes by, says little about their rows as a broadcast.
+        more = base(spark, sf, other)
+        df = df.join(more.hint("merge") if how == "inner" else more, F.expr(on), how)
     return df.selectExpr(*[f"{expr} AS {c}" for c, expr in columns.items()])
 
 
