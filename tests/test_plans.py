@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import cohort_df
 from checks.views import RULES, view
-from tidemark.operators import cohort as co, events as ev, metrics as me, prep as pp, profile as pr
+from tidemark.operators import cohort as co, events as ev, explain as ex, metrics as me, prep as pp, profile as pr
 from tidemark.operators.events import summarise, join_cohort
 from tidemark.operators.ranking import exact_quantiles
 from tidemark.plans import landmark_table as plan
@@ -68,6 +68,29 @@ def test_wide_table_joins_on_keys_only(spark, tables, cohort):
     assert len(by_time) == 2 and len(spread) - len(by_time) == 1 + 5 * 3 + 2
 
 
+def test_sliced_cohort_does_not_pass_through_the_driver(tables, cohort):
+    # Small files, every row of them repeated: never a broadcast, whatever Spark guesses.
+    text = explained(join_cohort(tables["ventilation"], cohort, slices=8), "simple")
+    assert "Broadcast" not in text and "SortMergeJoin" in text
+
+
+def test_orders_do_not_pass_through_the_driver(spark, sf):
+    text = explained(view(spark, sf, "ventilation"), "simple")
+    assert "Broadcast" not in text and "SortMergeJoin" in text
+
+
+def test_permuted_rows_do_not_pass_through_the_driver(spark):
+    rows = spark.range(40).select(F.col("id").alias("_row"), F.array(F.col("id").cast("double")).alias("_x"))
+    base = stage(rows, "numbered", bucket_by="_row")
+    received = ex._received(base, [ex.Shuffle(0, 3), ex.Shuffle(0, 7)], 40)
+    text = explained(received, "simple")
+    assert "Broadcast" not in text and "SortMergeJoin" in text
+    inverse = pow(ex.PRIME, -1, 40)
+    for row in received.collect():
+        source = {(r - s) * inverse % 40: r for s in (3,) for r in range(40)}
+        assert row.replaced[0].value == source[row["_row"]]
+
+
 def test_split_does_not_shuffle_the_table(spark, tables, cohort):
     text = explained(pp.stratified_split(cohort, "mortality_after_24h", "stay_id"), "simple")
     final_scan = text[text.index("Project"):].splitlines()
