@@ -174,6 +174,19 @@ def test_counted_small_cohort_is_broadcast(spark, tables, cohort, monkeypatch):
     assert ev.slices_for(cohort) == ev.SLICES
 
 
+def test_cohort_of_many_megabytes_is_not_broadcast(spark, tables, cohort):
+    # The wide table joins it five times, and all five pass through the driver together.
+    sources = {n: tables[n] for n in ("chartevents", "labevents", "ventilation", "inputevents", "outputevents")}
+    copies = F.array(*[F.lit(i) for i in range(60_000 // cohort.count() + 1)])
+    many = stage(cohort.withColumn("copy", F.explode(copies)).drop("copy"), "many")
+    assert 60_000 <= many.count() < 70_000
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = explained(plan.landmark_table(many, sources, RULES), "simple")
+    hashed = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+    # Item and range tables only.
+    assert hashed and not [line for line in hashed if "stay_id" in line or "hadm_id" in line]
+
+
 def test_slices_spread_a_hot_stay(hot):
     events, stays = hot
     content = [c for c in events.columns if c not in KEYS]
