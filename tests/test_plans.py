@@ -79,6 +79,24 @@ def test_orders_do_not_pass_through_the_driver(spark, sf):
     assert "Broadcast" not in text and "SortMergeJoin" in text
 
 
+def test_cohort_tables_do_not_pass_through_the_driver(spark):
+    # Files that take almost nothing, though they hold many rows.
+    stays = spark.range(1000).selectExpr(
+        "id AS stay_id", "id AS hadm_id", "id % 300 AS subject_id", "TIMESTAMP_NTZ '2020-01-01' AS intime",
+        "TIMESTAMP_NTZ '2020-01-02' AS outtime", "'a' AS first_careunit", "'a' AS last_careunit", "1.0D AS los",
+    )
+    admissions = spark.range(1000).selectExpr(
+        "id AS hadm_id", "id % 300 AS subject_id", "CAST(NULL AS TIMESTAMP_NTZ) AS deathtime", "0 AS hospital_expire_flag"
+    )
+    patients = spark.range(300).selectExpr("id AS subject_id", "50 AS anchor_age", "2020 AS anchor_year")
+    stays, admissions, patients = (stage(df, "cohort_side") for df in (stays, admissions, patients))
+    built = co.cohort(stays, patients, admissions)
+    for df in (built, co.admitted_stays(stays, admissions), co.adult_stays(stays, patients)):
+        text = explained(df, "simple")
+        assert "Broadcast" not in text and "SortMergeJoin" in text
+    assert built.count() == 300
+
+
 def test_permuted_rows_do_not_pass_through_the_driver(spark):
     rows = spark.range(40).select(F.col("id").alias("_row"), F.array(F.col("id").cast("double")).alias("_x"))
     base = stage(rows, "numbered", bucket_by="_row")
