@@ -139,6 +139,37 @@ def test_segments_round_trip_and_notice_damage():
             token_files.unpack(bytes(hurt))
 
 
+@pytest.mark.parametrize("symbols", [1, 700, 49_408])
+def test_counts_shape_the_code_and_round_trip(symbols):
+    rng = np.random.default_rng(symbols)
+    ids = np.minimum(rng.geometric(0.02, 20_000) - 1, symbols - 1)
+    counts = np.bincount(ids, minlength=symbols)
+    codes = range_coder.encode(ids, 512, symbols, counts)
+    assert (range_coder.decode(codes, len(ids), 512, symbols, counts) == ids).all()
+    share = counts[counts > 0] / len(ids)
+    bits = -(share * np.log2(share)).sum()
+    # Close to the entropy of ids that no context foretells; far from it without counts.
+    assert sum(map(len, codes)) * 8 < len(ids) * (bits * 1.05 + 0.3)
+    whole = range_coder.starts(symbols, counts)
+    assert (np.diff(whole) > 0).all() and whole[-1] == 1 << 20
+
+
+def test_starts_hold_very_large_counts():
+    for counts in ([1 << 62, 1, 0], [0, 0, 0], [3, (1 << 40) + 1, 1 << 40]):
+        whole = range_coder.starts(3, np.array(counts))
+        assert (np.diff(whole) > 0).all() and whole[-1] == 1 << 20
+
+
+def test_an_id_is_coded_in_one_step(monkeypatch):
+    """One look at the predictions for each id of a lane, whatever the vocabulary."""
+    looks, look = [], range_coder._Model.look
+    monkeypatch.setattr(range_coder._Model, "look", lambda self, active: looks.append(active) or look(self, active))
+    ids = np.random.default_rng(3).integers(0, 49_408, 4 * 256)
+    codes = range_coder.encode(ids, 256, 49_408)
+    assert looks == [4] * 256
+    assert (range_coder.decode(codes, len(ids), 256, 49_408) == ids).all() and len(looks) == 512
+
+
 # -- token files -----------------------------------------------------------------
 
 
@@ -180,6 +211,37 @@ def test_words_of_a_small_cache_are_learned_again(words_library, monkeypatch):
         assert ids.tolist() == [x for e in expected for x in e] and lengths.tolist() == [len(e) for e in expected]
 
 
+def test_plain_words_are_cut_like_the_library_cuts_them(words_library):
+    rng = random.Random(5)
+    letters = "abzAZéÉßØøÿ×÷ªµ0479!~'`^{-<|>=\u0301\u0338\u0130\u03a3漢"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    texts += ["Don't", "'s", "a's", "A=\u0338b", "E\u0301a", "H\u0331", "<|endoftext|>", "x" * 3000, "9" * 50, "ÀÉ'll,", "Straße!!!1"]
+    encoder = token_files._Encoder(open(WORDS, "rb").read())
+    assert encoder.plain
+    ids, lengths = encoder.encode(texts)
+    expected = [words_library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(e) for e in expected] and ids.tolist() == [x for e in expected for x in e]
+
+
+def test_pieces_of_a_small_cache_are_learned_again(words_library, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 3)
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 5)
+    encoder = token_files._Encoder(open(WORDS, "rb").read())
+    texts = [f"{a}{i % 13}{b} stone{i % 7}" for i, (a, b) in enumerate(zip("riverstonebridge" * 9, ".,!?ZÉ" * 24))]
+    for i in range(0, len(texts), 5):
+        ids, _ = encoder.encode(texts[i : i + 5])
+        assert ids.tolist() == [x for t in texts[i : i + 5] for x in words_library.encode(t, add_special_tokens=False).ids]
+
+
+def test_pieces_are_merged_once():
+    """Words that differ in case and marks alone cost the library nothing anew."""
+    encoder = token_files._Encoder(open(WORDS, "rb").read())
+    encoder.encode(["river stone . , ! 1 2"])
+    known = len(encoder.pieces.place)
+    encoder.encode(["River, STONE! river. Stone12!"])
+    assert len(encoder.pieces.place) == known and len(encoder.words.place) > known
+
+
 def test_empty_tables(spark, empty):
     assert queries.op1_token_files(spark, empty).collect() == []
     assert queries.op5_byte_bpe(spark, empty).collect() == []

@@ -1,16 +1,16 @@
-"""An adaptive context-mixing range coder for token ids.
-
-Ids are cut into blocks that are coded alone: every model starts anew in each. An
-id is coded as its hexadecimal digits, from the highest. The frequencies of a digit
-mix three predictions: counts of the digits seen after the same higher digits
-(order 0), and the ids last seen after the previous one and the previous two ids
-(orders 1 and 2), which add weight to their digit while they agree with the digits
-coded so far, the more the more often they were right.
-
-All blocks of a call advance together, one numpy lane each, so the coder costs
-array operations instead of a loop over ids. Positions within the coding interval
-are whole numbers below 2**53 held as doubles, whose division is the fast one; a
-quotient of such numbers below 2**48 cannot round up to the next whole number.
+"""A context-mixing range coder for token ids.
+
+Ids are cut into blocks that are coded alone. The frequencies of an id mix three
+predictions: how often it occurs among all blocks of the call (order 0, known to both
+sides), and the ids last seen after the previous one and the previous two ids (orders
+1 and 2), which add weight to the id they expect, the more the more often they were
+right. What orders 1 and 2 have seen starts anew in each block.
+
+All blocks of a call advance together, one numpy lane each and one id at a time, so
+the coder costs array operations instead of a loop over ids. Positions within the
+coding interval are whole numbers below 2**53 held as doubles, whose division is the
+fast one; a quotient of such numbers below 2**48 cannot round up to the next whole
+number.
 """
 
 from __future__ import annotations
@@ -19,100 +19,78 @@ import zlib
 
 import numpy as np
 
-DIGIT = 16
-SLOTS = 2048  # contexts a block remembers, by order
-CONFIDENT = 3
+SLOTS = 1024  # contexts a block remembers, by order
 # Weight of a prediction, in multiples of the order-0 total, by how often it was right.
-WEIGHTS = np.array([0, 1, 3, 8], np.float64)
-STEP, LIMIT = 24, 1600
+WEIGHTS = np.array([0, 0.2, 0.5, 1, 2, 5, 12, 24], np.float64)
+SURE, BITS = len(WEIGHTS) - 1, (len(WEIGHTS) - 1).bit_length()
+# What that number changes by after a wrong prediction, and after a right one.
+CHANGE = np.array([0] + [-1] * SURE + [1] * SURE + [0], np.int32)
+SCALE = 20  # bits of the order-0 total, if the ids are not too many
 WORD, LOW, TOP = 2.0**16, 2.0**32, 2.0**48
-ROW = np.dtype(f"V{2 * DIGIT}")
 HEAD = 3  # 16-bit words that open a block's code
 
 
-def levels_for(symbols: int) -> int:
-    """Hexadecimal digits that tell `symbols` ids apart."""
-    levels = 1
-    while DIGIT**levels < symbols:
-        levels += 1
-    return levels
-
-
-def _steps() -> np.ndarray:
-    """What a digit adds to its row: to the total in column 0 and to the start of
-    every higher digit."""
-    at = np.arange(DIGIT)
-    return np.where((at[None, :] > at[:, None]) | (at[None, :] == 0), STEP, 0).astype(np.uint16)
-
-
-def _below() -> np.ndarray:
-    """Columns of a row that a weight on a digit raises, likewise."""
-    return (_steps() > 0).astype(np.uint16)
+def starts(symbols: int, counts: np.ndarray | None = None) -> np.ndarray:
+    """Where each id begins on the order-0 scale, and its end: shares by `counts`, one
+    at least, whose sum is a power of two. Without counts all ids are alike."""
+    if symbols > 1 << 22:
+        raise ValueError("too many ids for the coding interval")
+    counts = np.ones(symbols, np.int64) if counts is None else np.asarray(counts, np.int64)
+    scale = 1 << max(SCALE, symbols.bit_length() + 1)
+    # Shares of a sum of 32 bits at most, so that the products fit 63.
+    counts = counts >> max(0, int(counts.sum()).bit_length() - 32)
+    sizes = 1 + counts * (scale - symbols) // max(1, int(counts.sum()))
+    sizes[np.argmax(sizes)] += scale - int(sizes.sum())
+    return np.concatenate([[0], np.cumsum(sizes)])
 
 
 class _Model:
-    """Predictions of all lanes; the `active` ones come first.
-
-    A row of a table holds the total of its counts in column 0 and the start of
-    digit d in column d, so that a digit ends at column (d + 1) % 16.
-    """
-
-    def __init__(self, lanes: int, symbols: int):
-        self.levels = levels_for(symbols)
-        rows = [-(-symbols // DIGIT ** (self.levels - i)) for i in range(self.levels)]
-        fresh = np.arange(DIGIT, dtype=np.uint16)
-        fresh[0] = DIGIT
-        self.tables = [np.tile(fresh, (lanes * n, 1)) for n in rows]
-        self.first_row = [np.arange(lanes) * n for n in rows]
-        self.first_slot = np.arange(lanes) * SLOTS
-        self.first_cell = np.arange(lanes) * DIGIT
-        # Expected id and, in the two lowest bits, how sure it is.
-        self.cells = [np.zeros(lanes * SLOTS, np.uint32) for _ in range(2)]
+    """Predictions of all lanes, those of order 1 in the first row and those of order 2
+    in the second; the `active` lanes come first."""
+
+    def __init__(self, lanes: int, symbols: int, counts: np.ndarray | None):
+        whole = starts(symbols, counts)
+        self.scale = float(whole[-1])
+        self.start, self.size = whole[:-1].astype(np.float64), np.diff(whole).astype(np.float64)
+        self.weights = np.floor(WEIGHTS * self.scale)
+        self.first_slot = np.arange(2 * lanes).reshape(2, lanes) * SLOTS
+        # Expected id and, in the lowest bits, how sure it is.
+        self.cells = np.zeros(2 * lanes * SLOTS, np.int32)
         self.last, self.second = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.steps = _steps()
 
-    def look(self, active: int) -> None:
-        """What orders 1 and 2 expect next."""
+    def look(self, active: int) -> np.ndarray:
+        """Let orders 1 and 2 say what they expect next; the total of the frequencies."""
         mixed = self.last[:active] * 40503
-        base = self.first_slot[:active]
-        self.slots = [base + ((mixed >> 4) & SLOTS - 1), base + ((mixed + self.second[:active] * 48271 >> 3) & SLOTS - 1)]
-        self.found = [c.take(s) for c, s in zip(self.cells, self.slots)]
-        # Lanes in which an order has something to say, the id, and its weight.
-        self.said = []
-        for cell in self.found:
-            lanes = np.flatnonzero(cell & 3)
-            own = cell[lanes]
-            self.said.append((lanes, (own >> 2).astype(np.int64), WEIGHTS.take(own & 3)))
-
-    def agreed(self, level: int, digit: np.ndarray) -> None:
-        """Silence predictions that a coded digit has refuted."""
-        shift = 4 * (self.levels - 1 - level)
-        self.said = [
-            (lanes[k], ids[k], weight[k])
-            for lanes, ids, weight in self.said
-            for k in (np.flatnonzero(((ids >> shift) & 15) == digit[lanes]),)
-        ]
-
-    def count(self, level: int, row: np.ndarray, counts: np.ndarray, digit: np.ndarray) -> None:
-        table = self.tables[level]
-        counts += self.steps.take(digit, axis=0)
-        full = np.flatnonzero(counts[:, 0] > LIMIT)
-        if len(full):
-            part = counts[full].astype(np.int64)
-            ends = np.concatenate([part[:, 1:], part[:, :1]], axis=1)
-            part[:, 0] = 0
-            ends = np.cumsum((ends - part + 1) >> 1, axis=1)
-            counts[full, 1:], counts[full, 0] = ends[:, :-1], ends[:, -1]
-        # Whole rows as single items: numpy copies those at once.
-        table.view(ROW).reshape(-1)[row] = counts.view(ROW).reshape(-1)
+        self.slots = np.empty((2, active), np.int64)
+        np.right_shift(mixed, 4, out=self.slots[0])
+        np.right_shift(mixed + self.second[:active], 3, out=self.slots[1])
+        self.slots &= SLOTS - 1
+        self.slots += self.first_slot[:, :active]
+        self.found = self.cells.take(self.slots)
+        self.held = self.found & SURE
+        self.expected = self.found >> BITS
+        self.added = self.weights.take(self.held)
+        return self.added[0] + self.added[1] + self.scale
+
+    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of ids among the mixed frequencies."""
+        self.right = self.expected == ids
+        below, equal = self.added * (self.expected < ids), self.added * self.right
+        return self.start.take(ids) + below[0] + below[1], self.size.take(ids) + equal[0] + equal[1]
+
+    def plain(self, aim: np.ndarray) -> np.ndarray:
+        """A place among the mixed frequencies on the order-0 scale: what a prediction
+        has added lies at the start of its id and is taken out again."""
+        (one, two), (first, second) = self.expected, self.added
+        for begin, added in ((self.start.take(two) + first * (one < two), second), (self.start.take(one), first)):
+            aim = np.minimum(aim, np.maximum(aim - added, begin))
+        return aim
 
     def learn(self, ids: np.ndarray, active: int) -> None:
-        ids = ids.astype(np.uint32)
-        for cells, slot, cell in zip(self.cells, self.slots, self.found):
-            right = (cell >> 2) == ids
-            held = cell & 3
-            cells[slot] = np.where(right, cell + (held < CONFIDENT), np.where(held > 0, cell - 1, ids * 4 + 1))
-        self.second[:active] = self.last[:active]
+        """A right prediction gets surer, a wrong one less so, and then gives way."""
+        state = self.held + (SURE + 1) * self.right
+        self.cells[self.slots] = np.where(state > 0, self.found + CHANGE.take(state), (ids << BITS) + 1)
+        self.second[:active] = self.last[:active] * 48271
         self.last[:active] = ids
 
 
@@ -122,91 +100,61 @@ def _shape(n: int, block: int) -> tuple[int, int, int]:
     return blocks, min(n, block), n - (blocks - 1) * block
 
 
-def encode(ids: np.ndarray, block: int, symbols: int) -> list[bytes]:
-    """The code of each block of `block` ids; the last one may be shorter."""
+def encode(ids: np.ndarray, block: int, symbols: int, counts: np.ndarray | None = None) -> list[bytes]:
+    """The code of each block of `block` ids; the last one may be shorter. `counts`
+    says how often each id occurs, nearly or at all."""
     n = len(ids)
     if not n:
         return []
     if int(ids.min()) < 0 or int(ids.max()) >= symbols:
         raise ValueError("an id outside the vocabulary")
     blocks, steps, rest = _shape(n, block)
-    grid = np.zeros(blocks * steps, np.int64)
+    grid = np.zeros(blocks * steps, np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(blocks, steps).T)
-    model = _Model(blocks, symbols)
+    model = _Model(blocks, symbols, counts)
     low, span = np.zeros(blocks), np.full(blocks, TOP - 1)
-    out, at = np.zeros((steps + 16, blocks), np.uint16), np.zeros(blocks, np.int64)
-
-    def emit(lanes: np.ndarray, words: np.ndarray) -> None:
-        nonlocal out
-        if int(at[lanes].max()) >= len(out):
-            out = np.concatenate([out, np.zeros_like(out)])
-        out[at[lanes], lanes] = words.astype(np.uint16)
-        at[lanes] += 1
+    # No id costs more than two words.
+    room = 2 * steps + 2 * HEAD
+    out, first = np.zeros(blocks * room, np.uint16), np.arange(blocks) * room
+    at = first.copy()
 
-    def carry(lanes: np.ndarray) -> None:
-        place = at[lanes] - 1
-        while len(lanes):
-            out[place, lanes] += np.uint16(1)
-            again = out[place, lanes] == 0
-            lanes, place = lanes[again], place[again] - 1
+    def carry(place: np.ndarray) -> None:
+        while len(place):
+            out[place] += np.uint16(1)
+            place = place[out[place] == 0] - 1
 
     for step in range(steps):
         active = blocks if step < rest else blocks - 1
         symbol = grid[step, :active]
-        model.look(active)
-        base = model.first_cell[:active]
         now_low, now_span = low[:active], span[:active]
-        for level in range(model.levels):
-            value = symbol >> 4 * (model.levels - 1 - level)
-            digit = value & 15
-            row = model.first_row[level][:active] + (value >> 4)
-            counts = model.tables[level].take(row, axis=0, mode="clip")
-            flat = counts.reshape(-1)
-            total = counts[:, 0].astype(np.float64)
-            start = flat.take(base + digit).astype(np.float64)
-            start[digit == 0] = 0
-            size = flat.take(base + ((digit + 1) & 15)) - start
-            plain = total.copy()
-            for lanes, expected, weight in model.said:
-                added = weight * plain[lanes]
-                expected, own = (expected >> 4 * (model.levels - 1 - level)) & 15, digit[lanes]
-                total[lanes] += added
-                start[lanes] += added * (expected < own)
-                size[lanes] += added * (expected == own)
-            unit = np.floor(now_span / total)
-            now_low += unit * start
-            np.multiply(unit, size, out=now_span)
-            over = np.flatnonzero(now_low >= TOP)
-            if len(over):
-                carry(over)
-                low[over] -= TOP
-            small = np.flatnonzero(now_span < LOW)
-            if len(small):
-                own = low[small]
-                word = np.floor(own / LOW)
-                emit(small, word)
-                low[small] = (own - word * LOW) * WORD
-                span[small] *= WORD
-            model.count(level, row, counts, digit)
-            model.agreed(level, digit)
+        unit = np.floor(now_span / model.look(active))
+        start, size = model.interval(symbol)
+        now_low += unit * start
+        np.multiply(unit, size, out=now_span)
+        over = np.flatnonzero(now_low >= TOP)
+        if len(over):
+            carry(at[over] - 1)
+            low[over] -= TOP
+        small = np.flatnonzero(now_span < LOW)
+        while len(small):
+            own, place = low[small], at[small]
+            word = np.floor(own / LOW)
+            out[place] = word
+            at[small] = place + 1
+            low[small] = (own - word * LOW) * WORD
+            span[small] *= WORD
+            small = small[span[small] < LOW]
         model.learn(symbol, active)
     for _ in range(HEAD):
         word = np.floor(low / LOW)
-        emit(np.arange(blocks), word)
+        out[at] = word
+        at += 1
         low = (low - word * LOW) * WORD
-    return [np.ascontiguousarray(out[: at[i], i]).astype("<u2").tobytes() for i in range(blocks)]
+    return [out[a:b].astype("<u2").tobytes() for a, b in zip(first.tolist(), at.tolist())]
 
 
-def _leading() -> np.ndarray:
-    """Number of leading ones of a row of sixteen truths, packed into two bytes."""
-    table = np.zeros(1 << 16, np.int64)
-    for ones in range(DIGIT + 1):
-        table[int(np.packbits(np.arange(DIGIT) < ones).view("<u2")[0])] = ones
-    return table
-
-
-def decode(codes: list[bytes], n: int, block: int, symbols: int) -> np.ndarray:
+def decode(codes: list[bytes], n: int, block: int, symbols: int, counts: np.ndarray | None = None) -> np.ndarray:
     """The ids that `encode` made `codes` from."""
     if not n:
         return np.zeros(0, np.int64)
@@ -216,51 +164,33 @@ def decode(codes: list[bytes], n: int, block: int, symbols: int) -> np.ndarray:
     given = np.zeros(blocks * longest)
     for i, w in enumerate(words):
         given[i * longest : i * longest + len(w)] = w
-    model = _Model(blocks, symbols)
+    model = _Model(blocks, symbols, counts)
+    ids_at = np.repeat(np.arange(symbols, dtype=np.int32), model.size.astype(np.int64))
     at = np.arange(blocks) * longest
     code, span = np.zeros(blocks), np.full(blocks, TOP - 1)
     for _ in range(HEAD):
         code = code * WORD + given[at]
         at = at + 1
     grid = np.zeros((steps, blocks), np.int64)
-    raised, leading = _below(), _leading()
     for step in range(steps):
         active = blocks if step < rest else blocks - 1
-        model.look(active)
-        base = model.first_cell[:active]
         now_code, now_span = code[:active], span[:active]
-        prefix = np.zeros(active, np.int64)
-        for level in range(model.levels):
-            row = model.first_row[level][:active] + prefix
-            counts = model.tables[level].take(row, axis=0, mode="clip")
-            # Totals of at most 17 times LIMIT and a step fit sixteen bits.
-            mixed, plain = counts.copy(), counts[:, 0].copy()
-            for lanes, expected, weight in model.said:
-                if len(lanes):
-                    own = (expected >> 4 * (model.levels - 1 - level)) & 15
-                    mixed[lanes] += raised.take(own, axis=0) * (weight * plain[lanes]).astype(np.uint16)[:, None]
-            unit = np.floor(now_span / mixed[:, 0])
-            aim = np.minimum(np.floor(now_code / unit), 65535).astype(np.uint16)
-            # Column 0 is the total; the start of digit 0 is 0 and always reached.
-            reached = mixed <= aim[:, None]
-            reached[:, 0] = True
-            digit = leading.take(np.packbits(reached.reshape(-1)).view("<u2")) - 1
-            flat = mixed.reshape(-1)
-            start = flat.take(base + digit).astype(np.float64)
-            start[digit == 0] = 0
-            size = flat.take(base + ((digit + 1) & 15)) - start
-            now_code -= unit * start
-            np.multiply(unit, size, out=now_span)
-            small = np.flatnonzero(now_span < LOW)
-            if len(small):
-                code[small] = code[small] * WORD + given[at[small]]
-                at[small] += 1
-                span[small] *= WORD
-            model.count(level, row, counts, digit)
-            model.agreed(level, digit)
-            prefix = prefix * DIGIT + digit
-        grid[step, :active] = prefix
-        model.learn(prefix, active)
+        total = model.look(active)
+        unit = np.floor(now_span / total)
+        aim = np.minimum(np.floor(now_code / unit), total - 1)
+        symbol = ids_at.take(model.plain(aim).astype(np.int64))
+        start, size = model.interval(symbol)
+        now_code -= unit * start
+        np.multiply(unit, size, out=now_span)
+        small = np.flatnonzero(now_span < LOW)
+        while len(small):
+            place = at[small]
+            code[small] = code[small] * WORD + given[place]
+            at[small] = place + 1
+            span[small] *= WORD
+            small = small[span[small] < LOW]
+        grid[step, :active] = symbol
+        model.learn(symbol, active)
     return grid.T.reshape(-1)[:n]
 
 

@@ -2,13 +2,15 @@
 
 Documents are sorted by identifier over ranges; every range writes segments, one
 file row each, which hold whole documents: a header, the document table, the list
-of ids in use by falling frequency, the block table with a checksum for each
-block, and the code of `range_coder`. Spark's writer commits the rows, so a lost
+of ids in use by falling frequency and these frequencies, the block table with a
+checksum for each block, and the code of `range_coder`. Spark's writer commits the rows, so a lost
 executor leaves no half-written file. Readers need nothing but a segment; where it
 starts in the corpus follows from the totals of the segments before it.
 
 Words that white space separates are encoded alone, as this vocabulary never joins
-across it; a bounded cache per worker spares the tokenizers library repeats.
+across it, and plain words as their runs of letters or marks and single digits, which
+are what its own pattern cuts them into; bounded caches per worker spare the
+tokenizers library repeats.
 
 Defined results: null text counts as empty; every document gets the end id, so an
 empty one has one id; null identifiers come first. Strings that look like special
@@ -18,42 +20,100 @@ tokens are ordinary text.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count
+from operator import attrgetter
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm import range_coder
 from tidemark.llm.common import in_arrow, whole_text
 
-MAGIC = b"TMTK\x01"
-HEADER = struct.Struct("<5sIQIII")  # magic, documents, ids, block length, ids in use, blocks
+MAGIC = b"TMTK\x02"
+# Magic, documents, ids, block length, ids in use, blocks, bytes of the frequencies.
+HEADER = struct.Struct("<5sIQIIII")
 SEGMENT_TOKENS = 1 << 22
-LONGEST_BLOCK, SHORTEST_BLOCK, LANES = 2048, 128, 1024
-CHARS_AT_ONCE = 1 << 21
-CACHED_WORDS = 800_000
+LONGEST_BLOCK, SHORTEST_BLOCK, LANES = 2048, 128, 2048
+CHARS_AT_ONCE = 1 << 22
+# Words that are forgotten are put together from their pieces again, at little cost.
+CACHED_WORDS, CACHED_PIECES = 500_000, 800_000
 
 FILE_ROW = "shard int, part int, n_docs long, n_tokens long, segment binary"
 DOC_ROW = "doc_id long, shard int, part int, offset long, n_tokens long, ids_crc32 long"
 
 
-class _Words(dict):
-    """Word -> place; words met for the first time wait in `new`."""
+# What this vocabulary does before it merges. A plain word consists of Latin-1 letters,
+# digits and marks without an apostrophe: composing changes nothing in it, and the
+# pattern cuts it where one of these kinds ends, and at every digit.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PLAIN = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
+PIECE = "([a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+)"
+
+
+class _Ids:
+    """Text -> place; texts met for the first time wait in `new`. Places lead to ids."""
 
     def __init__(self):
+        self.place = defaultdict(count().__next__)
         self.new: list[str] = []
+        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used = np.zeros(1 << 18, np.int32), 0
+
+    def places(self, texts: pa.Array) -> np.ndarray:
+        """The place of each text; every distinct one is looked up once."""
+        coded = texts.dictionary_encode()
+        known = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        before = len(self.place)
+        found = np.fromiter(map(self.place.__getitem__, known), np.int64, len(known))
+        self.new += [known[i] for i in np.flatnonzero(found >= before).tolist()]
+        return found.take(coded.indices.to_numpy())
+
+    def waiting(self) -> tuple[list[str], int]:
+        """The texts that wait, and the place of the first; they wait no longer."""
+        new, self.new = self.new, []
+        if len(self.place) > len(self.first):
+            more = np.zeros(len(self.place), np.int64)
+            self.first, self.length = np.concatenate([self.first, more]), np.concatenate([self.length, more])
+        return new, len(self.place) - len(new)
+
+    def put(self, places: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(ids), len(self.flat)), np.int32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[places], self.length[places] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(ids)
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of places in a row, and where those of each place end."""
+        length = self.length.take(places)
+        ends = np.cumsum(length)
+        shift = np.repeat(self.first.take(places) - (ends - length), length)
+        return self.flat.take(shift + np.arange(len(shift))), ends
 
-    def __missing__(self, word: str) -> int:
-        place = self[word] = len(self)
-        self.new.append(word)
-        return place
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The parts between spaces, and where those of each text end."""
+    lists = pc.split_pattern(texts, " ")
+    return lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+
+
+def _up_to(ends: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many ids each run of places has, by the ends of places and of runs."""
+    return np.diff(np.concatenate([[0], ends])[cuts], prepend=0)
 
 
 class _Encoder:
@@ -61,52 +121,60 @@ class _Encoder:
 
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_buffer(data)
         self.tokenizer.encode_special_tokens = True
-        self._empty()
-
-    def _empty(self) -> None:
-        self.words = _Words()
-        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used = np.zeros(1 << 18, np.int32), 0
+        spec = json.loads(data)
+        before = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        cut = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+        marks = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.plain = spec["normalizer"] == NORMALIZER and before == [cut, marks]
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Characters as the merges know them, by the library's own table.
+        self.written = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self.words, self.pieces = _Ids(), _Ids()
 
     def _learn(self) -> None:
-        """Ids of the words that wait; their places are the last ones."""
-        new, self.words.new = self.words.new, []
-        if len(self.words) > len(self.first):
-            more = np.zeros(len(self.words), np.int64)
-            self.first, self.length = np.concatenate([self.first, more]), np.concatenate([self.length, more])
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        """Ids of the words that wait."""
+        new, first = self.words.waiting()
+        texts = pa.array(new, pa.large_string())
+        plain = np.zeros(len(new), bool)
+        if self.plain:
+            plain = pc.match_substring_regex(texts, PLAIN).to_numpy(zero_copy_only=False)
+            self._learn_plain(texts.filter(pa.array(plain)), first + np.flatnonzero(plain))
+        rest = np.flatnonzero(~plain)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(ids), len(self.flat)), np.int32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        places = slice(len(self.words) - len(new), len(self.words))
-        self.first[places], self.length[places] = self.used + np.cumsum(lengths) - lengths, lengths
-        self.used += len(ids)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.words.put(first + rest, lengths, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())))
+
+    def _learn_plain(self, texts: pa.Array, places: np.ndarray) -> None:
+        if len(self.pieces.place) > CACHED_PIECES:
+            self.pieces = _Ids()
+        cut = pc.ascii_rtrim(pc.replace_substring_regex(pc.utf8_lower(texts), PIECE, "\\1 "), " ")
+        parts, cuts = _split(cut)
+        at = self.pieces.places(parts)
+        new, first = self.pieces.waiting()
+        # One flat list: a list for each piece would keep the garbage collector busy.
+        found, so_far, merged, id_of = [], [0], self.tokenizer.model.tokenize, attrgetter("id")
+        for p in new:
+            found.extend(map(id_of, merged(p if p.isascii() else p.translate(self.written))))
+            so_far.append(len(found))
+        self.pieces.put(first + np.arange(len(new)), np.diff(so_far), np.array(found, np.int32))
+        ids, ends = self.pieces.take(at)
+        self.words.put(places, _up_to(ends, cuts), ids)
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
-        if len(self.words) > CACHED_WORDS:
-            self._empty()
-        find = self.words.__getitem__
-        counts, parts = [], []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            counts.append(len(words))
-            parts.append(np.fromiter(map(find, words), np.int32, len(words)))
+        if len(self.words.place) > CACHED_WORDS:
+            self.words = _Ids()
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        parts, cuts = _split(pc.replace_substring(texts, "\n", " "))
+        places = self.words.places(parts)
         if self.words.new:
             self._learn()
-        places = np.concatenate(parts)
-        length = self.length.take(places)
-        ends = np.cumsum(length)
-        shift = np.repeat(self.first.take(places) - (ends - length), length)
-        ids = self.flat.take(shift + np.arange(len(shift)))
-        cut = np.concatenate([[0], ends])[np.cumsum(counts)]
-        return ids, np.diff(cut, prepend=0)
+        ids, ends = self.words.take(places)
+        return ids, _up_to(ends, cuts)
 
 
 @functools.lru_cache(maxsize=1)
@@ -120,10 +188,11 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> byte
     block = min(LONGEST_BLOCK, max(SHORTEST_BLOCK, -(-n // LANES)))
     frequency = np.bincount(ids)
     used = np.argsort(-frequency, kind="stable")[: np.count_nonzero(frequency)]
-    rank = np.zeros(len(frequency), np.int64)
+    rank = np.zeros(len(frequency), np.int32)
     rank[used] = np.arange(len(used))
     ranks = rank[ids]
-    codes = range_coder.encode(ranks, block, len(used))
+    table = zlib.compress(frequency[used].astype("<u8").tobytes())
+    codes = range_coder.encode(ranks, block, len(used), frequency[used])
     sums = [zlib.crc32(c) for c in codes]
     body = b"".join(
         [
@@ -131,18 +200,19 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> byte
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
             counts.astype("<u4").tobytes(),
             used.astype("<u4").tobytes(),
+            table,
             np.array([len(c) for c in codes], "<u4").tobytes(),
             np.array(sums, "<u4").tobytes(),
             *codes,
         ]
     )
-    head = HEADER.pack(MAGIC, len(doc_ids), n, block, len(used), len(codes))
+    head = HEADER.pack(MAGIC, len(doc_ids), n, block, len(used), len(codes), len(table))
     return head + struct.pack("<I", zlib.crc32(head + body[: len(body) - sum(map(len, codes))])) + body
 
 
 def unpack(segment: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """What `pack` was given. A damaged segment raises."""
-    magic, n_docs, n, block, n_used, n_blocks = HEADER.unpack_from(segment)
+    magic, n_docs, n, block, n_used, n_blocks, n_table = HEADER.unpack_from(segment)
     at = HEADER.size + 4
     if magic != MAGIC:
         raise ValueError("not a token segment")
@@ -154,6 +224,7 @@ def unpack(segment: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         return out
 
     known, doc_ids, counts, used = take("u1", n_docs), take("<i8", n_docs), take("<u4", n_docs), take("<u4", n_used)
+    table = take("u1", n_table)
     sizes, sums = take("<u4", n_blocks), take("<u4", n_blocks)
     if zlib.crc32(segment[: HEADER.size] + segment[HEADER.size + 4 : at]) != struct.unpack_from("<I", segment, HEADER.size)[0]:
         raise ValueError("a damaged segment header")
@@ -163,7 +234,8 @@ def unpack(segment: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         at += size
         if zlib.crc32(codes[-1]) != good:
             raise ValueError(f"damaged block {i}")
-    ranks = range_coder.decode(codes, n, block, n_used)
+    counts_of = np.frombuffer(zlib.decompress(table), "<u8")
+    ranks = range_coder.decode(codes, n, block, n_used, counts_of)
     return [d if k else None for k, d in zip(known.tolist(), doc_ids.tolist())], counts.astype(np.int64), used[ranks]
 
 
@@ -181,13 +253,12 @@ def _writer(data: bytes, end: int):
             )
 
         for batch in batches:
-            own, texts, first = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
-            while first < len(texts):
-                last, chars = first, 0
-                while last < len(texts) and (last == first or chars + len(texts[last]) < CHARS_AT_ONCE):
-                    chars += len(texts[last])
-                    last += 1
-                found, lengths = encoder.encode(texts[first:last])
+            own, texts, first = batch.column(0).to_pylist(), batch.column(1), 0
+            chars = np.cumsum(pc.utf8_length(texts).to_numpy())
+            while first < len(own):
+                so_far = chars[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(chars, so_far + CHARS_AT_ONCE)))
+                found, lengths = encoder.encode(texts.slice(first, last - first))
                 found = np.insert(found, np.cumsum(lengths), end)
                 docs += own[first:last]
                 counts.append(lengths + 1)
