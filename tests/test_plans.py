@@ -109,6 +109,23 @@ def test_permuted_rows_do_not_pass_through_the_driver(spark):
         assert row.replaced[0].value == source[row["_row"]]
 
 
+def test_scores_do_not_pass_through_the_driver(spark):
+    # Few rows that take almost nothing, with many scores each: Spark guesses their size from the files.
+    arrays = F.array(*[F.rand(i) for i in range(40)])
+    small = stage(spark.range(200).select((F.col("id") % 2).cast("int").alias("y"), arrays.alias("all")), "scores")
+    scores = small.select("y", F.posexplode("all").alias("model", "p"))
+    points = {most: me.score_points(scores, most=most) for most in (None, 200)}
+    # Only the over-full cells, one per CELL_ROWS scores, are sent to all.
+    hashed = [line for line in explained(points[None], "simple").splitlines() if "BroadcastHashJoin" in line]
+    assert hashed and all("LeftOuter" in line for line in hashed)
+    whole = explained(points[200], "simple")
+    assert "Broadcast" not in whole and "Join" not in whole
+    assert points[None].exceptAll(points[200]).isEmpty() and points[200].count() == 8000
+    tables = [me.ranking_metrics(scores, most=most).orderBy("model").collect() for most in (None, 200)]
+    for a, b in zip(*tables):
+        assert a == pytest.approx(b)
+
+
 def test_split_does_not_shuffle_the_table(spark, tables, cohort):
     text = explained(pp.stratified_split(cohort, "mortality_after_24h", "stay_id"), "simple")
     final_scan = text[text.index("Project"):].splitlines()
