@@ -254,6 +254,27 @@ def test_permutation_importance(vectors, models, fitted):
     assert abs(got["logistic_regression"]["x"][0] - np.mean(drops)) < 4 * np.std(drops)
 
 
+def test_a_forest_is_grown_in_parts(vectors, monkeypatch, tmp_path):
+    train, test = (vectors.filter(f"split = '{s}'") for s in ("train", "test"))
+    small = tr.train_forest(train, "y", trees=3, depth=4)
+    monkeypatch.setattr(tr, "TREES_A_FIT", 3)
+    forest = tr.train_forest(train, "y", trees=7, depth=4)
+    assert forest.getNumTrees == 7 and len(forest.trees) == 7 and forest.getOrDefault("numTrees") == 7
+    assert forest.numFeatures == small.numFeatures and forest.numClasses == 2
+    text = [t.toDebugString.split("\n", 1)[1] for t in forest.trees]
+    assert text[:3] == [t.toDebugString.split("\n", 1)[1] for t in small.trees] and len(set(text)) == 7
+    again = tr.train_forest(train, "y", trees=7, depth=4)
+    assert [t.toDebugString.split("\n", 1)[1] for t in again.trees] == text
+    assert sum(forest.featureImportances) == pytest.approx(1)
+    tr.save_model(forest, str(tmp_path / "forest"))
+    both = tr.score({"a": forest, "b": tr.load_model("random_forest", str(tmp_path / "forest"))}, test, ["id"])
+    assert both.filter("a_probability <> b_probability").isEmpty()
+    # The mean of the trees' shares, as one fit gives it.
+    row = test.first()
+    shares = np.mean([t.predictProbability(row.features).toArray() for t in forest.trees], axis=0)
+    assert forest.predictProbability(row.features).toArray() == pytest.approx(shares)
+
+
 def test_importance_comparison(spark):
     rows = [("a", 0.1, "m1"), ("b", 0.5, "m1"), ("c", 0.2, "m1"), ("a", 0.9, "m2"), ("b", 0.0, "m2"), ("c", 0.1, "m2")]
     df = spark.createDataFrame(rows, "feature string, importance_mean double, model string")
