@@ -1,9 +1,12 @@
 """Split, preprocessing, fits and importance."""
 
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.operators import explain as ex, metrics as me, prep as pp, train as tr
@@ -254,6 +257,41 @@ def test_permutation_importance(vectors, models, fitted):
     assert abs(got["logistic_regression"]["x"][0] - np.mean(drops)) < 4 * np.std(drops)
 
 
+def test_trees_score_changed_rows_only(vectors, models, fitted, monkeypatch):
+    test, names = vectors.filter("split = 'test'"), fitted.feature_names
+    asked, scored = [], ex._scored
+
+    def counted(model, frame):
+        asked.append(frame.count())
+        return scored(model, frame)
+
+    monkeypatch.setattr(ex, "_scored", counted)
+    chosen = ["missingindicator_gap", "x"]
+    table = ex.permutation_importance(models["random_forest"], test, "y", "id", names, n_repeats=2, chunk=4, features=chosen)
+    got = {r.feature: r.importance_mean for r in table.collect()}
+    # A flag stays what it was in most rows.
+    n = test.count()
+    assert len(asked) == 1 and 2 * n <= asked[0] < 3.4 * n
+    # The same drops as when every row is asked.
+    rows = {r.id: (r.y, r.features.toArray()) for r in test.collect()}
+    order = [i for i in sorted(rows, key=lambda i: (md5(f"42:{i}".encode()).hexdigest(), i))]
+    y = np.array([rows[i][0] for i in order])
+    x = np.array([rows[i][1] for i in order])
+
+    def auc(z):
+        p = np.array([models["random_forest"].predictProbability(Vectors.dense(v))[1] for v in z])
+        d = p[y == 1][:, None] - p[y == 0][None, :]
+        return ((d > 0).sum() + (d == 0).sum() / 2) / d.size
+
+    for name in chosen:
+        f, drops = names.index(name), []
+        for s in ex._shuffles([f], 2, n, 42):
+            z = x.copy()
+            z[:, f] = x[[(ex.PRIME * i + s.shift) % n for i in range(n)], f]
+            drops.append(auc(x) - auc(z))
+        assert got[name] == pytest.approx(np.mean(drops))
+
+
 def test_a_forest_is_grown_in_parts(vectors, monkeypatch, tmp_path):
     train, test = (vectors.filter(f"split = '{s}'") for s in ("train", "test"))
     small = tr.train_forest(train, "y", trees=3, depth=4)
